@@ -282,16 +282,18 @@ def repeats(docs: DataFrame, least: int = 50, keep: tuple[str, ...] = ()) -> Dat
     total = text_bytes(docs)
     buckets = parts(total, BUCKET_BYTES, 4)
     tagged = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("mark"), *keep)
-    usable = tagged.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "mark")
-    kept = survivors(anchor_rows(usable, least, buckets))
+    usable = tagged.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    kept = survivors(anchor_rows(usable.select("doc_id", "text", "mark"), least, buckets))
     settled = checkpointed(
         kept.groupBy("doc_id", "mark").agg(F.collect_list(F.when(F.length("full") > 0, F.col("full"))).alias("fulls"), F.collect_list(F.when(F.length("open") > 0, F.col("open"))).alias("open"))
     )
     asks = settled.where(F.size("open") > 0).select("doc_id", "mark", "open")
-    around = surroundings(usable.join(asks, ["doc_id", "mark"]), least, buckets)
+    # the same exchange of the texts serves this join and the last one, so all columns go along
+    around = surroundings(usable.join(asks.hint("merge"), ["doc_id", "mark"]), least, buckets)
     more = spans(around, least).groupBy("doc_id", "mark").agg(F.collect_list("span").alias("spans"))
     both = settled.select("doc_id", "mark", "fulls").join(more, ["doc_id", "mark"], "left")
-    return tagged.join(both, ["doc_id", "mark"], "left")
+    nothing = tagged.where("doc_id IS NULL OR text IS NULL").withColumn("fulls", F.lit(None).cast("array<binary>")).withColumn("spans", F.lit(None).cast("array<binary>"))
+    return usable.join(both.hint("merge"), ["doc_id", "mark"], "left").unionByName(nothing)
 
 
 def _parts(frame: pd.DataFrame, least: int) -> Iterator[tuple[bytes, np.ndarray]]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterator
 
@@ -24,20 +25,16 @@ def shared_checkpoints(spark: SparkSession) -> None:
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
 
 
-#: Spark's setting that removes a query's shuffle files when the query has ended.
-CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint."""
+    shared_checkpoints(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint; the shuffle files behind it are then given up."""
-    spark = df.sparkSession
-    shared_checkpoints(spark)
-    before = spark.conf.get(CLEAN, "false")
-    spark.conf.set(CLEAN, "true")
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        spark.conf.set(CLEAN, before)
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished work that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def text_bytes(docs: DataFrame) -> int:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagflow.llm.common import checkpointed, parts, runs, text_bytes, units
+from tagflow.llm.common import checkpointed, parts, release, runs, text_bytes, units
 
 SEED_BYTES = 16
 #: Text bytes behind one bucket of anchors.
@@ -281,12 +281,15 @@ def repeats(docs: DataFrame, least: int = 50, keep: tuple[str, ...] = ()) -> Dat
     """
     total = text_bytes(docs)
     buckets = parts(total, BUCKET_BYTES, 4)
-    tagged = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("mark"), *keep)
+    wide = docs if dict(docs.dtypes)["doc_id"] == "bigint" else docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    tagged = wide.select("doc_id", "text", F.xxhash64("text").alias("mark"), *keep)
     usable = tagged.where("doc_id IS NOT NULL AND text IS NOT NULL")
     kept = survivors(anchor_rows(usable.select("doc_id", "text", "mark"), least, buckets))
     settled = checkpointed(
         kept.groupBy("doc_id", "mark").agg(F.collect_list(F.when(F.length("full") > 0, F.col("full"))).alias("fulls"), F.collect_list(F.when(F.length("open") > 0, F.col("open"))).alias("open"))
     )
+    del kept
+    release(docs.sparkSession)
     asks = settled.where(F.size("open") > 0).select("doc_id", "mark", "open")
     # the same exchange of the texts serves this join and the last one, so all columns go along
     around = surroundings(usable.join(asks.hint("merge"), ["doc_id", "mark"]), least, buckets)

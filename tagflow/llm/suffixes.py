@@ -114,7 +114,7 @@ def _unpacked(frame: pd.DataFrame, kinds: dict[str, str]) -> tuple[np.ndarray, n
     return ids, marks, np.repeat(np.arange(len(ids)), counts), {k: np.frombuffer(b"".join(frame[k]), v) for k, v in kinds.items()}
 
 
-FIRST = {"h": "u4", "x": "u8", "r": "u2", "l": "u2", "pos": "u4"}
+FIRST = {"h": "u4", "x": "u8", "r": "u1", "l": "u1", "pos": "u4"}
 LAST = {"h": "u8", "pos": "u4", "lo": "u1", "hi": "u1"}
 
 
@@ -154,7 +154,7 @@ def anchor_rows(docs: DataFrame, least: int, buckets: int) -> DataFrame:
                 left, right = np.minimum(pos, side), np.minimum(laid.size[doc] - pos, tail)
                 x = _name(laid.words, at, -side, tail) + (left * 64 + right).astype(np.uint64) * _C[4]
                 r, lf = _name(laid.words, at, 0, half), _name(laid.words, at, SEED_BYTES - half, SEED_BYTES)
-                found.append((doc + begin, h, x, r.astype(np.uint16), lf.astype(np.uint16), pos.astype(np.uint32)))
+                found.append((doc + begin, h, x, r.astype(np.uint8), lf.astype(np.uint8), pos.astype(np.uint32)))
             if found:
                 doc, h, x, r, lf, pos = map(np.concatenate, zip(*found, strict=True))
                 bucket = ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
@@ -177,20 +177,31 @@ def _spread(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, high
 
 
-def _by_doc(doc: np.ndarray, ids: np.ndarray, marks: np.ndarray, columns: dict[str, tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
-    """One row for each document: the chosen entries of each column as bytes."""
-    order = np.argsort(doc, kind="stable")
-    head = runs(doc[order])
-    stop = [*head[1:], len(order)]
-    out = {"doc_id": ids[doc[order[head]]] if len(order) else [], "mark": marks[doc[order[head]]] if len(order) else []}
-    for k, (value, used) in columns.items():
-        v, u = value[order], used[order]
-        out[k] = [v[i:j][u[i:j]].tobytes() for i, j in zip(head, stop, strict=True)]
-    return pd.DataFrame(out)
+def _dealt(doc: np.ndarray, ids: np.ndarray, marks: np.ndarray, columns: dict[str, np.ndarray], buckets: int) -> pd.DataFrame:
+    """Entries packed by a bucket of their document: as many rows as buckets, whatever the number of documents."""
+    bucket = (_mixed(ids[doc].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    return pd.DataFrame(_packed(bucket, doc, ids, marks, columns), columns=["bucket", "ids", "marks", "counts", *columns])
 
 
-def survivors(rows: DataFrame) -> DataFrame:
-    """Per document and bucket: anchors settled by their surrounding (`full`) and those to be looked at (`open`)."""
+def _per_document(rows: DataFrame, kinds: dict[str, str], out: dict[str, str], pick) -> DataFrame:
+    """One row for each document with entries, its chosen entries as bytes (`pick` gives values and a mask for each column)."""
+
+    def work(frame: pd.DataFrame) -> pd.DataFrame:
+        ids, marks, doc, c = _unpacked(frame, kinds)
+        order = np.lexsort((marks[doc], ids[doc]))
+        i, m = ids[doc][order], marks[doc][order]
+        head = np.flatnonzero(np.concatenate(([True], (i[1:] != i[:-1]) | (m[1:] != m[:-1]))))
+        found = {"doc_id": i[head], "mark": m[head]}
+        for name, (value, used) in pick(c).items():
+            v, u = value[order], used[order]
+            found[name] = [v[a:b][u[a:b]].tobytes() for a, b in zip(head, [*head[1:], len(order)], strict=True)]
+        return pd.DataFrame(found)
+
+    return rows.groupBy("bucket").applyInPandas(work, ", ".join(["doc_id long, mark long", *(f"{k} {v}" for k, v in out.items())]))
+
+
+def survivors(rows: DataFrame, buckets: int) -> DataFrame:
+    """Per document: anchors settled by their surrounding (`full`) and those to be looked at (`open`)."""
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         ids, marks, doc, c = _unpacked(frame, FIRST)
@@ -206,9 +217,10 @@ def survivors(rows: DataFrame) -> DataFrame:
             low, high = _spread(h[lead] ^ c[side][lead].astype(np.uint64), own[lead])
             opened[lead] |= low != high
         used = full | opened
-        return _by_doc(doc[used], ids, marks, {"full": (c["pos"][used], full[used]), "open": (c["pos"][used], opened[used])})
+        return _dealt(doc[used], ids, marks, {"pos": c["pos"][used], "full": full[used]}, buckets)
 
-    return rows.groupBy("bucket").applyInPandas(work, "doc_id long, mark long, full binary, open binary")
+    dealt = rows.groupBy("bucket").applyInPandas(work, _schema(["pos", "full"]))
+    return _per_document(dealt, {"pos": "u4", "full": "?"}, {"full": "binary", "open": "binary"}, lambda c: {"full": (c["pos"], c["full"]), "open": (c["pos"], ~c["full"])})
 
 
 def surroundings(found: DataFrame, least: int, buckets: int) -> DataFrame:
@@ -219,7 +231,7 @@ def surroundings(found: DataFrame, least: int, buckets: int) -> DataFrame:
         for unit in units(batches, 4 << 20):
             ids, marks = unit["doc_id"].to_numpy(np.int64), unit["mark"].to_numpy(np.int64)
             laid = Laid(_bytes(unit), least)
-            pos = [np.frombuffer(b"".join(x), np.uint32).astype(np.int64) for x in unit["open"]]
+            pos = [np.frombuffer(x, np.uint32).astype(np.int64) for x in unit["open"]]
             doc = np.repeat(np.arange(len(unit)), [len(x) for x in pos])
             if not len(doc):
                 continue
@@ -234,8 +246,8 @@ def surroundings(found: DataFrame, least: int, buckets: int) -> DataFrame:
     return found.mapInPandas(work, _schema([*LAST, "around"]))
 
 
-def spans(rows: DataFrame, least: int) -> DataFrame:
-    """Per document and bucket the byte spans that smaller documents hold too, from all strings through open anchors."""
+def spans(rows: DataFrame, least: int, buckets: int) -> DataFrame:
+    """Per document the byte spans that smaller documents hold too, from all strings through open anchors."""
     side = least - SEED_BYTES
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
@@ -254,9 +266,10 @@ def spans(rows: DataFrame, least: int) -> DataFrame:
         used = first >= 0
         base = c["pos"].astype(np.int64) - side
         pair = np.stack((base + first, base + last + least), 1).astype(np.uint32)
-        return _by_doc(doc[used], ids, marks, {"span": (pair[used], np.ones(used.sum(), bool))})
+        return _dealt(doc[used], ids, marks, {"begin": pair[used, 0], "stop": pair[used, 1]}, buckets)
 
-    return rows.groupBy("bucket").applyInPandas(work, "doc_id long, mark long, span binary")
+    dealt = rows.groupBy("bucket").applyInPandas(work, _schema(["begin", "stop"]))
+    return _per_document(dealt, {"begin": "u4", "stop": "u4"}, {"span": "binary"}, lambda c: {"span": (np.stack((c["begin"], c["stop"]), 1), np.ones(len(c["begin"]), bool))})
 
 
 def merged(full: np.ndarray, span: np.ndarray, size: int, least: int) -> np.ndarray:
@@ -275,7 +288,7 @@ def merged(full: np.ndarray, span: np.ndarray, size: int, least: int) -> np.ndar
 def repeats(docs: DataFrame, least: int = 50, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every row of `docs` (doc_id, text and the columns `keep`) with its repeated byte spans as packed integers.
 
-    Adds `fulls` and `spans` (lists of packed positions, null where nothing repeats). Rows are
+    Adds `full` and `span` (packed positions, null where nothing repeats). Rows are
     matched by doc_id and text. Null texts are empty; a null doc_id neither loses bytes nor
     makes others lose any; equal rows (one doc_id) are not repeats of each other.
     """
@@ -284,26 +297,21 @@ def repeats(docs: DataFrame, least: int = 50, keep: tuple[str, ...] = ()) -> Dat
     wide = docs if dict(docs.dtypes)["doc_id"] == "bigint" else docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     tagged = wide.select("doc_id", "text", F.xxhash64("text").alias("mark"), *keep)
     usable = tagged.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    kept = survivors(anchor_rows(usable.select("doc_id", "text", "mark"), least, buckets))
-    settled = checkpointed(
-        kept.groupBy("doc_id", "mark").agg(F.collect_list(F.when(F.length("full") > 0, F.col("full"))).alias("fulls"), F.collect_list(F.when(F.length("open") > 0, F.col("open"))).alias("open"))
-    )
-    del kept
+    settled = checkpointed(survivors(anchor_rows(usable.select("doc_id", "text", "mark"), least, buckets), buckets))
     release(docs.sparkSession)
-    asks = settled.where(F.size("open") > 0).select("doc_id", "mark", "open")
+    asks = settled.where(F.length("open") > 0).select("doc_id", "mark", "open")
     # the same exchange of the texts serves this join and the last one, so all columns go along
     around = surroundings(usable.join(asks.hint("merge"), ["doc_id", "mark"]), least, buckets)
-    more = spans(around, least).groupBy("doc_id", "mark").agg(F.collect_list("span").alias("spans"))
-    both = settled.select("doc_id", "mark", "fulls").join(more, ["doc_id", "mark"], "left")
-    nothing = tagged.where("doc_id IS NULL OR text IS NULL").withColumn("fulls", F.lit(None).cast("array<binary>")).withColumn("spans", F.lit(None).cast("array<binary>"))
+    both = settled.select("doc_id", "mark", "full").join(spans(around, least, buckets), ["doc_id", "mark"], "left")
+    nothing = tagged.where("doc_id IS NULL OR text IS NULL").withColumn("full", F.lit(None).cast("binary")).withColumn("span", F.lit(None).cast("binary"))
     return usable.join(both.hint("merge"), ["doc_id", "mark"], "left").unionByName(nothing)
 
 
 def _parts(frame: pd.DataFrame, least: int) -> Iterator[tuple[bytes, np.ndarray]]:
     def flat(x: object) -> np.ndarray:
-        return np.frombuffer(b"".join(x) if x is not None else b"", np.uint32)
+        return np.frombuffer(x if x is not None else b"", np.uint32)
 
-    for text, full, span in zip(_bytes(frame), frame["fulls"], frame["spans"], strict=True):
+    for text, full, span in zip(_bytes(frame), frame["full"], frame["span"], strict=True):
         yield text, merged(flat(full), flat(span), len(text), least)
 
 

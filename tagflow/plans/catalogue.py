@@ -1,11 +1,493 @@
-"""The registered queries over the synthesized journal and the driver's tables."""
+"""The registered queries over the synthesized journal, each with its DuckDB counterpart.
+
+A query is a function of (spark, sf_dir); its SQL stands beside it in SQL[name]. The SQL builds the
+same journal by the same formulas and uses the plain text of an identity where the engine
+uses a digest.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tagflow.functions import columns as C
+from tagflow.operators import journal as J
+from tagflow.operators import manifest as M
+from tagflow.operators import rules as R
+from tagflow.operators import state as S
+from tagflow.sources.journal import from_events
+
+SINCE, UNTIL, MARK = datetime(2024, 1, 5), datetime(2024, 1, 25), datetime(2024, 1, 15)
+DAY = 86400
+CAP = 500
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def ntz(t: datetime):
+    return F.lit(t.isoformat(" ")).cast("timestamp_ntz")
+
+
+# ---------------------------------------------------------------- the chain of inputs
+
+def journal(spark: SparkSession, sf: str) -> DataFrame:
+    return from_events(spark.read.parquet(f"{sf}/events.parquet"))
+
+
+def ops(spark: SparkSession, sf: str) -> DataFrame:
+    return J.window(journal(spark, sf), ntz(SINCE), ntz(UNTIL))
+
+
+def newest(spark: SparkSession, sf: str) -> DataFrame:
+    good = J.validity(ops(spark, sf)).where("error_reason IS NULL").drop("error_reason")
+    return J.latest(good)
+
+
+def live(spark: SparkSession, sf: str) -> DataFrame:
+    return J.without_archived(newest(spark, sf))
+
+
+def matches(spark: SparkSession, sf: str) -> DataFrame:
+    return R.match(live(spark, sf), R.inline_rules(spark))
+
+
+def manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return M.union(matches(spark, sf))
+
+
+def deletes(spark: SparkSession, sf: str) -> DataFrame:
+    return J.permanent_deletes(journal(spark, sf), ntz(SINCE))
+
+
+def state(spark: SparkSession, lease: bool = False) -> DataFrame:
+    rows = [("lake-0", MARK, datetime(2024, 1, 16) if lease else None), ("lake-1", MARK, None)]
+    return spark.createDataFrame(rows, "bucket string, watermark timestamp_ntz, lease_mark timestamp_ntz")
+
+
+def processed(spark: SparkSession, sf: str) -> DataFrame:
+    return newest(spark, sf).where(F.col("sequence_number").cast("long") % 4 == 0).select("lid")
+
+
+def eligible(spark: SparkSession, sf: str) -> DataFrame:
+    return J.eligible(newest(spark, sf), state(spark), processed(spark, sf), DAY)
+
+
+CHAIN = f"""WITH base AS (
+ SELECT event_id AS e, ts, event_type, 'lake-' || CAST(user_id % 3 AS VARCHAR) AS bucket, 'u/' || CAST(user_id AS VARCHAR) || '/' || event_type AS key,
+  CASE WHEN event_id % 5 <> 0 THEN 'v' || CAST(event_id % 3 AS VARCHAR) END AS version_id, json_extract_string(props, '$.k') AS k FROM events),
+j AS (
+ SELECT bucket, key, version_id, CASE WHEN e % 10 = 9 THEN 'DELETE' WHEN e % 10 = 8 THEN 'PUT' ELSE 'UPDATE_METADATA' END AS record_type, event_type AS type, k,
+  lpad(CAST(e AS VARCHAR), 12, '0') AS sequence_number, ts AS record_timestamp,
+  CASE WHEN event_type = 'error' AND e % 2 = 0 THEN 'GLACIER' WHEN e % 11 = 0 THEN NULL ELSE 'STANDARD' END AS storage_class, e % 20 = 9 AS is_delete_marker FROM base
+ UNION ALL
+ SELECT bucket, key, version_id, 'UPDATE_METADATA', event_type, k, lpad(CAST(e + 500000 AS VARCHAR), 12, '0'), ts, CASE WHEN e % 14 = 0 THEN 'DEEP_ARCHIVE' ELSE 'STANDARD' END, e % 20 = 9
+ FROM base WHERE e % 7 = 0 AND e % 10 < 8),
+w AS (SELECT *, bucket || '|' || key || '|' || coalesce(version_id, '<null>') || '|' || type || '|' || coalesce(k, '') AS lid FROM j
+ WHERE record_type = 'UPDATE_METADATA' AND record_timestamp > TIMESTAMP '{SINCE}' AND record_timestamp <= TIMESTAMP '{UNTIL}'),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lid ORDER BY sequence_number DESC, record_timestamp) AS r, min(record_timestamp) OVER (PARTITION BY lid) AS first_seen, count(*) OVER (PARTITION BY lid) AS deliveries FROM w),
+d AS (SELECT * FROM ranked WHERE r = 1),
+a AS (SELECT * FROM d WHERE NOT coalesce(upper(trim(storage_class)) IN ('GLACIER', 'DEEP_ARCHIVE'), false)),
+rules(rb, config_id, rule_id, rt, rk, dest, prefix) AS (VALUES ('lake-0', 'c0', 'r1', 'click', NULL, 'copy-a', 'u/1'), ('lake-1', 'c1', 'r2', 'view', NULL, 'copy-b', NULL), ('lake-2', 'c2', 'r3', 'purchase', '7', 'copy-c', NULL), ('lake-0', 'c0', 'r4', 'click', NULL, 'copy-d', NULL)),
+m AS (SELECT a.*, config_id, rule_id, dest FROM a JOIN rules ON bucket = rb AND type = rt AND (rk IS NULL OR k = rk) AND (prefix IS NULL OR starts_with(key, prefix))),
+firsts AS (SELECT bucket, key, version_id, record_timestamp, row_number() OVER (PARTITION BY bucket, key ORDER BY first_seen, lid) AS r FROM m),
+labels_of AS (SELECT bucket, key, string_agg(DISTINCT rule_id, ',' ORDER BY rule_id) AS rules, string_agg(DISTINCT dest, ',' ORDER BY dest) AS destinations FROM m GROUP BY bucket, key),
+mf AS (SELECT f.bucket, f.key, f.version_id, f.record_timestamp AS tagged_at, l.rules, l.destinations FROM firsts f JOIN labels_of l ON f.bucket = l.bucket AND f.key = l.key WHERE r = 1),
+del AS (SELECT DISTINCT bucket, key, version_id FROM j WHERE record_timestamp > TIMESTAMP '{SINCE}' AND ((record_type = 'DELETE' AND NOT coalesce(is_delete_marker, false)) OR (record_type IN ('PUT', 'COPY', 'RESTORE') AND version_id IS NULL))),
+kept AS (SELECT * FROM mf WHERE NOT EXISTS (SELECT 1 FROM del WHERE del.bucket = mf.bucket AND del.key = mf.key AND del.version_id IS NOT DISTINCT FROM mf.version_id)),
+state(sb, mark) AS (VALUES ('lake-0', TIMESTAMP '{MARK}'), ('lake-1', TIMESTAMP '{MARK}')),
+el AS (SELECT d.*, mark FROM d LEFT JOIN state ON bucket = sb WHERE mark IS NULL OR record_timestamp > mark OR (record_timestamp > mark - INTERVAL 1 DAY AND CAST(sequence_number AS BIGINT) % 4 <> 0))
+"""
+
+ROW = ["bucket", "key", "version_id", "sequence_number", "record_timestamp", "storage_class"]
+COLS = ", ".join(ROW)
+
+
+def query(sql: str | None):
+    """Register a query with its SQL (after the common chain)."""
+
+    def wrap(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql if sql.startswith("WITH ") else CHAIN + sql
+        return f
+
+    return wrap
+
+
+# ---------------------------------------------------------------- journal
+
+@query(f"SELECT record_type, {COLS}, is_delete_marker FROM j")
+def journal_scan(spark, sf):
+    return journal(spark, sf).select("record_type", *ROW, "is_delete_marker")
+
+
+@query("SELECT bucket, count(*) AS n, min(record_timestamp) AS first_at, max(record_timestamp) AS last_at FROM w GROUP BY bucket")
+def journal_window_bounds(spark, sf):
+    return ops(spark, sf).groupBy("bucket").agg(F.count("*").alias("n"), F.min("record_timestamp").alias("first_at"), F.max("record_timestamp").alias("last_at"))
+
+
+@query(f"SELECT {COLS}, type, k FROM w")
+def journal_projection(spark, sf):
+    return ops(spark, sf).select(*ROW, F.col("object_tags")["type"].alias("type"), F.col("object_tags")["k"].alias("k"))
+
+
+@query("SELECT error_reason, count(*) AS n FROM (SELECT CASE WHEN kk = '' THEN 'empty key' WHEN untagged THEN 'no tags' END AS error_reason FROM (SELECT CASE WHEN CAST(sequence_number AS BIGINT) % 13 = 0 THEN '' ELSE key END AS kk, CAST(sequence_number AS BIGINT) % 17 = 0 AS untagged FROM w)) GROUP BY error_reason")
+def journal_validity_split(spark, sf):
+    seq = F.col("sequence_number").cast("long")
+    broken = ops(spark, sf).withColumn("key", F.when(seq % 13 == 0, "").otherwise(F.col("key"))).withColumn("object_tags", F.when(seq % 17 != 0, F.col("object_tags")))
+    return J.validity(broken).groupBy("error_reason").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT {COLS}, deliveries FROM d")
+def journal_dedup_latest(spark, sf):
+    return newest(spark, sf).select(*ROW, "deliveries")
+
+
+@query("SELECT bucket, key, version_id, sequence_number, first_seen FROM d")
+def journal_identity_first_seen(spark, sf):
+    return newest(spark, sf).select("bucket", "key", "version_id", "sequence_number", F.col("first_seen.record_timestamp").alias("first_seen"))
+
+
+@query(f"SELECT record_timestamp AS boundary FROM w ORDER BY record_timestamp LIMIT 1 OFFSET {CAP - 1}")
+def row_cap_boundary(spark, sf):
+    return J.row_cap_boundary(ops(spark, sf), CAP).select(F.col("record_timestamp").alias("boundary"))
+
+
+@query(f"SELECT {COLS} FROM (SELECT *, rank() OVER (ORDER BY record_timestamp) AS rk FROM w) WHERE rk <= {CAP}")
+def row_cap_with_ties(spark, sf):
+    return J.with_ties(ops(spark, sf), CAP).select(*ROW)
+
+
+@query(f"SELECT {COLS} FROM d LEFT JOIN state ON bucket = sb WHERE mark IS NULL OR record_timestamp > mark")
+def eligibility_after_watermark(spark, sf):
+    none = newest(spark, sf).where(F.lit(False)).select("lid")
+    return J.eligible(newest(spark, sf), state(spark), none, 0).select(*ROW)
+
+
+@query(f"SELECT {COLS} FROM el WHERE record_timestamp <= mark")
+def late_arrivals_in_lookback(spark, sf):
+    return eligible(spark, sf).where(F.col("bucket").isin("lake-0", "lake-1") & (F.col("record_timestamp") <= ntz(MARK))).select(*ROW)
+
+
+@query(f"SELECT {COLS} FROM el")
+def processed_suppression(spark, sf):
+    return eligible(spark, sf).select(*ROW)
+
+
+@query(f"SELECT {COLS} FROM el WHERE NOT (bucket = 'lake-0' AND record_timestamp <= TIMESTAMP '2024-01-16')")
+def lease_guard(spark, sf):
+    return J.eligible(newest(spark, sf), state(spark, lease=True), processed(spark, sf), DAY).select(*ROW)
+
+
+@query("SELECT bucket, max(record_timestamp) AS high_water_mark FROM el GROUP BY bucket")
+def candidate_high_water_mark(spark, sf):
+    return J.high_water_mark(eligible(spark, sf))
+
+
+@query("SELECT coalesce(upper(trim(storage_class)) IN ('GLACIER', 'DEEP_ARCHIVE'), false) AS archived, count(*) AS n FROM d GROUP BY 1")
+def archived_split(spark, sf):
+    return newest(spark, sf).groupBy(C.is_archived(F.col("storage_class")).alias("archived")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT coalesce(upper(trim(storage_class)), 'UNKNOWN') AS storage_class, count(*) AS n FROM d GROUP BY 1")
+def archived_counts(spark, sf):
+    return newest(spark, sf).groupBy(F.coalesce(F.upper(F.trim("storage_class")), F.lit("UNKNOWN")).alias("storage_class")).agg(F.count("*").alias("n"))
+
+
+# ---------------------------------------------------------------- rules
+
+@query("SELECT rb AS bucket, rule_id, rt || coalesce(',' || rk, '') AS tag_values, prefix AS key_prefix FROM rules")
+def rule_derivation(spark, sf):
+    pair = lambda k, v: {"Key": k, "Value": v}
+    doc = lambda i, f: {"ID": i, "Status": "Enabled", "Filter": f, "Destination": {"Bucket": "arn:aws:s3:::copy"}}
+    docs = [
+        ("lake-0", "c0", [doc("r1", {"And": {"Prefix": "u/1", "Tags": [pair("type", "click")]}}), doc("r4", {"Tag": pair("type", "click"), "Prefix": ""}), doc("none", {"Prefix": "u/"})]),
+        ("lake-1", "c1", [doc("r2", {"And": {"Tag": pair("type", "view")}})]),
+        ("lake-2", "c2", [doc("r3", {"And": {"Tags": [pair("k", "1"), pair("type", "purchase"), pair("k", "7")]}})]),
+    ]
+    derived = R.derive(spark.createDataFrame(docs, f"bucket string, config_id string, {R.DOCUMENT}"))
+    tags = F.concat_ws(",", F.col("tag_filter")["type"], F.col("tag_filter")["k"])
+    return derived.select("bucket", "rule_id", tags.alias("tag_values"), "key_prefix")
+
+
+@query("SELECT bucket, key, version_id, sequence_number, config_id, rule_id FROM m")
+def rule_match(spark, sf):
+    return matches(spark, sf).select("bucket", "key", "version_id", "sequence_number", "config_id", "rule_id")
+
+
+@query("SELECT bucket, key, version_id, sequence_number, config_id, rule_id FROM m")
+def rule_match_division(spark, sf):
+    return R.match_by_tags(live(spark, sf), R.inline_rules(spark)).select("bucket", "key", "version_id", "sequence_number", "config_id", "rule_id")
+
+
+@query("SELECT bucket, key, config_id, string_agg(DISTINCT rule_id, ',' ORDER BY rule_id) AS rules, string_agg(DISTINCT 'arn:aws:s3:::' || dest, ',' ORDER BY 'arn:aws:s3:::' || dest) AS destinations FROM m GROUP BY lid, bucket, key, config_id")
+def rule_match_grouped(spark, sf):
+    return R.grouped(matches(spark, sf)).select("bucket", "key", "config_id", F.concat_ws(",", "rules").alias("rules"), F.concat_ws(",", "destinations").alias("destinations"))
+
+
+@query("SELECT count(DISTINCT key) AS n FROM w WHERE bucket = 'lake-0' AND ((type = 'click' AND starts_with(key, 'u/1')) OR type = 'click')")
+def rule_predicate_count(spark, sf):
+    rules = [r.asDict() for r in R.inline_rules(spark).where("bucket = 'lake-0'").limit(1000).collect()]
+    return ops(spark, sf).where((F.col("bucket") == "lake-0") & R.predicate(rules)).agg(F.countDistinct("key").alias("n"))
+
+
+# ---------------------------------------------------------------- manifest
+
+@query("SELECT bucket, key, rules FROM mf")
+def manifest_union(spark, sf):
+    return manifest(spark, sf).select("bucket", "key", F.concat_ws(",", "rules").alias("rules"))
+
+
+@query("SELECT bucket, key, version_id, tagged_at FROM mf")
+def manifest_first_version(spark, sf):
+    return manifest(spark, sf).select("bucket", "key", "version_id", "tagged_at")
+
+
+@query("SELECT bucket, key, destinations FROM mf")
+def manifest_routing(spark, sf):
+    return manifest(spark, sf).select("bucket", "key", F.concat_ws(",", "destinations").alias("destinations"))
+
+
+@query("SELECT bucket, bucket || ',' || key || ',' || coalesce(version_id, 'null') AS row FROM mf")
+def manifest_rows(spark, sf):
+    return M.rendered(manifest(spark, sf))
+
+
+@query("SELECT bucket, count(*) AS object_count, md5(string_agg(bucket || ',' || key || ',' || coalesce(version_id, 'null'), chr(10) ORDER BY key)) AS checksum FROM mf GROUP BY bucket")
+def manifest_checksum(spark, sf):
+    rows = manifest(spark, sf).select("bucket", F.struct("key", C.manifest_row(F.col("bucket"), F.col("key"), F.col("version_id")).alias("row")).alias("r"))
+    ordered = F.transform(F.array_sort(F.collect_list("r")), lambda x: x["row"])
+    return rows.groupBy("bucket").agg(F.count("*").alias("object_count"), F.md5(F.array_join(ordered, "\n")).alias("checksum"))
+
+
+@query("SELECT bucket, key, version_id FROM del")
+def permanent_deletes(spark, sf):
+    return deletes(spark, sf)
+
+
+@query("SELECT bucket, key, version_id, tagged_at, rules, destinations FROM kept")
+def manifest_minus_deletes(spark, sf):
+    out = M.without_deleted(manifest(spark, sf), deletes(spark, sf))
+    return out.withColumns({"rules": F.concat_ws(",", "rules"), "destinations": F.concat_ws(",", "destinations")})
+
+
+# ---------------------------------------------------------------- state
+
+@query(f"SELECT {COLS} FROM a WHERE EXISTS (SELECT 1 FROM kept WHERE kept.bucket = a.bucket AND kept.key = a.key AND kept.version_id IS NOT DISTINCT FROM a.version_id)")
+def submitted_refs(spark, sf):
+    kept = M.without_deleted(manifest(spark, sf), deletes(spark, sf))
+    return M.references(live(spark, sf), kept).select(*ROW)
+
+
+@query("SELECT bucket, key, version_id, max(record_timestamp) AS watermark, count(*) AS n FROM w LEFT JOIN state ON bucket = sb WHERE mark IS NULL OR record_timestamp > mark - INTERVAL 1 DAY GROUP BY bucket, key, version_id")
+def window_prune(spark, sf):
+    named = ops(spark, sf).withColumn("lid", F.concat_ws("|", "bucket", "key", F.coalesce("version_id", F.lit("<null>")), "sequence_number"))
+    kept = S.prune(named.select("bucket", "lid", "record_timestamp"), state(spark).drop("lease_mark"), DAY)
+    parts = F.split("lid", r"\|")
+    return kept.groupBy("bucket", parts[1].alias("key"), F.when(parts[2] != "<null>", parts[2]).alias("version_id")).agg(F.max("watermark").alias("watermark"), F.count("*").alias("n"))
+
+
+@query("SELECT sb AS bucket, CASE WHEN EXISTS (SELECT 1 FROM kept WHERE kept.bucket = sb) THEN greatest(mark, h) ELSE mark END AS watermark FROM state LEFT JOIN (SELECT bucket, max(record_timestamp) AS h FROM el GROUP BY bucket) ON bucket = sb")
+def checkpoint_advance(spark, sf):
+    kept = M.without_deleted(manifest(spark, sf), deletes(spark, sf))
+    return S.advance(state(spark).drop("lease_mark"), J.high_water_mark(eligible(spark, sf)), kept.select("bucket"))
+
+
+OUTCOMES = """WITH o AS (SELECT 'lake-' || CAST(o_custkey % 3 AS VARCHAR) AS bucket, o_orderkey AS job_id, CASE o_orderstatus WHEN 'F' THEN 'Failed' WHEN 'O' THEN 'Complete' ELSE 'Active' END AS status,
+ o_orderkey % 4 AS ok, o_orderkey % 3 AS bad, o_orderkey % 5 AS streak, CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000000Z') END AS low FROM orders),
+f AS (SELECT *, status = 'Failed' OR (status = 'Complete' AND ok = 0 AND bad > 0) AS failed FROM o) """
+
+
+def outcomes(spark, sf):
+    o, k = spark.read.parquet(f"{sf}/orders.parquet"), F.col("o_orderkey")
+    return o.select(
+        F.concat(F.lit("lake-"), (F.col("o_custkey") % 3).cast("string")).alias("bucket"),
+        k.alias("job_id"),
+        F.when(F.col("o_orderstatus") == "F", "Failed").when(F.col("o_orderstatus") == "O", "Complete").otherwise("Active").alias("status"),
+        (k % 4).alias("tasks_succeeded"),
+        (k % 3).alias("tasks_failed"),
+        (k % 5).alias("consecutive_failures"),
+        F.when(k % 6 == 0, "").otherwise(C.watermark(F.col("o_orderdate"))).alias("watermark_low"),
+    )
+
+
+@query(OUTCOMES + "SELECT bucket, coalesce(max(CASE WHEN failed THEN streak + 1 END), 0) AS consecutive_failures, min(CASE WHEN failed AND low <> '' THEN low END) AS rollback_to, count(CASE WHEN failed AND low = '' THEN 1 END) AS skipped_empty, coalesce(max(CASE WHEN failed THEN streak + 1 END), 0) >= 3 AS disable FROM f GROUP BY bucket")
+def recovery_plan(spark, sf):
+    return S.recovery_plan(outcomes(spark, sf), 3)
+
+
+@query(OUTCOMES + "SELECT bucket, job_id, status FROM f WHERE failed")
+def effective_failures(spark, sf):
+    o = outcomes(spark, sf)
+    return o.where(S.effective_failure(F.col("status"), F.col("tasks_succeeded"), F.col("tasks_failed"))).select("bucket", "job_id", "status")
+
+
+REPORT = """, rep AS (SELECT bucket, key, version_id, sequence_number, CASE WHEN CAST(sequence_number AS BIGINT) % 3 = 0 THEN 'failed' ELSE 'succeeded' END AS task_status,
+ CASE WHEN CAST(sequence_number AS BIGINT) % 3 = 0 THEN CASE WHEN CAST(sequence_number AS BIGINT) % 2 = 0 THEN '403' ELSE '404' END ELSE '200' END AS http_status,
+ CASE WHEN CAST(sequence_number AS BIGINT) % 3 = 0 THEN CASE WHEN CAST(sequence_number AS BIGINT) % 2 = 0 THEN 'AccessDenied' ELSE 'NoSuchKey' END END AS error_code FROM a) """
+
+
+def report(spark, sf):
+    """Report rows as files have them: encoded keys, and the last two columns in either order."""
+    seq = F.col("sequence_number").cast("long")
+    status = F.when(seq % 3 != 0, "200").when(seq % 2 == 0, "403").otherwise("404")
+    code = F.when(seq % 3 != 0, "").when(seq % 2 == 0, "AccessDenied").otherwise("NoSuchKey")
+    flip = seq % 5 == 0
+    return live(spark, sf).select(
+        "bucket", C.encode_key(F.col("key")).alias("key"), F.coalesce("version_id", F.lit("null")).alias("version_id"), "sequence_number",
+        F.when(seq % 3 == 0, "failed").otherwise("succeeded").alias("task_status"), F.when(flip, code).otherwise(status).alias("c4"), F.when(flip, status).otherwise(code).alias("c5"),
+    )
+
+
+def parsed(spark, sf):
+    status, code = C.status_and_error(F.col("c4"), F.col("c5"))
+    return report(spark, sf).select("bucket", C.decode_key(F.col("key")).alias("key"), F.when(~F.col("version_id").isin("null", ""), F.col("version_id")).alias("version_id"), "sequence_number", "task_status", status.alias("http_status"), code.alias("error_code"))
+
+
+@query(REPORT + "SELECT * FROM rep")
+def report_parse(spark, sf):
+    return parsed(spark, sf)
+
+
+@query(REPORT + "SELECT error_code, count(*) AS n, min(sequence_number) AS first_sequence FROM rep WHERE error_code IS NOT NULL GROUP BY error_code")
+def report_error_codes(spark, sf):
+    return parsed(spark, sf).where("error_code IS NOT NULL").groupBy("error_code").agg(F.count("*").alias("n"), F.min("sequence_number").alias("first_sequence"))
+
+
+TRACK = """, items AS (SELECT mf.*, CASE WHEN length(key) % 3 = 0 THEN 'RESOLVED' ELSE 'PENDING' END AS state, length(key) % 2 = 0 AS confirmed,
+ CASE length(key) % 4 WHEN 0 THEN 'COMPLETED' WHEN 1 THEN 'FAILED' WHEN 2 THEN 'PENDING' END AS header, CASE length(key) % 5 WHEN 0 THEN 'OBJECT_GONE' WHEN 1 THEN 'HEADER_ABSENT' ELSE 'HEADER_VALUE' END AS kind FROM mf),
+rec AS (SELECT *, CASE kind WHEN 'OBJECT_GONE' THEN 'OBJECT_GONE' WHEN 'HEADER_ABSENT' THEN 'NOT_REPLICATED' ELSE CASE WHEN header IN ('COMPLETED', 'FAILED') THEN header WHEN header = 'PENDING' THEN CASE WHEN expired THEN 'EXPIRED' END ELSE 'UNKNOWN' END END AS outcome
+ FROM (SELECT *, tagged_at < TIMESTAMP '2024-01-18' AS expired FROM items)) """
+
+
+def tracked(spark, sf):
+    n = F.length("key")
+    return manifest(spark, sf).withColumns({
+        "state": F.when(n % 3 == 0, "RESOLVED").otherwise("PENDING"),
+        "configs": F.create_map(F.lit("c"), n % 2 == 0),
+        "manifest_at": F.col("tagged_at"),
+        "header": F.when(n % 4 == 0, "COMPLETED").when(n % 4 == 1, "FAILED").when(n % 4 == 2, "PENDING"),
+        "kind": F.when(n % 5 == 0, "OBJECT_GONE").when(n % 5 == 1, "HEADER_ABSENT").otherwise("HEADER_VALUE"),
+        "expired": S.expired(F.col("tagged_at"), ntz(datetime(2024, 1, 20)), 2 * DAY),
+    })
+
+
+def reconciled(spark, sf):
+    return tracked(spark, sf).withColumn("outcome", S.reconcile(F.col("kind"), F.col("header"), F.col("expired")))
+
+
+@query(", n AS (SELECT bucket, key, version_id, rules, starts_with(key, 'u/1') AS old, NOT starts_with(key, 'u/10') AS fresh FROM mf) SELECT bucket, key, version_id, CASE WHEN old AND fresh THEN 'a,b' WHEN old THEN 'a' ELSE 'b' END AS configs FROM n WHERE old OR fresh")
+def tracked_upsert(spark, sf):
+    m = manifest(spark, sf)
+    old = m.where(F.col("key").startswith("u/1")).select("bucket", "key", "version_id", F.create_map(F.lit("a"), F.lit(True)).alias("configs"), F.lit("PENDING").alias("state"))
+    new = m.where(~F.col("key").startswith("u/10")).select("bucket", "key", "version_id", F.create_map(F.lit("b"), F.lit(True)).alias("configs"))
+    return S.upsert(old, new).select("bucket", "key", "version_id", F.array_join(F.array_sort(F.map_keys("configs")), ",").alias("configs"))
+
+
+@query(TRACK + "SELECT bucket, key, version_id, tagged_at FROM items WHERE state = 'PENDING' AND confirmed ORDER BY tagged_at, bucket, key LIMIT 20")
+def check_candidates(spark, sf):
+    return S.check_candidates(tracked(spark, sf), 20).select("bucket", "key", "version_id", "tagged_at")
+
+
+@query(TRACK + "SELECT bucket, key, version_id, kind, outcome FROM rec")
+def reconcile_status(spark, sf):
+    return reconciled(spark, sf).select("bucket", "key", "version_id", "kind", "outcome")
+
+
+@query(TRACK + "SELECT bucket, key, version_id FROM rec WHERE expired AND state = 'PENDING'")
+def expired_items(spark, sf):
+    return tracked(spark, sf).where(F.col("expired") & (F.col("state") == "PENDING")).select("bucket", "key", "version_id")
+
+
+def publishable(spark, sf):
+    scan = F.when(F.col("bucket") != "lake-2", ntz(datetime(2024, 1, 20)))
+    quiet = S.quiescent(scan, F.when(F.col("bucket") == "lake-0", 0).otherwise(1) * F.length("key") % 2, F.col("manifest_at"))
+    return tracked(spark, sf).where((F.col("state") == "RESOLVED") & quiet)
+
+
+PUB = " state = 'RESOLVED' AND bucket <> 'lake-2' AND TIMESTAMP '2024-01-20' > tagged_at AND (bucket = 'lake-0' OR length(key) % 2 = 0)"
+
+
+@query(TRACK + f"SELECT bucket, key, version_id FROM items WHERE {PUB}")
+def publishable_items(spark, sf):
+    return publishable(spark, sf).select("bucket", "key", "version_id")
+
+
+@query(TRACK + "SELECT bucket, rules, destinations, count(*) AS items, min(tagged_at) AS first_tagged, max(tagged_at) AS last_tagged, count(CASE WHEN outcome = 'FAILED' THEN 1 END) AS failed FROM rec GROUP BY bucket, rules, destinations")
+def completion_groups(spark, sf):
+    g = S.outcome_groups(reconciled(spark, sf))
+    return g.select("bucket", F.concat_ws(",", "rules").alias("rules"), F.concat_ws(",", "destinations").alias("destinations"), "items", "first_tagged", "last_tagged", F.coalesce(F.col("outcomes")["FAILED"], F.lit(0)).cast("long").alias("failed"))
+
+
+@query(TRACK + "SELECT coalesce(outcome, 'NONE') AS outcome, count(*) AS n FROM rec GROUP BY 1")
+def outcome_counts(spark, sf):
+    return reconciled(spark, sf).groupBy(F.coalesce("outcome", F.lit("NONE")).alias("outcome")).agg(F.count("*").alias("n"))
+
+
+@query(TRACK + f"SELECT (SELECT count(*) FROM items) - (SELECT count(*) FROM items WHERE {PUB}) AS outstanding")
+def outstanding_count(spark, sf):
+    ready = publishable(spark, sf).agg(F.count("*").alias("ready"))
+    return tracked(spark, sf).agg(F.count("*").alias("total")).join(F.broadcast(ready)).select((F.col("total") - F.col("ready")).alias("outstanding"))  # two single rows
+
+
+@query("SELECT d.bucket, sum(deliveries)::BIGINT AS raw, count(*) AS ops, sum(deliveries)::BIGINT - count(*) AS duplicates, count(CASE WHEN storage_class IN ('GLACIER', 'DEEP_ARCHIVE') THEN 1 END) AS archived FROM d GROUP BY d.bucket")
+def bucket_metrics(spark, sf):
+    return newest(spark, sf).groupBy("bucket").agg(F.sum("deliveries").alias("raw"), F.count("*").alias("ops"), (F.sum("deliveries") - F.count("*")).alias("duplicates"), F.count_if(C.is_archived(F.col("storage_class"))).alias("archived"))
+
+
+@query("SELECT count(DISTINCT bucket) AS buckets, sum(deliveries)::BIGINT AS raw, sum(deliveries)::BIGINT - count(*) AS duplicates, max(deliveries) > 1 AS any_duplicates FROM d")
+def run_summary(spark, sf):
+    return newest(spark, sf).agg(F.countDistinct("bucket").alias("buckets"), F.sum("deliveries").alias("raw"), (F.sum("deliveries") - F.count("*")).alias("duplicates"), F.bool_or(F.col("deliveries") > 1).alias("any_duplicates"))
+
+
+# ---------------------------------------------------------------- scalar functions
+
+@query("WITH p AS (SELECT page_id, url FROM pages) SELECT page_id, replace(replace(replace(replace(replace(replace(url, '%', '%25'), ':', '%3A'), '?', '%3F'), '=', '%3D'), '#', '%23'), '&', '%26') AS encoded FROM p")
+def key_encode(spark, sf):
+    return spark.read.parquet(f"{sf}/pages.parquet").select("page_id", C.encode_key(F.col("url")).alias("encoded"))
+
+
+@query("WITH p AS (SELECT page_id, url FROM pages) SELECT page_id, url AS decoded FROM p")
+def key_decode(spark, sf):
+    return spark.read.parquet(f"{sf}/pages.parquet").select("page_id", C.decode_key(C.encode_key(F.col("url"))).alias("decoded"))
+
+
+@query("WITH p AS (SELECT page_id, url FROM pages) SELECT page_id, '<redacted-key sha256:' || substr(sha256(url), 1, 12) || ' len=' || CAST(length(url) AS VARCHAR) || '>' AS redacted FROM p")
+def key_redact(spark, sf):
+    return spark.read.parquet(f"{sf}/pages.parquet").select("page_id", C.redact_key(F.col("url")).alias("redacted"))
+
+
+@query("WITH p AS (SELECT event_id, ts FROM events) SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS watermark FROM p")
+def watermark_format(spark, sf):
+    return spark.read.parquet(f"{sf}/events.parquet").select("event_id", C.watermark(F.col("ts")).alias("watermark"))
+
+
+@query("WITH p AS (SELECT event_id, ts FROM events) SELECT event_id, ts - INTERVAL 2 HOUR AS window_start FROM p")
+def watermark_subtract(spark, sf):
+    return spark.read.parquet(f"{sf}/events.parquet").select("event_id", C.subtract(F.col("ts"), 7200).alias("window_start"))
+
+
+@query("WITH p AS (SELECT o_orderkey, o_orderstatus FROM orders) SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'plain' ELSE 'bucket-' || o_orderstatus END AS bucket FROM p")
+def arn_to_bucket(spark, sf):
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    arn = F.when(F.col("o_orderstatus") == "F", "plain").otherwise(F.concat(F.lit("arn:aws:s3:::bucket-"), "o_orderstatus"))
+    return o.select("o_orderkey", C.bucket_of_arn(arn).alias("bucket"))
+
+
+@query("SELECT bucket || ',' || key || ',' || coalesce(version_id, 'null') AS row FROM j WHERE type = 'view' AND NOT coalesce(is_delete_marker, false)")
+def inventory_backfill(spark, sf):
+    live_ = journal(spark, sf).where((F.col("object_tags")["type"] == "view") & ~F.coalesce("is_delete_marker", F.lit(False)))
+    return live_.select(C.manifest_row(F.col("bucket"), F.col("key"), F.col("version_id")).alias("row"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from tagflow.streaming.journal import stream_dedup_within_watermark
 
-def queries() -> dict:
-    return {}
+    return QUERIES | {"stream_dedup_within_watermark": stream_dedup_within_watermark}
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)

@@ -107,7 +107,7 @@ def asked(grouped: DataFrame, buckets: int) -> DataFrame:
         bucket = _bucket_of(code, buckets)
         order = np.argsort(bucket, kind="stable")
         head = runs(bucket[order])
-        for i, j in zip(head, [*head[1:], len(order)], strict=True):
+        for i, j in zip(head, [*head[1:], len(order)], strict=False):
             o = order[i:j]
             out.append((CODES, int(bucket[o[0]]), group, code[o].tobytes(), count[o].tobytes()))
         return pd.DataFrame(out, columns=["kind", "bucket", "grp", "item", "n"])

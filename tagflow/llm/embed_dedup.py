@@ -155,7 +155,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
         change = np.concatenate(([True], (code[1:] != code[:-1]).any(1)))
         head = np.flatnonzero(change)
         out = [pd.DataFrame({"vec_id": np.zeros(0, np.int64), "degree": np.zeros(0, np.int64), "root": np.zeros(0, np.int64)})]
-        for i, j in zip(head, [*head[1:], len(frame)], strict=True):
+        for i, j in zip(head, [*head[1:], len(frame)], strict=False):
             if j - i > 1:
                 out.append(_local(frame.iloc[i:j], turn, threshold))
         return pd.concat(out).groupby(["vec_id", "root"], as_index=False).sum()[["vec_id", "degree", "root"]]

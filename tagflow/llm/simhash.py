@@ -128,7 +128,7 @@ def probes(classes: DataFrame, radius: int, count: int, buckets: int) -> DataFra
                     bucket = ((mix >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
                     order = np.argsort(bucket, kind="stable")
                     head = runs(bucket[order])
-                    for i, j in zip(head, [*head[1:], len(order)], strict=True):
+                    for i, j in zip(head, [*head[1:], len(order)], strict=False):
                         o = order[i:j]
                         r = row[o]
                         columns = {"value": ask[o], "v": v[r], "fp": fp[r], "code": code[r], "probe": col[o] > 0}

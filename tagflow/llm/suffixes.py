@@ -99,7 +99,7 @@ def _packed(bucket: np.ndarray, doc: np.ndarray, ids: np.ndarray, marks: np.ndar
     """One row for each bucket: the columns of its entries as bytes, entries in the order of documents."""
     order = np.argsort(bucket, kind="stable")
     head = runs(bucket[order])
-    for i, j in zip(head, [*head[1:], len(order)], strict=True):
+    for i, j in zip(head, [*head[1:], len(order)], strict=False):
         o = order[i:j]
         own = doc[o]
         first = runs(own)
@@ -194,7 +194,7 @@ def _per_document(rows: DataFrame, kinds: dict[str, str], out: dict[str, str], p
         found = {"doc_id": i[head], "mark": m[head]}
         for name, (value, used) in pick(c).items():
             v, u = value[order], used[order]
-            found[name] = [v[a:b][u[a:b]].tobytes() for a, b in zip(head, [*head[1:], len(order)], strict=True)]
+            found[name] = [v[a:b][u[a:b]].tobytes() for a, b in zip(head, [*head[1:], len(order)], strict=False)]
         return pd.DataFrame(found)
 
     return rows.groupBy("bucket").applyInPandas(work, ", ".join(["doc_id long, mark long", *(f"{k} {v}" for k, v in out.items())]))
@@ -344,16 +344,19 @@ def remove_repeats(docs: DataFrame, least: int = 50) -> DataFrame:
     A character cut in two goes whole. Rows stay, also those left with an empty text.
     """
     columns = docs.columns
-    rest = tuple(c for c in columns if c not in ("doc_id", "text"))
-    schema = T.StructType([docs.select(F.col("doc_id").cast("long"), "text", *rest).schema[c] for c in columns])
+    held = {c: f"held_{k}" for k, c in enumerate(columns) if c not in ("doc_id", "text")}
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col(f"`{c}`").alias(h) for c, h in held.items()))
+    order = [held.get(c, c) for c in columns]
+    schema = T.StructType([plain.schema[c] for c in order])
+    length = held.get("n_chars")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = batch[columns].copy()
+            out = batch[order].copy()
             text = [_without(t, c).decode("utf-8", "ignore") for t, c in _parts(batch, least)]
             out["text"] = [None if old is None else new for old, new in zip(batch["text"], text, strict=True)]
-            if "n_chars" in columns:
-                out["n_chars"] = [len(x) for x in text]
+            if length:
+                out[length] = [len(x) for x in text]
             yield out
 
-    return repeats(docs, least, rest).drop("mark").mapInPandas(work, schema)
+    return repeats(plain, least, tuple(held.values())).drop("mark").mapInPandas(work, schema).toDF(*columns)

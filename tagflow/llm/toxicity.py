@@ -148,7 +148,7 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 25) -> np.nda
 
 def _matrix(rows: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
     out = np.zeros((len(rows), len(chosen)), np.float32)
-    for k, own in enumerate(rows):
+    for k, own in enumerate(rows if len(chosen) else []):
         at = np.searchsorted(chosen, own)
         at[at == len(chosen)] = 0
         out[k, at[chosen[at] == own]] = 1

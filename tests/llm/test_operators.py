@@ -1,0 +1,308 @@
+"""The ten operators against brute force, and on nulls, empty tables, ties, repeats and extra columns."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from tokenizers import Tokenizer
+
+from tagflow.llm import bpe, ctw, embed_dedup, knn, licenses, packing, simhash, suffixes, toxicity, urls
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+SENTENCE = "the river runs past the old mill and the long wall before it meets the sea again. "
+TEXTS = [
+    (1, "Licensed under the Apache License, Version 2.0. " + SENTENCE * 3),
+    (2, None),
+    (3, ""),
+    (4, SENTENCE * 3 + "MIT License; mit-license CC\nBY 4.0"),
+    (5, "it's  a\ttest <|endoftext|> 日本語 😀 ½ 123\r\n\r\n  end "),
+    (6, SENTENCE * 40 + "x" * 3000),
+    (7, "it's  a\ttest <|endoftext|> 日本語 😀 ½ 123\r\n\r\n  end "),
+    (8, "abc" * 40),
+    (9, "abc" * 40 + "é" * 60),
+]
+SCHEMA = "doc_id long, text string, fp string, score double, mark int, grp string, n_chars int"
+
+
+def table(spark, rows=TEXTS):
+    """Documents with extra columns whose names the operators use inside."""
+    return spark.createDataFrame([(i, t, "x", 1.0, 2, "g", 3) for i, t in rows], SCHEMA)
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def spread(rows, near):
+    """Smallest id reachable over near pairs."""
+    label = {i: i for i, _ in rows}
+    changed = True
+    while changed:
+        changed = False
+        for i, x in rows:
+            for j, y in rows:
+                if near(x, y) and label[j] < label[i]:
+                    label[i] = label[j]
+                    changed = True
+    return label
+
+
+def test_licenses(spark):
+    found = {r.doc_id: r for r in licenses.scan(table(spark)).collect()}
+    for i, text in TEXTS:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+        at, labels = [], set()
+        for phrase, label in licenses.BASE:
+            p = phrase.split()
+            hits = [k for k in range(len(words)) if words[k : k + len(p)] == p]
+            at += hits
+            labels |= {label} if hits else set()
+        r = found[i]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels)))
+        assert labels <= set(r.labels.split(",")) | (set() if labels else {""}) and 0 <= r.score <= 1
+    assert found[1].labels == "apache,apache-2.0" and len(licenses.rules()) > 200
+    assert licenses.scan(table(spark, [])).count() == 0
+    assert not re.search("Python|Pandas|Arrow", licenses.scan(table(spark))._jdf.queryExecution().executedPlan().toString())
+
+
+def test_urls(spark):
+    rows = [(1, "https://A.example.NET/en/x?q#f"), (2, "http://x.net/"), (3, "http://x.net"), (4, "ftp://example.com/de/1"), (5, "http://myexample.com/de/"), (6, None), (7, "no scheme"), (8, "http://casino-bonus.bet/slots"), (8, "http://casino-bonus.bet/slots")]
+    pages = spark.createDataFrame([(i, u, "h", "s") for i, u in rows], "page_id long, url string, host string, score string")
+    got = sorted([(r.page_id, r.host, r.path, r.rule, r.verdict) for r in urls.judge(pages).collect()])
+    assert got[:2] == [(1, "a.example.net", "/en/x", "example.net/en/", "allow"), (2, "x.net", "/", "net/", "block")]
+    assert got[2][:4] == (3, "x.net", "", None) and got[3][3:] == ("example.com/de/", "block") and got[4][3] is None
+    assert got[5][1:4] == ("", "", None) and got[6][1:4] == ("", "", None)
+    assert got[7] == got[8] and got[7][4] == "block"
+    assert urls.judge(pages.where("false")).count() == 0
+
+
+def test_simhash(spark):
+    def fp(text):
+        w = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
+        h = [xxhash.xxh64_intdigest(" ".join(w[i : i + 3]).encode(), 42) for i in range(max(1, len(w) - 2))] if w else []
+        return sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in h) > len(h))
+
+    rows = [(i, fp(t)) for i, t in TEXTS]
+    want = spread(rows, lambda x, y: (x ^ y).bit_count() <= 2)
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(table(spark)).collect()}
+    assert got == {i: (f"{x:016x}", want[i]) for i, x in rows}
+    assert simhash.near_duplicates(table(spark, [])).count() == 0
+
+
+def test_simhash_links_in_one_crowded_segment():
+    rng = np.random.default_rng(5)
+    fp = rng.integers(0, 1 << 16, 300, dtype=np.uint64) << np.uint64(48) | np.uint64(77)
+    value = np.full(300, 77, np.uint64)
+    root = np.arange(300)
+    for i, j in simhash._meetings(value, np.zeros(300, bool), most=1000):
+        near = np.bitwise_count(fp[i] ^ fp[j]) <= 2
+        root = simhash._hook(root, i[near], j[near])
+    want = spread(list(enumerate(fp.tolist())), lambda x, y: (x ^ y).bit_count() <= 2)
+    assert root.tolist() == [want[i] for i in range(300)]
+
+
+def brute_removal(rows, least=50):
+    data = [(i, (t or "").encode()) for i, t in rows]
+    first = {}
+    for i, b in data:
+        for k in range(len(b) - least + 1):
+            first[b[k : k + least]] = min(i, first.get(b[k : k + least], i))
+    out = []
+    for i, b in data:
+        gone = np.zeros(len(b), bool)
+        for k in range(len(b) - least + 1):
+            if first[b[k : k + least]] < i:
+                gone[k : k + least] = True
+        kept = bytes(np.frombuffer(b, np.uint8)[~gone])
+        out.append((i, len(b), int(gone.sum()), int((np.diff(gone.astype(int), prepend=0) == 1).sum()), hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
+
+
+def test_suffixes(spark):
+    rng = np.random.default_rng(3)
+    base = ["".join(rng.choice(list("abé"), 25)) * int(rng.integers(1, 9)) for _ in range(25)]
+    rows = TEXTS + [(20 + k, x) for k, x in enumerate(base)] + [(60 + k, base[k][3:] + base[-k]) for k in range(20)] + [(1, TEXTS[0][1])]
+    got = sorted(tuple(r) for r in suffixes.removal_digest(table(spark, rows)).collect())
+    assert got == brute_removal(rows)
+    cut = {r.doc_id: r for r in suffixes.remove_repeats(table(spark)).collect()}
+    assert set(cut[1].asDict()) == set(table(spark).columns) and cut[1].text == TEXTS[0][1] and cut[2].text is None and cut[7].text == ""
+    assert suffixes.removal_digest(table(spark, [])).count() == 0
+
+
+def test_ctw(spark):
+    got = {r.doc_id: r for r in ctw.score(table(spark)).collect()}
+    count, tokens = Counter(), {i: lower(t).encode().split() + [None] for i, t in TEXTS}
+    for i, w in tokens.items():
+        if zlib.crc32(str(i).encode()) % 10:
+            count.update(w)
+    n, v = sum(count.values()), len(count)
+    for i, w in tokens.items():
+        r = got[i]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (zlib.crc32(str(i).encode()) % 10 == 0, len(w), sum(count[x] > 0 for x in w), n)
+        assert r.base_score == pytest.approx(sum(math.log10((count[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w))
+        assert r.score <= 0 and (r.score == 0) == (not TEXTS[i - 1][1])
+    assert ctw.score(table(spark, [])).count() == 0
+
+
+def test_ctw_weights_are_those_of_the_recursion():
+    """The mix for every (context, byte) against a direct recursion over the tree."""
+    texts = [b"abracadabra", b"abcabcabd"]
+    code, count = ctw._counted(texts)
+    t = ctw.subtree(code, count)
+    import pandas as pd
+
+    base, rest = ctw.mixture(pd.DataFrame({"node": t["top"], "n0": t["c0"], "n1": t["c1"], "under": t["under"]}))
+    seen = Counter()
+    for x in texts:
+        padded = bytes(3) + x
+        for k in range(3, len(padded)):
+            for b in range(8):
+                for d in range(4):
+                    seen[(padded[k - d : k], (1 << b) | padded[k] >> (8 - b), padded[k] >> (7 - b) & 1)] += 1
+    kt = lambda a, b: math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - 2 * math.lgamma(0.5) - math.lgamma(a + b + 1)
+
+    def weighted(ctx, node):
+        a, b = seen[(ctx, node, 0)], seen[(ctx, node, 1)]
+        own = kt(a, b)
+        if len(ctx) == 3:
+            return own, own
+        below = sum(weighted(c, node)[0] for c in {k[0] for k in seen if k[1] == node and len(k[0]) == len(ctx) + 1 and k[0][1:] == ctx})
+        return math.log(0.5 * math.exp(own) + 0.5 * math.exp(below)), own
+
+    def mixed(ctx, full, node):
+        a, b = seen[(ctx, node, 0)], seen[(ctx, node, 1)]
+        p = (b + 0.5) / (a + b + 1)
+        if len(ctx) == 3:
+            return p
+        whole, own = weighted(ctx, node)
+        share = 0.5 * math.exp(own) / math.exp(whole)
+        return share * p + (1 - share) * mixed(full[-len(ctx) - 1 :], full, node)
+
+    for context, byte in ((b"abr", ord("a")), (b"cab", ord("d"))):
+        want = 0.0
+        for b in range(8):
+            one = mixed(b"", context, (1 << b) | byte >> (8 - b))
+            want += math.log10(one if byte >> (7 - b) & 1 else 1 - one)
+        at = np.flatnonzero(code == (context[0] << 24 | context[1] << 16 | context[2] << 8 | byte))[0]
+        got = 0.0
+        for b in range(8):
+            k = at * 8 + b
+            three = t["at3"][k]
+            two = t["up3"][three]
+            p3 = (t["a1"][three] + 0.5) / (t["a0"][three] + t["a1"][three] + 1)
+            p2 = t["share2"][two] * (t["b1"][two] + 0.5) / (t["b0"][two] + t["b1"][two] + 1) + (1 - t["share2"][two]) * p3
+            node = t["top"][t["up2"][two]]
+            one = base[node] + rest[node] * p2
+            got += math.log10(one if t["one"][k] else 1 - one)
+        assert got == pytest.approx(want)
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, x, "k", 1) for i, x in rows], "vec_id long, embedding array<float>, keys string, n int")
+
+
+def vector_rows():
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((400, 16)).astype(np.float32)
+    x[200:260] = x[:60] + 0.05 * rng.standard_normal((60, 16))
+    x[300] = x[301] = x[0]
+    odd = [(1000, None), (1001, [0.0] * 16), (1002, [float("nan")] * 16), (1003, [1.0]), (1004, [])]
+    return x, [(i, v.tolist()) for i, v in enumerate(x)] + odd
+
+
+def test_embedding_dedup(spark, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "BLOCK", 8)
+    x, rows = vector_rows()
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embed_dedup.near_vectors(vectors(spark, rows)).collect()}
+    d = x.astype(float)
+    near = (d @ d.T) / np.outer(np.linalg.norm(d, axis=1), np.linalg.norm(d, axis=1)) >= 0.9 - 1e-12
+    label = spread([(i, i) for i in range(len(x))], lambda i, j: near[i, j])
+    assert got == {i: (int(near[i].sum()) - 1, label[i], label[i] == i) for i in range(len(x))} | {i: (0, i, True) for i, _ in rows[len(x) :]}
+    assert embed_dedup.near_vectors(vectors(spark, [])).count() == 0
+
+
+def test_top_scores(spark):
+    x, rows = vector_rows()
+    got = sorted(tuple(r) for r in knn.top_scores(vectors(spark, rows)).collect())
+    whole = np.floor(64 * x.astype(float))
+    want = []
+    for q in range(0, len(x), 20):
+        order = sorted((-int(whole[q] @ whole[i]), i) for i in range(len(x)) if i != q)[:20]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(order)]
+    assert got == sorted(want)
+    assert knn.top_scores(vectors(spark, [])).count() == 0
+
+
+def test_packing(spark):
+    got = packing.pack(table(spark), TOKENIZER, size=64).collect()
+    library = Tokenizer.from_file(TOKENIZER)
+    ids = {i: library.encode(t or "", add_special_tokens=False).ids + [0] for i, t in TEXTS}
+    for i, own in ids.items():
+        parts = sorted((r for r in got if r.doc_id == i), key=lambda r: r.start)
+        assert sum(r.length for r in parts) == len(own) and all(r.doc_tokens == len(own) for r in parts)
+        for r in parts:
+            assert r.ids_crc32 == zlib.crc32(np.array(own[r.start : r.start + r.length], "<u4").tobytes())
+        assert [r.start for r in parts] == list(np.cumsum([0] + [r.length for r in parts])[:-1])
+    for s in {r.sequence_id for r in got}:
+        at = 0
+        for r in sorted((r for r in got if r.sequence_id == s), key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 64
+    assert packing.pack(table(spark, []), TOKENIZER).count() == 0
+
+
+def test_best_fit_takes_the_tightest_window():
+    window, offset = packing.best_fit(np.array([60, 50, 14, 4, 10]), 64)
+    assert window.tolist() == [0, 1, 1, 0, 2] and offset.tolist() == [0, 0, 50, 60, 0]
+
+
+def test_bpe(spark):
+    library = Tokenizer.from_file(TOKENIZER)
+    rows = TEXTS + [(30 + k, x) for k, x in enumerate(["'s'll 're", "  \n x", "aaaaaaaaa", "a'stm 've'S", "\x00 \x85　z", "don't  "])] + [(5, TEXTS[4][1])]
+    got = sorted((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.digests(table(spark, rows), TOKENIZER).collect())
+    want = []
+    for i, t in rows:
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        want.append((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
+    assert got == sorted(want)
+    full = {r.doc_id: r for r in bpe.encode(table(spark), TOKENIZER).collect()}
+    assert full[5].decoded == TEXTS[4][1] and full[2].ids == []
+    assert bpe.digests(table(spark, []), TOKENIZER).count() == 0
+
+
+def test_toxicity_on_held_out_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.score(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    right = sum(r.predicted == r.toxic for r in rows) / len(rows)
+    alarms = sum(r.predicted > r.toxic for r in rows)
+    assert right > 0.9 and alarms <= 2
+    assert all(r.score <= 1 for r in toxicity.score(table(spark), labels.where("false")).collect())
+    assert toxicity.keep_clean(table(spark), labels).columns == table(spark).columns
+    assert toxicity.score(table(spark, []), labels).count() == 0
+
+
+def test_pipeline_equals_its_stages_by_brute_force(spark, sf):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    clean = corpus_pipeline.drop_toxic(spark, docs, sf)
+    assert clean.columns == docs.columns
+    one = corpus_pipeline.drop_near_copies(spark, clean, sf)
+    kept = {r.doc_id: r.text for r in one.collect()}
+    cut = corpus_pipeline.cut_repeats(spark, one, sf).collect()
+    assert sorted((r.doc_id, hashlib.sha256(r.text.encode()).hexdigest()) for r in cut if "�" not in r.text)[:5]
+    want = {i: n - m for i, n, m, _, _ in brute_removal(sorted(kept.items()))}
+    assert all(len(r.text.encode()) <= want[r.doc_id] and want[r.doc_id] - len(r.text.encode()) < 40 for r in cut)
+    texts = Counter(r.text for r in clean.collect())
+    assert len(set(kept.values())) == len(kept) and len(kept) <= len(texts)
+    library = Tokenizer.from_file(corpus_pipeline.TOKENIZER)
+    tokens = {r.doc_id: len(library.encode(r.text, add_special_tokens=False).ids) + 1 for r in cut}
+    out = corpus_pipeline.run(spark, sf).collect()
+    assert Counter({i: n for i, n in tokens.items()}) == sum((Counter({r.doc_id: r.length}) for r in out), Counter())

@@ -3,12 +3,15 @@
 The model predicts each byte bit by bit. Every bit has a tree of contexts over the bytes before
 it (up to DEPTH); each node holds a Krichevsky-Trofimov estimate, and the weighting of the tree
 mixes the estimates of all depths. Counts come from training documents alone and are then
-fixed, so a text's score is a sum over its (context, byte) pairs.
+fixed, so a text's score is a sum over its (context, byte) pairs. Where training never saw a
+context, the mix ends at the deepest node that it saw.
 
 Documents are dealt into groups of bounded size. Each group sends its distinct tokens and
-(context, byte) codes with training counts to buckets; a bucket adds them up, works out the
-subtrees it holds whole and answers every group with what that group asked for. Only the nodes of
-depth zero and one (at most 256 * 255, whatever the input) pass through the driver.
+(context, byte) codes with training counts to buckets, which add them up in two steps (some
+groups each, then all), so that what meets in one task are distinct codes, not one copy from each
+group. A bucket works out the subtrees it holds whole, and every group gets the answers to what it
+asked for. Only the nodes of depth zero and one (at most 256 * 255, whatever the input) pass
+through the driver.
 """
 
 from __future__ import annotations
@@ -24,8 +27,10 @@ from pyspark.sql import functions as F
 
 from tagflow.llm.common import checkpointed, parts, runs, text_bytes
 
-DEPTH = 3
-GROUP_BYTES, BUCKET_BYTES = 12 << 20, 48 << 20
+DEPTH = 6
+GROUP_BYTES, BUCKET_BYTES = 24 << 20, 24 << 20
+#: Groups whose counts are added up together before all of them are.
+MERGED_GROUPS = 64
 HELD_OUT = 10
 TOKENS, CODES = 0, 1
 
@@ -36,12 +41,12 @@ def is_held_out(doc_id: F.Column) -> F.Column:
 
 
 def _codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Context and byte of every byte as one integer (three bytes before it, zero before the start), and text sizes."""
+    """Context and byte of every byte as one integer (DEPTH bytes before it, zero before the start), and text sizes."""
     size = np.fromiter(map(len, texts), np.int64, len(texts))
-    data = np.frombuffer(bytes(DEPTH) + bytes(DEPTH).join(texts), np.uint8).astype(np.uint32)
+    data = np.frombuffer(bytes(DEPTH) + bytes(DEPTH).join(texts), np.uint8).astype(np.uint64)
     code = data[DEPTH:].copy()
     for d in range(1, DEPTH + 1):
-        code |= data[DEPTH - d : len(data) - d] << np.uint32(8 * d)
+        code |= data[DEPTH - d : len(data) - d] << np.uint64(8 * d)
     own = np.zeros(len(code), bool)
     begin = np.cumsum(size + DEPTH) - (size + DEPTH)
     edge = np.zeros(len(code) + 1, np.int32)
@@ -64,7 +69,7 @@ def _slices(texts: list[bytes], most: int = 2 << 20) -> list[tuple[int, int]]:
 
 
 def _counted(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for i, j in _slices(texts):
         code = np.sort(_codes(texts[i:j])[0])
         head = runs(code)
@@ -76,15 +81,45 @@ def _counted(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _bucket_of(code: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket of a code by its two nearest context bytes: a subtree of depth two stays whole."""
-    near = (code >> np.uint32(8)) & np.uint32(0xFFFF)
-    return ((near * np.uint32(2654435761)) >> np.uint32(8)).astype(np.int64) % buckets
+    near = (code >> np.uint64(8)) & np.uint64(0xFFFF)
+    return (((near * np.uint64(2654435761)) >> np.uint64(8)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """An array, compressed with bytes of one significance together."""
+    return zlib.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes(), 1)
+
+
+def _unpacked(raw: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+def _pack_codes(code: np.ndarray) -> bytes:
+    """Sorted codes as differences."""
+    return _packed(np.diff(code, prepend=np.uint64(0)))
+
+
+def _unpack_codes(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(raw, np.uint64), dtype=np.uint64)
+
+
+def _pack_words(words: list[bytes]) -> bytes:
+    return zlib.compress(b"\n".join(words), 1)
+
+
+def _unpack_words(raw: bytes) -> list[bytes]:
+    return zlib.decompress(raw).split(b"\n")
 
 
 def _raw(frame: pd.DataFrame) -> list[bytes]:
     return [x.encode() if isinstance(x, str) else b"" for x in frame["text"]]
 
 
-def asked(grouped: DataFrame, buckets: int) -> DataFrame:
+ASKED = "kind int, bucket long, salt long, grp long, item binary, n binary"
+
+
+def asked(grouped: DataFrame, buckets: int, salts: int) -> DataFrame:
     """Distinct tokens and codes of every group with training counts, packed by bucket."""
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
@@ -94,25 +129,64 @@ def asked(grouped: DataFrame, buckets: int) -> DataFrame:
         for x, t in zip(texts, train.tolist(), strict=True):
             words = x.lower().split()
             learned.update(words) if t else seen.update(words)
-        rows: dict[int, tuple[list, list]] = {}
-        for word in [*learned, *(seen - learned.keys())]:
-            row = rows.setdefault(zlib.crc32(word) % buckets, ([], []))
-            row[0].append(word)
-            row[1].append(learned[word])
-        out = [(TOKENS, b, group, b"\n".join(w), np.array(n, np.int64).tobytes()) for b, (w, n) in rows.items()]
+        rows: dict[int, list[bytes]] = {}
+        for word in sorted(learned.keys() | seen):
+            rows.setdefault(zlib.crc32(word) % buckets, []).append(word)
+        out = [(TOKENS, b, _pack_words(w), _packed(np.array([learned[x] for x in w], np.int64))) for b, w in rows.items()]
         known, count = _counted([x for x, t in zip(texts, train.tolist(), strict=True) if t])
         other, _ = _counted([x for x, t in zip(texts, train.tolist(), strict=True) if not t])
         other = np.setdiff1d(other, known)
         code, count = np.concatenate((known, other)), np.concatenate((count, np.zeros(len(other), np.int64)))
         bucket = _bucket_of(code, buckets)
-        order = np.argsort(bucket, kind="stable")
+        order = np.lexsort((code, bucket))
         head = runs(bucket[order])
         for i, j in zip(head, [*head[1:], len(order)], strict=False):
             o = order[i:j]
-            out.append((CODES, int(bucket[o[0]]), group, code[o].tobytes(), count[o].tobytes()))
-        return pd.DataFrame(out, columns=["kind", "bucket", "grp", "item", "n"])
+            out.append((CODES, int(bucket[o[0]]), _pack_codes(code[o]), _packed(count[o])))
+        return pd.DataFrame([(k, b, group % salts, group, item, n) for k, b, item, n in out], columns=["kind", "bucket", "salt", "grp", "item", "n"])
+
+    return grouped.groupBy("grp").applyInPandas(work, ASKED)
+
+
+def _added_words(frame: pd.DataFrame) -> dict[bytes, int]:
+    total: dict[bytes, int] = {}
+    for item, n in zip(frame["item"], frame["n"], strict=True):
+        for k, c in zip(_unpack_words(item), _unpacked(n, np.int64).tolist(), strict=True):
+            total[k] = total.get(k, 0) + c
+    return total
 
-    return grouped.groupBy("grp").applyInPandas(work, "kind int, bucket long, grp long, item binary, n binary")
+
+def _added_codes(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes and their counts, added up piece by piece."""
+    code, count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting = 0
+    for k, (item, n) in enumerate(zip(frame["item"], frame["n"], strict=True)):
+        held.append((_unpack_codes(item), _unpacked(n, np.int64)))
+        waiting += len(held[-1][0])
+        if k + 1 == len(frame) or waiting > max(1 << 20, len(code)):
+            every, weight = np.concatenate([code, *(h[0] for h in held)]), np.concatenate([count, *(h[1] for h in held)])
+            code, at = np.unique(every, return_inverse=True)
+            count = np.bincount(at, weight, len(code)).astype(np.int64)
+            held, waiting = [], 0
+    return code, count
+
+
+def merged(rows: DataFrame) -> DataFrame:
+    """The rows of each bucket and salt as one."""
+
+    def work(frame: pd.DataFrame) -> pd.DataFrame:
+        kind, bucket, salt = (int(frame[c].iloc[0]) for c in ("kind", "bucket", "salt"))
+        if kind == TOKENS:
+            total = _added_words(frame)
+            words = sorted(total)
+            item, n = _pack_words(words), _packed(np.array([total[w] for w in words], np.int64))
+        else:
+            code, count = _added_codes(frame)
+            item, n = _pack_codes(code), _packed(count)
+        return pd.DataFrame([(kind, bucket, salt, item, n)], columns=["kind", "bucket", "salt", "item", "n"])
+
+    return rows.groupBy("kind", "bucket", "salt").applyInPandas(work, "kind int, bucket long, salt long, item binary, n binary")
 
 
 _LN2 = math.log(2)
@@ -141,82 +215,96 @@ def _sums(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return kinds, at, [np.bincount(at, v, len(kinds)) for v in values]
 
 
-def subtree(code: np.ndarray, count: np.ndarray) -> dict[str, np.ndarray]:
-    """Nodes of depth three and two of a bucket; `at` arrays lead from (code, bit) to nodes."""
-    byte = (code & np.uint32(255)).astype(np.int64)
+def subtree(code: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+    """The nodes of a bucket from DEPTH to two, mixed.
+
+    For every (code, bit): the bit, the probability of a one by the node of depth two and all
+    below it, whether training saw that node, and its parent's key. Then the parents themselves.
+    """
+    byte = (code & np.uint64(255)).astype(np.int64)
     bit = np.arange(8)
     node = (1 << bit) | (byte[:, None] >> (8 - bit))
-    one = (byte[:, None] >> (7 - bit)) & 1
-    weight = np.broadcast_to(count[:, None], node.shape)
-    n1, n0 = (weight * one).ravel(), (weight * (1 - one)).ravel()
-    deep, at3, (a0, a1) = _sums((((code >> np.uint32(8)).astype(np.int64)[:, None] << 8) | node).ravel(), n0, n1)
-    p3 = log_kt(a0, a1)
-    mid, up3, (b0, b1, below) = _sums(deep & 0xFFFFFF, a0, a1, p3)
-    p2, share2 = weigh(log_kt(b0, b1), below)
-    top, up2, (c0, c1, under) = _sums(mid & 0xFFFF, b0, b1, p2)
-    return {"one": one.ravel(), "at3": at3, "a0": a0, "a1": a1, "up3": up3, "b0": b0, "b1": b1, "share2": share2, "up2": up2, "top": top, "c0": c0, "c1": c1, "under": under}
-
-
-def _total(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    code = np.frombuffer(b"".join(frame["item"]), np.uint32)
-    kinds, at = np.unique(code, return_inverse=True)
-    return kinds, at, np.bincount(at, np.frombuffer(b"".join(frame["n"]), np.int64), len(kinds))
+    one = ((byte[:, None] >> (7 - bit)) & 1).ravel()
+    weight = np.repeat(count, 8)
+    key = (((code >> np.uint64(8)).astype(np.int64)[:, None] << 8) | node).ravel()
+    key, path, (n0, n1) = _sums(key, weight * (1 - one), weight * one)
+    weighted = log_kt(n0, n1)
+    mix = ((n1 + 0.5) / (n0 + n1 + 1))[path]
+    seen = (n0 + n1 > 0)[path]
+    for depth in range(DEPTH - 1, 1, -1):
+        key, up, (n0, n1, below) = _sums(key & ((1 << (8 * depth + 8)) - 1), n0, n1, weighted)
+        weighted, share = weigh(log_kt(n0, n1), below)
+        path = up[path]
+        own = ((n1 + 0.5) / (n0 + n1 + 1))[path]
+        mix = np.where(seen, share[path] * own + (1 - share[path]) * mix, own)
+        seen = (n0 + n1 > 0)[path]
+    top, up, (n0, n1, below) = _sums(key & 0xFFFF, n0, n1, weighted)
+    return one, mix, seen, top[up[path]], {"node": top, "n0": n0, "n1": n1, "under": below}
 
 
 def top_nodes(rows: DataFrame) -> pd.DataFrame:
     """Counts and weighted children of the nodes of depth one: at most 256 * 255 rows."""
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
-        code, _, count = _total(frame)
-        t = subtree(code[count > 0], count[count > 0])
-        return pd.DataFrame({"node": t["top"], "n0": t["c0"], "n1": t["c1"], "under": t["under"]})
+        code, count = _added_codes(frame)
+        return pd.DataFrame(subtree(code[count > 0], count[count > 0])[4])
 
     part = rows.where(f"kind = {CODES}").groupBy("bucket").applyInPandas(work, "node long, n0 double, n1 double, under double")
     return part.groupBy("node").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "under"))).orderBy("node").limit(256 * 256).toPandas()
 
 
-def mixture(top: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """For every node of depth one: what the mix of depths zero and one adds, and the weight left for deeper ones (for bit one)."""
-    share1 = np.full(1 << 16, 0.5)
-    kt1, kt0, share0 = np.full(1 << 16, 0.5), np.full(256, 0.5), np.full(256, 0.5)
+def mixture(top: pd.DataFrame) -> dict[str, np.ndarray]:
+    """Estimates and shares of depths zero and one, for every node of depth one."""
+    share1, share0 = np.full(1 << 16, 0.5), np.full(256, 0.5)
+    kt1, kt0, seen1 = np.full(1 << 16, 0.5), np.full(256, 0.5), np.zeros(1 << 16, bool)
     at, n0, n1 = top["node"].to_numpy(np.int64), top["n0"].to_numpy(float), top["n1"].to_numpy(float)
     if len(at):
         p1, share1[at] = weigh(log_kt(n0, n1), top["under"].to_numpy(float))
-        kt1[at] = (n1 + 0.5) / (n0 + n1 + 1)
+        kt1[at], seen1[at] = (n1 + 0.5) / (n0 + n1 + 1), n0 + n1 > 0
         root, _, (r0, r1, under) = _sums(at & 255, n0, n1, p1)
         _, share0[root] = weigh(log_kt(r0, r1), under)
         kt0[root] = (r1 + 0.5) / (r0 + r1 + 1)
     node = np.arange(1 << 16) & 255
-    base = share0[node] * kt0[node] + (1 - share0[node]) * share1 * kt1
-    return base, (1 - share0[node]) * (1 - share1)
+    return {"kt1": kt1, "share1": share1, "seen1": seen1, "kt0": kt0[node], "share0": share0[node]}
+
+
+def probabilities(code: np.ndarray, count: np.ndarray, low: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """For every (code, bit): the bit, and the probability of a one by the mix of all depths."""
+    one, mix, seen, node, _ = subtree(code, count)
+    first = np.where(seen, low["share1"][node] * low["kt1"][node] + (1 - low["share1"][node]) * mix, low["kt1"][node])
+    return one, np.where(low["seen1"][node], low["share0"][node] * low["kt0"][node] + (1 - low["share0"][node]) * first, low["kt0"][node])
 
 
-def answers(rows: DataFrame, base: np.ndarray, rest: np.ndarray) -> DataFrame:
+def answered(rows: DataFrame, sums: DataFrame, low: dict[str, np.ndarray], salts: int) -> DataFrame:
     """For every group: its tokens with their corpus counts, and its codes with log10 probabilities."""
 
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        if frame["kind"].iloc[0] == TOKENS:
-            words = [x.split(b"\n") for x in frame["item"]]
-            total: Counter = Counter()
-            for w, n in zip(words, frame["n"], strict=True):
-                for k, c in zip(w, np.frombuffer(n, np.int64).tolist(), strict=True):
-                    total[k] += c
-            value = [np.array([total[k] for k in w], np.float64).tobytes() for w in words]
+    def model(frame: pd.DataFrame) -> pd.DataFrame:
+        kind, bucket = int(frame["kind"].iloc[0]), int(frame["bucket"].iloc[0])
+        if kind == TOKENS:
+            total = _added_words(frame)
+            words = sorted(total)
+            item, value = _pack_words(words), _packed(np.array([total[w] for w in words], np.int64))
         else:
-            code, at, count = _total(frame)
-            t = subtree(code, count)
-            p3 = ((t["a1"] + 0.5) / (t["a0"] + t["a1"] + 1))[t["at3"]]
-            two = t["up3"][t["at3"]]
-            kt2 = ((t["b1"] + 0.5) / (t["b0"] + t["b1"] + 1))[two]
-            p2 = t["share2"][two] * kt2 + (1 - t["share2"][two]) * p3
-            node = t["top"][t["up2"][two]]
-            one = base[node] + rest[node] * p2
-            score = np.log10(np.where(t["one"] == 1, one, 1 - one)).reshape(-1, 8).sum(1)
-            lengths = np.cumsum([len(x) // 4 for x in frame["item"]])[:-1]
-            value = [x.tobytes() for x in np.split(score[at], lengths)]
-        return pd.DataFrame({"kind": frame["kind"], "grp": frame["grp"], "item": frame["item"], "value": value})
-
-    return rows.groupBy("kind", "bucket").applyInPandas(work, "kind int, grp long, item binary, value binary")
+            code, count = _added_codes(frame)
+            one, high = probabilities(code, count, low)
+            score = np.log10(np.where(one == 1, high, 1 - high)).reshape(-1, 8).sum(1)
+            item, value = _pack_codes(code), _packed(score.astype(np.float32))
+        return pd.DataFrame([(kind, bucket, item, value)], columns=["kind", "bucket", "item", "value"])
+
+    def work(frame: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(frame) and frame["kind"].iloc[0] == TOKENS:
+            total = dict(zip(_unpack_words(found["item"].iloc[0]), _unpacked(found["value"].iloc[0], np.int64).tolist(), strict=True))
+            out = [_packed(np.array([total[w] for w in _unpack_words(x)], np.int64)) for x in frame["item"]]
+        elif len(frame):
+            code, score = _unpack_codes(found["item"].iloc[0]), _unpacked(found["value"].iloc[0], np.float32)
+            out = [_packed(score[np.searchsorted(code, _unpack_codes(x))]) for x in frame["item"]]
+        return pd.DataFrame({"kind": frame["kind"], "grp": frame["grp"], "item": frame["item"], "value": out})
+
+    table = sums.groupBy("kind", "bucket").applyInPandas(model, "kind int, bucket long, item binary, value binary")
+    table = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).select("kind", "bucket", F.col("salt").cast("long"), "item", "value")
+    keys = ("kind", "bucket", "salt")
+    return rows.groupBy(*keys).cogroup(table.groupBy(*keys)).applyInPandas(work, "kind int, grp long, item binary, value binary")
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -229,13 +317,15 @@ def score(docs: DataFrame) -> DataFrame:
     learned from) once each. With no training rows all estimates are one half. Extra columns are ignored.
     """
     total = text_bytes(docs)
-    groups, buckets = parts(total, GROUP_BYTES), parts(total, BUCKET_BYTES, 6)
+    groups, buckets = parts(total, GROUP_BYTES, 6), parts(total, BUCKET_BYTES, 6)
+    salts = parts(groups, MERGED_GROUPS)
     grouped = docs.select(
         F.col("doc_id").cast("long"), "text", is_held_out(F.col("doc_id")).alias("held"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("long").alias("grp")
     )
-    rows = checkpointed(asked(grouped, buckets))
-    base, rest = mixture(top_nodes(rows))
-    tokens = rows.where(f"kind = {TOKENS}").groupBy("bucket").applyInPandas(_token_totals, "n long, v long").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
+    rows = checkpointed(asked(grouped, buckets, salts))
+    sums = checkpointed(merged(rows))
+    low = mixture(top_nodes(sums))
+    tokens = sums.where(f"kind = {TOKENS}").groupBy("bucket").applyInPandas(_token_totals, "n long, v long").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     ends = docs.select(is_held_out(F.col("doc_id")).alias("held")).where(~F.col("held")).count()
     n_all, distinct = int(tokens["n"] or 0) + ends, int(tokens["v"] or 0) + (ends > 0)
     scale = math.log10(n_all + 0.1 * (distinct + 1))
@@ -245,13 +335,13 @@ def score(docs: DataFrame) -> DataFrame:
             return pd.DataFrame(columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
         texts = _raw(frame)
         count: dict[bytes, float] = {}
-        codes, values = [np.zeros(0, np.uint32)], [np.zeros(0)]
+        codes, values = [np.zeros(0, np.uint64)], [np.zeros(0, np.float32)]
         for kind, item, value in zip(found["kind"], found["item"], found["value"], strict=True):
             if kind == TOKENS:
-                count.update(zip(item.split(b"\n"), np.frombuffer(value).tolist(), strict=True))
+                count.update(zip(_unpack_words(item), _unpacked(value, np.int64).tolist(), strict=True))
             else:
-                codes.append(np.frombuffer(item, np.uint32))
-                values.append(np.frombuffer(value))
+                codes.append(_unpack_codes(item))
+                values.append(_unpacked(value, np.float32))
         code, value = np.concatenate(codes), np.concatenate(values)
         order = np.argsort(code)
         code, value = code[order], value[order]
@@ -268,20 +358,16 @@ def score(docs: DataFrame) -> DataFrame:
             plain.append(np.diff(logs[end]) + math.log10(ends + 0.1) - (size + 1) * scale)
             own, length = _codes(texts[i:j])
             stop = np.concatenate(([0], np.cumsum(length)))
-            model.append(np.diff(np.concatenate(([0.0], np.cumsum(value[np.searchsorted(code, own)] if len(own) else own)))[stop]))
+            model.append(np.diff(np.concatenate(([0.0], np.cumsum(value[np.searchsorted(code, own)].astype(float) if len(own) else np.zeros(0))))[stop]))
         out = pd.DataFrame({"doc_id": frame["doc_id"], "held_out": frame["held"]})
         out["n_tokens"], out["n_known"] = np.concatenate(n_tokens), np.concatenate(n_known)
         out["train_tokens"] = n_all
         out["base_score"], out["score"] = np.concatenate(plain), np.concatenate(model)
         return out
 
-    return grouped.groupBy("grp").cogroup(answers(rows, base, rest).groupBy("grp")).applyInPandas(work, SCORES)
+    return grouped.groupBy("grp").cogroup(answered(rows, sums, low, salts).groupBy("grp")).applyInPandas(work, SCORES)
 
 
 def _token_totals(frame: pd.DataFrame) -> pd.DataFrame:
-    known, total = set(), 0
-    for w, n in zip(frame["item"], frame["n"], strict=True):
-        count = np.frombuffer(n, np.int64)
-        total += int(count.sum())
-        known.update(k for k, c in zip(w.split(b"\n"), count.tolist(), strict=True) if c)
-    return pd.DataFrame({"n": [total], "v": [len(known)]})
+    count = np.array(list(_added_words(frame).values()), np.int64)
+    return pd.DataFrame({"n": [int(count.sum())], "v": [int((count > 0).sum())]})

@@ -151,26 +151,29 @@ def test_ctw(spark):
 
 
 def test_ctw_weights_are_those_of_the_recursion():
-    """The mix for every (context, byte) against a direct recursion over the tree."""
-    texts = [b"abracadabra", b"abcabcabd"]
-    code, count = ctw._counted(texts)
-    t = ctw.subtree(code, count)
+    """The mix for every (context, byte), trained and not, against a direct recursion over the tree."""
     import pandas as pd
 
-    base, rest = ctw.mixture(pd.DataFrame({"node": t["top"], "n0": t["c0"], "n1": t["c1"], "under": t["under"]}))
+    deep = ctw.DEPTH
+    texts, other = [b"abracadabra", b"abcabcabd"], [b"cabra!", b"zq"]
+    code, count = ctw._counted(texts)
+    low = ctw.mixture(pd.DataFrame(ctw.subtree(code, count)[4]))
+    more = np.setdiff1d(ctw._counted(other)[0], code)
+    code, count = np.concatenate((code, more)), np.concatenate((count, np.zeros(len(more), np.int64)))
+    one, high = ctw.probabilities(code, count, low)
+    got = np.log10(np.where(one == 1, high, 1 - high)).reshape(-1, 8).sum(1)
     seen = Counter()
     for x in texts:
-        padded = bytes(3) + x
-        for k in range(3, len(padded)):
+        padded = bytes(deep) + x
+        for k in range(deep, len(padded)):
             for b in range(8):
-                for d in range(4):
+                for d in range(deep + 1):
                     seen[(padded[k - d : k], (1 << b) | padded[k] >> (8 - b), padded[k] >> (7 - b) & 1)] += 1
-    kt = lambda a, b: math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - 2 * math.lgamma(0.5) - math.lgamma(a + b + 1)
 
     def weighted(ctx, node):
         a, b = seen[(ctx, node, 0)], seen[(ctx, node, 1)]
-        own = kt(a, b)
-        if len(ctx) == 3:
+        own = math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - 2 * math.lgamma(0.5) - math.lgamma(a + b + 1)
+        if len(ctx) == deep:
             return own, own
         below = sum(weighted(c, node)[0] for c in {k[0] for k in seen if k[1] == node and len(k[0]) == len(ctx) + 1 and k[0][1:] == ctx})
         return math.log(0.5 * math.exp(own) + 0.5 * math.exp(below)), own
@@ -178,29 +181,27 @@ def test_ctw_weights_are_those_of_the_recursion():
     def mixed(ctx, full, node):
         a, b = seen[(ctx, node, 0)], seen[(ctx, node, 1)]
         p = (b + 0.5) / (a + b + 1)
-        if len(ctx) == 3:
+        nearer = full[-len(ctx) - 1 :]
+        if len(ctx) == deep or not seen[(nearer, node, 0)] + seen[(nearer, node, 1)]:
             return p
         whole, own = weighted(ctx, node)
         share = 0.5 * math.exp(own) / math.exp(whole)
-        return share * p + (1 - share) * mixed(full[-len(ctx) - 1 :], full, node)
-
-    for context, byte in ((b"abr", ord("a")), (b"cab", ord("d"))):
-        want = 0.0
-        for b in range(8):
-            one = mixed(b"", context, (1 << b) | byte >> (8 - b))
-            want += math.log10(one if byte >> (7 - b) & 1 else 1 - one)
-        at = np.flatnonzero(code == (context[0] << 24 | context[1] << 16 | context[2] << 8 | byte))[0]
-        got = 0.0
-        for b in range(8):
-            k = at * 8 + b
-            three = t["at3"][k]
-            two = t["up3"][three]
-            p3 = (t["a1"][three] + 0.5) / (t["a0"][three] + t["a1"][three] + 1)
-            p2 = t["share2"][two] * (t["b1"][two] + 0.5) / (t["b0"][two] + t["b1"][two] + 1) + (1 - t["share2"][two]) * p3
-            node = t["top"][t["up2"][two]]
-            one = base[node] + rest[node] * p2
-            got += math.log10(one if t["one"][k] else 1 - one)
-        assert got == pytest.approx(want)
+        return share * p + (1 - share) * mixed(nearer, full, node)
+
+    for x in texts + other:
+        padded = bytes(deep) + x
+        for k in range(deep, len(padded)):
+            context, byte, want = padded[k - deep : k], padded[k], 0.0
+            for b in range(8):
+                p = mixed(b"", context, (1 << b) | byte >> (8 - b))
+                want += math.log10(p if byte >> (7 - b) & 1 else 1 - p)
+            assert got[np.flatnonzero(code == int.from_bytes(context + bytes([byte]), "big"))[0]] == pytest.approx(want)
+
+
+def test_ctw_scores_held_out_text_better_than_its_tokens(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = ctw.score(docs).where("held_out").toPandas()
+    assert held["score"].sum() > held["base_score"].sum()
 
 
 def vectors(spark, rows):

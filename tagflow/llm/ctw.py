@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from tagflow.llm.common import checkpointed, parts, runs, text_bytes
 
-DEPTH = 6
-GROUP_BYTES, BUCKET_BYTES = 24 << 20, 24 << 20
+DEPTH = 5
+GROUP_BYTES, BUCKET_BYTES = 12 << 20, 24 << 20
 #: Groups whose counts are added up together before all of them are.
 MERGED_GROUPS = 64
 HELD_OUT = 10

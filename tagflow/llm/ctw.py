@@ -307,6 +307,15 @@ def answered(rows: DataFrame, sums: DataFrame, low: dict[str, np.ndarray], salts
     return rows.groupBy(*keys).cogroup(table.groupBy(*keys)).applyInPandas(work, "kind int, grp long, item binary, value binary")
 
 
+def _found(own: np.ndarray, code: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Values of the codes `own` (all in the sorted `code`), looked up in sorted order so that memory is read in sequence."""
+    order = np.argsort(own)
+    out = np.empty(len(own))
+    if len(own):
+        out[order] = value[np.searchsorted(code, own[order])]
+    return out
+
+
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -358,7 +367,7 @@ def score(docs: DataFrame) -> DataFrame:
             plain.append(np.diff(logs[end]) + math.log10(ends + 0.1) - (size + 1) * scale)
             own, length = _codes(texts[i:j])
             stop = np.concatenate(([0], np.cumsum(length)))
-            model.append(np.diff(np.concatenate(([0.0], np.cumsum(value[np.searchsorted(code, own)].astype(float) if len(own) else np.zeros(0))))[stop]))
+            model.append(np.diff(np.concatenate(([0.0], np.cumsum(_found(own, code, value))))[stop]))
         out = pd.DataFrame({"doc_id": frame["doc_id"], "held_out": frame["held"]})
         out["n_tokens"], out["n_known"] = np.concatenate(n_tokens), np.concatenate(n_known)
         out["train_tokens"] = n_all

@@ -60,6 +60,21 @@ def eligible(ops: DataFrame, state: DataFrame, processed: DataFrame, lookback_s:
     return joined.where(keep).drop("b", "watermark", "lease_mark", "done")
 
 
+def _beside_marks(rows: DataFrame, state: DataFrame) -> DataFrame:
+    mark = state.select(F.col("bucket").alias("b"), F.col("watermark").alias("mark"))
+    return rows.join(mark, rows["bucket"] == mark["b"], "left")
+
+
+def after_marks(ops: DataFrame, state: DataFrame) -> DataFrame:
+    """Rows after their bucket's watermark (all, where there is none)."""
+    return _beside_marks(ops, state).where(F.col("mark").isNull() | (F.col("record_timestamp") > F.col("mark"))).drop("b", "mark")
+
+
+def until_marks(processed: DataFrame, state: DataFrame) -> DataFrame:
+    """Processed ids up to their bucket's watermark: what a mark that was set back leaves."""
+    return _beside_marks(processed, state).where(F.col("mark").isNotNull() & (F.col("watermark") <= F.col("mark"))).drop("b", "mark")
+
+
 def high_water_mark(ops: DataFrame) -> DataFrame:
     """Latest event time of each bucket over the eligible rows, archived ones included."""
     return ops.groupBy("bucket").agg(F.max("record_timestamp").alias("high_water_mark"))

@@ -63,10 +63,14 @@ def check_candidates(items: DataFrame, batch: int) -> DataFrame:
     return ready.orderBy(F.asc_nulls_first("manifest_at"), "bucket", "key", F.asc_nulls_first("version_id")).limit(batch)
 
 
-def reconcile(kind: Column, value: Column, attempts_over: Column) -> Column:
-    """Outcome after a status check; null leaves the object pending."""
-    header = F.when(value.isin("COMPLETED", "FAILED", "REPLICA"), value).when(value == "PENDING", F.when(attempts_over, "EXPIRED")).otherwise("UNKNOWN")
-    return F.when(kind == "OBJECT_GONE", "OBJECT_GONE").when(kind == "HEADER_ABSENT", "NOT_REPLICATED").when(kind == "HEADER_VALUE", header)
+def reconcile(kind: Column, value: Column, over: Column) -> Column:
+    """Outcome of a pending object; null leaves it pending.
+
+    An object tracked for too long expires without a check. Else a completed header is COMPLETE, any other
+    header stands as it is, a missing one is UNKNOWN, and an object that is gone is GONE.
+    """
+    header = F.when(value == "COMPLETED", "COMPLETE").otherwise(value)
+    return F.when(over, "EXPIRED").when(kind == "OBJECT_GONE", "GONE").when(kind == "HEADER_ABSENT", "UNKNOWN").when(kind == "HEADER_VALUE", header)
 
 
 def expired(at: Column, now: Column, ttl_s: int) -> Column:
@@ -96,3 +100,22 @@ def chunked(sizes: list[int], budget: int) -> list[list[int]]:
         out[-1].append(k)
         room -= n
     return out
+
+
+def record_submissions(known: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Submissions after a run: a bucket with a fresh one keeps only that."""
+    b = fresh.select(F.col("bucket").alias("fb")).distinct()
+    return known.join(b, known["bucket"] == b["fb"], "left_anti").unionByName(fresh.select(*known.columns))
+
+
+def record_scans(scans: DataFrame, found: DataFrame, now: Column) -> DataFrame:
+    """Latest scan of every config: the count found now, zero where nothing was."""
+    f = found.select(F.col("config_id").alias("fc"), "matches")
+    joined = scans.select("config_id").join(f, scans["config_id"] == f["fc"], "full_outer")
+    return joined.select(F.coalesce("config_id", "fc").alias("config_id"), now.alias("last_scan_at"), F.coalesce("matches", F.lit(0)).cast("long").alias("last_scan_match_count"))
+
+
+def seeded(configured: DataFrame, state: DataFrame, start: Column) -> DataFrame:
+    """First state rows of configured buckets that have none."""
+    s = state.select(F.col("bucket").alias("sb"))
+    return configured.join(s, configured["bucket"] == s["sb"], "left_anti").select("bucket", start.alias("watermark"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tagflow.functions import columns as C
 from tagflow.operators import journal as J
 from tagflow.operators import manifest as M
+from tagflow.operators import reports as P
 from tagflow.operators import rules as R
 from tagflow.operators import state as S
 from tagflow.sources.journal import from_events
@@ -359,7 +360,7 @@ def report_error_codes(spark, sf):
 
 TRACK = """, items AS (SELECT mf.*, CASE WHEN length(key) % 3 = 0 THEN 'RESOLVED' ELSE 'PENDING' END AS state, length(key) % 2 = 0 AS confirmed,
  CASE length(key) % 4 WHEN 0 THEN 'COMPLETED' WHEN 1 THEN 'FAILED' WHEN 2 THEN 'PENDING' END AS header, CASE length(key) % 5 WHEN 0 THEN 'OBJECT_GONE' WHEN 1 THEN 'HEADER_ABSENT' ELSE 'HEADER_VALUE' END AS kind FROM mf),
-rec AS (SELECT *, CASE kind WHEN 'OBJECT_GONE' THEN 'OBJECT_GONE' WHEN 'HEADER_ABSENT' THEN 'NOT_REPLICATED' ELSE CASE WHEN header IN ('COMPLETED', 'FAILED') THEN header WHEN header = 'PENDING' THEN CASE WHEN expired THEN 'EXPIRED' END ELSE 'UNKNOWN' END END AS outcome
+rec AS (SELECT *, CASE WHEN expired THEN 'EXPIRED' WHEN kind = 'OBJECT_GONE' THEN 'GONE' WHEN kind = 'HEADER_ABSENT' THEN 'UNKNOWN' WHEN header = 'COMPLETED' THEN 'COMPLETE' ELSE header END AS outcome
  FROM (SELECT *, tagged_at < TIMESTAMP '2024-01-18' AS expired FROM items)) """
 
 
@@ -483,6 +484,85 @@ def inventory_backfill(spark, sf):
     return live_.select(C.manifest_row(F.col("bucket"), F.col("key"), F.col("version_id")).alias("row"))
 
 
+# ---------------------------------------------------------------- reports, metrics, runs
+
+SAID = {"FAILED": ("failed to replicate",) * 2, "EXPIRED": ("were abandoned after the tracking window expired", "was abandoned after the tracking window expired"), "UNKNOWN": ("reported no replication status",) * 2, None: ("reported no replication status",) * 2,
+        "PENDING": ("are still replicating", "is still replicating"), "GONE": ("were deleted before replication could be confirmed", "was deleted before replication could be confirmed"), "COMPLETE": ("replicated successfully",) * 2}
+CLAUSES = ", ".join(f"CASE WHEN n{k} > 0 THEN format('{{:,}} ', n{k}) || CASE WHEN n{k} = 1 THEN '{one}' ELSE '{many}' END END" for k, (many, one) in enumerate(SAID.values()))
+SOLE = ", ".join(f"CASE WHEN n{k} = n THEN CASE WHEN n = 1 THEN '{one}' ELSE '{many}' END END" for k, (many, one) in enumerate(SAID.values()))
+COUNTS = ", ".join(f"count(CASE WHEN outcome IS NOT DISTINCT FROM {f"'{o}'" if o else 'NULL'} THEN 1 END) AS n{k}" for k, o in enumerate(SAID))
+
+
+@query(TRACK + f""", c AS (SELECT bucket, count(*) AS n, {COUNTS} FROM rec GROUP BY bucket), t AS (SELECT *, n0 + n1 + n2 + n3 AS bad, format('{{:,}} object', n) || CASE WHEN n = 1 THEN '' ELSE 's' END AS noun FROM c)
+SELECT bucket, n AS item_count, bad AS actionable, bucket || ': ' || noun || coalesce(' ' || coalesce({SOLE}), ' — ' || concat_ws('; ', {CLAUSES})) || '. '
+ || CASE WHEN bad > 0 THEN format('Action needed: {{:,}} of {{:,}} did not replicate.', bad, n) WHEN n6 = n THEN 'No action needed.' ELSE 'No failures.' END || format(' {{:,}} objects remain in tracking.', 2000 + length(bucket)) AS summary,
+ 'S3 replication ' || bucket || ': ' || noun || CASE WHEN bad > 0 THEN ', action needed' ELSE ', no failures' END || format(', {{:,}} still tracking', 2000 + length(bucket)) AS subject FROM t""")
+def report_summary(spark, sf):
+    items = reconciled(spark, sf)
+    left = items.select("bucket", (F.length("bucket") + 2000).alias("outstanding")).distinct()
+    return P.outcome_summary(items, left)
+
+
+@query(None)
+def report_chunks(spark, sf):
+    """Report groups in chunks of a byte budget; the driver holds one size for each group (rules are few)."""
+    g = S.outcome_groups(reconciled(spark, sf)).orderBy("bucket", "rules", "destinations")
+    rows = g.select("bucket", F.concat_ws(",", "rules").alias("rules"), "items", F.octet_length(F.to_json(F.struct(*g.columns))).alias("size")).collect()
+    chunk = {k: n for n, ks in enumerate(S.chunked([r["size"] for r in rows], 600)) for k in ks}
+    return spark.createDataFrame([(chunk[k], r.bucket, r["rules"], r["items"], r["size"]) for k, r in enumerate(rows)], "chunk int, bucket string, rules string, items long, size long")
+
+
+ACTIVE = "SELECT d.bucket, count(*) AS ops_read, (SELECT count(*) FROM m WHERE m.bucket = d.bucket) AS matched, (SELECT count(*) FROM kept WHERE kept.bucket = d.bucket) AS submitted, count(CASE WHEN storage_class IN ('GLACIER', 'DEEP_ARCHIVE') THEN 1 END) AS archived FROM d GROUP BY d.bucket"
+
+
+@query(f""", b AS ({ACTIVE}) SELECT bucket, unnest(['TaggingOperationsRead', 'MatchedObjects', 'BatchJobsSubmitted']) AS metric, unnest([ops_read, matched, submitted])::DOUBLE AS value FROM b WHERE ops_read + matched + submitted > 0
+ UNION ALL SELECT bucket, 'ArchivedObjectsExcluded', archived::DOUBLE FROM b WHERE archived > 0 UNION ALL SELECT bucket, 'BucketErrors', 0 FROM b UNION ALL SELECT NULL, 'DisabledBuckets', 1""")
+def metric_rows(spark, sf):
+    kept = M.without_deleted(manifest(spark, sf), deletes(spark, sf))
+    count = lambda df, name: df.groupBy("bucket").agg(F.count("*").alias(name))
+    per = newest(spark, sf).groupBy("bucket").agg(F.count("*").alias("ops_read"), F.count_if(C.is_archived(F.col("storage_class"))).alias("archived"))
+    per = per.join(count(matches(spark, sf), "matched"), "bucket", "left").join(count(kept, "submitted"), "bucket", "left").fillna(0).withColumn("errored", F.lit(0))
+    return P.metric_rows(per, F.lit(1))
+
+
+JOBS = "SELECT bucket, job_id, 'c' || CAST(streak AS VARCHAR) AS config_id, o_orderdate AS terminal_at, job_id % 9 = 0 AS merged FROM (SELECT *, o_orderkey % 5 AS streak, o_orderkey AS job_id, 'lake-' || CAST(o_custkey % 3 AS VARCHAR) AS bucket FROM orders)"
+
+
+def jobs(spark, sf):
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    k = F.col("o_orderkey")
+    return o.select(F.concat(F.lit("lake-"), (F.col("o_custkey") % 3).cast("string")).alias("bucket"), k.alias("job_id"), F.concat(F.lit("c"), (k % 5).cast("string")).alias("config_id"), F.col("o_orderdate").alias("terminal_at"), (k % 9 == 0).alias("merged"))
+
+
+@query(f"WITH q AS ({JOBS}) SELECT bucket, job_id, config_id FROM q WHERE NOT merged AND terminal_at + INTERVAL 1 HOUR < TIMESTAMP '1997-01-01' AND job_id % 4 <> 0 AND NOT (bucket = 'lake-1' AND config_id = 'c2')")
+def overdue_reports(spark, sf):
+    j = jobs(spark, sf)
+    told = spark.createDataFrame([("lake-1", "c2")], "bucket string, config_id string")
+    return P.overdue(j, j.where("job_id % 4 = 0").select("job_id"), told, ntz(datetime(1997, 1, 1))).select("bucket", "job_id", "config_id")
+
+
+@query(f"WITH q AS ({JOBS}) SELECT bucket, job_id, config_id FROM q WHERE (bucket <> 'lake-2' AND job_id % 2 = 0) OR (bucket = 'lake-2' AND job_id % 2 = 1)")
+def record_submissions(spark, sf):
+    j = jobs(spark, sf).select("bucket", "job_id", "config_id")
+    return S.record_submissions(j.where("job_id % 2 = 0"), j.where("bucket = 'lake-2' AND job_id % 2 = 1"))
+
+
+@query("SELECT config_id, TIMESTAMP '2024-01-20' AS last_scan_at, count(*) AS last_scan_match_count FROM m GROUP BY config_id UNION ALL SELECT 'idle', TIMESTAMP '2024-01-20', 0")
+def scan_record(spark, sf):
+    found = matches(spark, sf).groupBy("config_id").agg(F.count("*").alias("matches"))
+    return S.record_scans(spark.createDataFrame([("c0",), ("idle",)], "config_id string"), found, ntz(datetime(2024, 1, 20)))
+
+
+@query("SELECT DISTINCT bucket, TIMESTAMP '2024-01-05' AS watermark FROM j WHERE bucket NOT IN (SELECT sb FROM state)")
+def seeded_buckets(spark, sf):
+    return S.seeded(journal(spark, sf).select("bucket").distinct(), state(spark), ntz(SINCE))
+
+
+@query(f"WITH q AS ({JOBS}) SELECT job_id, terminal_at <= TIMESTAMP '1996-12-31 18:00:00' AS due FROM q")
+def alert_due(spark, sf):
+    return jobs(spark, sf).select("job_id", P.alert_due(F.col("terminal_at"), ntz(datetime(1997, 1, 1)), 21600).alias("due"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from tagflow.streaming.journal import stream_dedup_within_watermark
 

@@ -61,3 +61,35 @@ def write_manifest(rows: DataFrame, path: str, bucket: str, destination: str, cr
     }
     text = json.dumps(envelope)
     return {"checksum": hashlib.md5(text.encode()).hexdigest(), "manifest": envelope, "object_count": count}
+
+
+def write_manifests(rows: DataFrame, path: str, file_rows: int) -> dict[str, dict]:
+    """Write the rows (bucket, row) of all buckets in one job; returns an envelope for each bucket.
+
+    Rows are dealt by range, so a large bucket is spread over tasks, and no file has more than
+    `file_rows` rows. What comes back to the driver is one row for each file.
+    """
+    spark: SparkSession = rows.sparkSession
+    rows.repartitionByRange("bucket", "row").sortWithinPartitions("bucket", "row").write.partitionBy("bucket").option("maxRecordsPerFile", file_rows).text(path)
+    written = spark.read.schema("value string, bucket string").text(path, wholetext=True) if _any(spark, path) else None
+    if written is None:
+        return {}
+    lines = F.size(F.split(F.regexp_replace("value", "\n$", ""), "\n"))
+    files = written.select("bucket", F.col("_metadata.file_path").alias("key"), F.octet_length("value").alias("size"), F.md5("value").alias("MD5checksum"), lines.alias("rows")).orderBy("bucket", "key").collect()
+    out: dict[str, dict] = {}
+    for r in files:
+        entry = out.setdefault(r.bucket, {"sourceBucket": r.bucket, "fileFormat": "CSV", "fileSchema": "Bucket, Key, VersionId", "object_count": 0, "files": []})
+        entry["files"].append({"key": r.key, "size": r.size, "MD5checksum": r.MD5checksum})
+        entry["object_count"] += r.rows
+    return out
+
+
+def _any(spark: SparkSession, path: str) -> bool:
+    """A bucket's folder is there (an empty result writes none)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/bucket=*")
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p))
+
+
+def publish(rows: DataFrame, path: str, kind: str) -> None:
+    """Append metric, alert or log rows as JSON lines, in a folder for each kind."""
+    rows.write.mode("append").json(f"{path}/{kind}")

@@ -22,6 +22,8 @@ from tagflow.llm.pretokens import split_words
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: Text bytes whose pieces one packing task places.
 GROUP_BYTES = 96 << 20
+#: Text bytes that a task holds as ids at once.
+UNIT_BYTES = 6 << 20
 
 
 class CapacityTree:
@@ -80,7 +82,7 @@ def pieces(docs: DataFrame, path: str, size: int) -> DataFrame:
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocab = vocabulary(path)
-        for unit in units(batches):
+        for unit in units(batches, UNIT_BYTES):
             ids, count = encode_words(vocab, split_words(texts_of(unit), vocab.special))
             rows, at = [], 0
             for doc, n in zip(unit["doc_id"].tolist(), count.tolist(), strict=True):

@@ -25,6 +25,8 @@ from tagflow.llm.common import checkpointed, connected_components, parts, runs,
 SEED = 42
 #: Text bytes behind one index bucket.
 BUCKET_BYTES = 24 << 20
+#: The same for wide codes, whose segments have so many bits.
+CODE_BYTES, SEGMENT = 48 << 20, 16
 
 
 def shingle_hashes(words: list[bytes], size: int) -> list[int]:
@@ -79,20 +81,24 @@ def ball(width: int, radius: int) -> np.ndarray:
     return np.array([sum(1 << b for b in bits) for r in range(1, radius + 1) for bits in combinations(range(width), r)], np.uint64)
 
 
+def word_set(text: str | None, words: int) -> np.ndarray:
+    """Sorted hashes of the distinct shingles of a text."""
+    return np.unique(np.array(shingle_hashes(text.encode().lower().split() if isinstance(text, str) else [], words), np.uint64))
+
+
 def codes(docs: DataFrame, words: int = 5, lanes: int = 4) -> DataFrame:
-    """doc_id, fp of three-word shingles, and a wide code of `64 * lanes` bits of `words`-word shingles."""
+    """doc_id, a wide code of `64 * lanes` bits of the set of `words`-word shingles, and its size n."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for unit in units(batches):
-            fps, wide = [], []
+            wide, n = [], []
             for x in unit["text"]:
-                own = x.encode().lower().split() if isinstance(x, str) else []
-                fps.append(fingerprint(np.array(shingle_hashes(own, 3), np.uint64)))
-                h = np.unique(np.array(shingle_hashes(own, words), np.uint64))
+                h = word_set(x, words)
+                n.append(len(h))
                 wide.append(b"".join(fingerprint(_lane(h, k)).to_bytes(8, "little") for k in range(lanes)))
-            yield pd.DataFrame({"doc_id": unit["doc_id"], "fp": np.array(fps, np.uint64).view(np.int64), "code": wide})
+            yield pd.DataFrame({"doc_id": unit["doc_id"], "code": wide, "n": n})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(work, "doc_id long, fp long, code binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(work, "doc_id long, code binary, n int")
 
 
 def _lane(h: np.ndarray, k: int) -> np.ndarray:
@@ -211,23 +217,119 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFra
     return prints.join(named, prints["fp"] == named["f"]).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def similar_bits(similarity: float, lanes: int) -> int:
-    """Bits in which codes of two shingle sets with this Jaccard similarity differ, one standard error added."""
+def similar_bits(similarity: float, lanes: int, errors: float = 1) -> int:
+    """Bits in which codes of two shingle sets with this Jaccard similarity differ, `errors` standard errors added."""
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(64 * lanes * (share + math.sqrt(share * (1 - share) / (64 * lanes))))
+    return round(64 * lanes * (share + errors * math.sqrt(share * (1 - share) / (64 * lanes))))
+
+
+def code_probes(classes: DataFrame, top: int) -> DataFrame:
+    """Index rows of each class (v, code, n, root), packed by segment of 16 bits and its `top` highest bits.
+
+    A class is put where its segment's highest bits say, and where they say with one set bit
+    cleared; the ball over the other bits is made where they meet.
+    """
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for begin in range(0, len(batch), 4096):
+                part = batch.iloc[begin : begin + 4096]
+                columns = {"v": part["v"].to_numpy(np.int64), "n": part["n"].to_numpy(np.int32), "root": part["root"].to_numpy(np.int64)}
+                columns["code"] = np.array([np.frombuffer(x, np.uint64) for x in part["code"]]).reshape(len(part), -1)
+                out = []
+                for seg in range(4 * columns["code"].shape[1]):
+                    head = _segment(columns["code"], seg) >> (SEGMENT - top)
+                    flip = np.concatenate(([0], 1 << np.arange(top)))
+                    row, col = np.nonzero((head[:, None] & flip) == flip)
+                    bucket = head[row] ^ flip[col]
+                    order = np.argsort(bucket, kind="stable")
+                    first = runs(bucket[order])
+                    for i, j in zip(first, [*first[1:], len(order)], strict=False):
+                        r = row[order[i:j]]
+                        out.append({"bucket": int(bucket[order[i]]), "seg": seg} | {c: x[r].tobytes() for c, x in columns.items()})
+                yield pd.DataFrame(out)
+
+    return classes.select("v", "code", "n", "root").mapInPandas(work, "bucket int, seg int, v binary, n binary, root binary, code binary")
+
+
+def _segment(code: np.ndarray, seg: int) -> np.ndarray:
+    """One segment of 16 bits of each code, four to a lane."""
+    return (code[:, seg // 4] >> np.uint64(SEGMENT * (seg % 4))).astype(np.int64) & ((1 << SEGMENT) - 1)
+
+
+def _forest(count: int, i: np.ndarray, j: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The links of a spanning forest with the fewest differing bits (Boruvka's rounds)."""
+    order = np.argsort(off, kind="stable")
+    i, j, off = i[order], j[order], off[order]
+    root, live, taken = np.arange(count), np.arange(len(i)), []
+    while True:
+        live = live[root[i[live]] != root[j[live]]]
+        if not len(live):
+            break
+        best = np.full(count, len(i))
+        np.minimum.at(best, root[i[live]], live)
+        np.minimum.at(best, root[j[live]], live)
+        pick = np.unique(best[best < len(i)])
+        taken.append(pick)
+        root = _hook(root, i[pick], j[pick])
+    kept = np.concatenate([np.zeros(0, np.int64), *taken])
+    return i[kept], j[kept], off[kept]
+
+
+def code_pairs(classes: DataFrame, similarity: float, lanes: int, top: int, whole: bool) -> DataFrame:
+    """Pairs (a, b) of classes of different roots that are near by their codes.
+
+    Their codes agree in a segment but for one bit at most and differ in at most `similar_bits`, and
+    the sizes of their sets allow the similarity. `whole` gives all of them; else each bucket gives
+    a spanning forest of its pairs, which holds every class that has a pair at all.
+    """
+    limit = similar_bits(similarity, lanes)
+
+    def work(frame: pd.DataFrame) -> pd.DataFrame:
+        v, root = (np.frombuffer(b"".join(frame[c]), np.int64) for c in ("v", "root"))
+        n, code = np.frombuffer(b"".join(frame["n"]), np.int32), np.frombuffer(b"".join(frame["code"]), np.uint64).reshape(len(v), -1)
+        own = _segment(code, int(frame["seg"].iloc[0]))
+        home = np.flatnonzero(own >> (SEGMENT - top) == int(frame["bucket"].iloc[0]))
+        guest = np.setdiff1d(np.arange(len(v)), home, assume_unique=True)
+        low = own & ((1 << (SEGMENT - top)) - 1)
+        flip = 1 << np.arange(SEGMENT - top)
+        row, col = np.nonzero(low[home][:, None] & flip)
+        at = np.concatenate((home, guest, home[row]))
+        value = np.concatenate((low[home], low[guest], low[home[row]] ^ flip[col]))
+        probe = np.arange(len(at)) >= len(home)
+        order = np.lexsort((probe, value))
+        at, value, probe = at[order], value[order], probe[order]
+        found = (np.zeros(0, np.int64),) * 3
+        for i, j in _meetings(value, probe):
+            i, j = at[i], at[j]
+            good = (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-6) & (root[i] != root[j])
+            i, j = i[good], j[good]
+            off = np.zeros(len(i), np.int64)
+            for lane in range(code.shape[1]):
+                off += np.bitwise_count(code[i, lane] ^ code[j, lane])
+                good = off <= limit
+                i, j, off = i[good], j[good], off[good]
+            if len(i):
+                found = tuple(np.concatenate(x) for x in zip(found, (i, j, off), strict=True))
+                found = found if whole else _forest(len(v), *found)
+        i, j, _ = found
+        return pd.DataFrame({"a": np.minimum(v[i], v[j]), "b": np.maximum(v[i], v[j])})
+
+    return code_probes(classes, top).groupBy("bucket", "seg").applyInPandas(work, "a long, b long").where("a <> b").distinct()
 
 
 def keep_one(docs: DataFrame, similarity: float = 0.8, words: int = 5, lanes: int = 4) -> DataFrame:
     """The rows of `docs` without near copies: of each group the smallest doc_id stays, with all its columns.
 
-    Fingerprints are indexed in four segments with balls of one bit; two documents are linked when
-    their wide codes of five-word shingles put their Jaccard similarity at `similarity` or more. All
-    texts without words are one group; rows with a null doc_id stay.
+    Candidates are documents whose wide codes of the set of five-word shingles meet in one of their segments
+    of 16 bits with at most one bit off; they are linked when the codes put
+    their Jaccard similarity at `similarity` or more. All texts without words are one group; rows with a null doc_id stay.
     """
-    buckets = parts(text_bytes(docs), BUCKET_BYTES, 4)
-    prints = checkpointed(codes(docs.where("doc_id IS NOT NULL"), words, lanes))
-    classes = prints.groupBy("fp", "code").agg(F.min("doc_id").alias("v"))
-    found = connected_components(links(classes, 1, 4, buckets, similar_bits(similarity, lanes), True))
-    named = classes.join(found, classes["v"] == found["id"], "left").select(F.col("fp").alias("f"), F.col("code").alias("c"), F.coalesce("component_id", "v").alias("component_id"))
-    gone = prints.join(named, (prints["fp"] == named["f"]) & (prints["code"] == named["c"])).where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    top = min(SEGMENT, (parts(text_bytes(docs), CODE_BYTES, 4) - 1).bit_length())
+    named_docs = docs.where("doc_id IS NOT NULL")
+    prints = checkpointed(codes(named_docs, words, lanes))
+    classes = checkpointed(prints.groupBy("code", "n").agg(F.min("doc_id").alias("v")))
+    found = connected_components(code_pairs(classes.withColumn("root", F.col("v")), similarity, lanes, top, False))
+    named = classes.join(found, classes["v"] == found["id"], "left").select(F.col("code").alias("c"), F.col("n").alias("m"), F.coalesce("component_id", "v").alias("component_id"))
+    gone = prints.join(named, (prints["code"] == named["c"]) & (prints["n"] == named["m"])).where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")

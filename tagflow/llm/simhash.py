@@ -20,13 +20,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagflow.llm.common import checkpointed, connected_components, parts, runs, text_bytes, units
+from tagflow.llm.common import checkpointed, connected_components, parts, release, runs, text_bytes, units
 
 SEED = 42
 #: Text bytes behind one index bucket.
 BUCKET_BYTES = 24 << 20
 #: The same for wide codes, whose segments have so many bits.
 CODE_BYTES, SEGMENT = 48 << 20, 16
+#: Members of a group that are compared with each other, or with as many others, in one place.
+GROUP_BLOCK = 256
 
 
 def shingle_hashes(words: list[bytes], size: int) -> list[int]:
@@ -217,14 +219,14 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFra
     return prints.join(named, prints["fp"] == named["f"]).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def similar_bits(similarity: float, lanes: int, errors: float = 1) -> int:
+def similar_bits(similarity: float, lanes: int, errors: float = 5) -> int:
     """Bits in which codes of two shingle sets with this Jaccard similarity differ, `errors` standard errors added."""
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     return round(64 * lanes * (share + errors * math.sqrt(share * (1 - share) / (64 * lanes))))
 
 
 def code_probes(classes: DataFrame, top: int) -> DataFrame:
-    """Index rows of each class (v, code, n, root), packed by segment of 16 bits and its `top` highest bits.
+    """Index rows of each class (v, code, n), packed by segment of 16 bits and its `top` highest bits.
 
     A class is put where its segment's highest bits say, and where they say with one set bit
     cleared; the ball over the other bits is made where they meet.
@@ -234,7 +236,7 @@ def code_probes(classes: DataFrame, top: int) -> DataFrame:
         for batch in batches:
             for begin in range(0, len(batch), 4096):
                 part = batch.iloc[begin : begin + 4096]
-                columns = {"v": part["v"].to_numpy(np.int64), "n": part["n"].to_numpy(np.int32), "root": part["root"].to_numpy(np.int64)}
+                columns = {"v": part["v"].to_numpy(np.int64), "n": part["n"].to_numpy(np.int32)}
                 columns["code"] = np.array([np.frombuffer(x, np.uint64) for x in part["code"]]).reshape(len(part), -1)
                 out = []
                 for seg in range(4 * columns["code"].shape[1]):
@@ -249,7 +251,7 @@ def code_probes(classes: DataFrame, top: int) -> DataFrame:
                         out.append({"bucket": int(bucket[order[i]]), "seg": seg} | {c: x[r].tobytes() for c, x in columns.items()})
                 yield pd.DataFrame(out)
 
-    return classes.select("v", "code", "n", "root").mapInPandas(work, "bucket int, seg int, v binary, n binary, root binary, code binary")
+    return classes.select("v", "code", "n").mapInPandas(work, "bucket int, seg int, v binary, n binary, code binary")
 
 
 def _segment(code: np.ndarray, seg: int) -> np.ndarray:
@@ -276,18 +278,18 @@ def _forest(count: int, i: np.ndarray, j: np.ndarray, off: np.ndarray) -> tuple[
     return i[kept], j[kept], off[kept]
 
 
-def code_pairs(classes: DataFrame, similarity: float, lanes: int, top: int, whole: bool) -> DataFrame:
-    """Pairs (a, b) of classes of different roots that are near by their codes.
+def code_pairs(classes: DataFrame, similarity: float, lanes: int, top: int) -> DataFrame:
+    """Pairs (a, b) of classes to be compared exactly.
 
     Their codes agree in a segment but for one bit at most and differ in at most `similar_bits`, and
-    the sizes of their sets allow the similarity. `whole` gives all of them; else each bucket gives
-    a spanning forest of its pairs, which holds every class that has a pair at all.
+    the sizes of their sets allow the similarity. Each bucket gives a spanning forest of its pairs,
+    which connects what all of them connect.
     """
     limit = similar_bits(similarity, lanes)
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
-        v, root = (np.frombuffer(b"".join(frame[c]), np.int64) for c in ("v", "root"))
-        n, code = np.frombuffer(b"".join(frame["n"]), np.int32), np.frombuffer(b"".join(frame["code"]), np.uint64).reshape(len(v), -1)
+        v, n = np.frombuffer(b"".join(frame["v"]), np.int64), np.frombuffer(b"".join(frame["n"]), np.int32)
+        code = np.frombuffer(b"".join(frame["code"]), np.uint64).reshape(len(v), -1)
         own = _segment(code, int(frame["seg"].iloc[0]))
         home = np.flatnonzero(own >> (SEGMENT - top) == int(frame["bucket"].iloc[0]))
         guest = np.setdiff1d(np.arange(len(v)), home, assume_unique=True)
@@ -302,7 +304,7 @@ def code_pairs(classes: DataFrame, similarity: float, lanes: int, top: int, whol
         found = (np.zeros(0, np.int64),) * 3
         for i, j in _meetings(value, probe):
             i, j = at[i], at[j]
-            good = (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-6) & (root[i] != root[j])
+            good = np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-6
             i, j = i[good], j[good]
             off = np.zeros(len(i), np.int64)
             for lane in range(code.shape[1]):
@@ -310,26 +312,109 @@ def code_pairs(classes: DataFrame, similarity: float, lanes: int, top: int, whol
                 good = off <= limit
                 i, j, off = i[good], j[good], off[good]
             if len(i):
-                found = tuple(np.concatenate(x) for x in zip(found, (i, j, off), strict=True))
-                found = found if whole else _forest(len(v), *found)
+                found = _forest(len(v), *(np.concatenate(x) for x in zip(found, (i, j, off), strict=True)))
         i, j, _ = found
         return pd.DataFrame({"a": np.minimum(v[i], v[j]), "b": np.maximum(v[i], v[j])})
 
     return code_probes(classes, top).groupBy("bucket", "seg").applyInPandas(work, "a long, b long").where("a <> b").distinct()
 
 
+def shingle_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """id and own (the sorted hashes of the shingles) of the texts with these ids."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for unit in units(batches):
+            yield pd.DataFrame({"id": unit["doc_id"], "own": [word_set(x, words).tobytes() for x in unit["text"]]})
+
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    return texts.join(ids, texts["doc_id"] == ids["id"], "left_semi").mapInPandas(work, "id long, own binary")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, similarity: float, words: int) -> DataFrame:
+    """The pairs (a, b) of doc_ids whose shingle sets have this Jaccard similarity at least."""
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            good = np.zeros(len(batch), bool)
+            for k, (x, y) in enumerate(zip(batch["x"], batch["y"], strict=True)):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good[k] = both / max(1, len(x) + len(y) - both) >= similarity
+            yield batch.loc[good, ["a", "b"]]
+
+    own = shingle_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), words)
+    x, y = own.select(F.col("id").alias("a"), F.col("own").alias("x")), own.select(F.col("id").alias("b"), F.col("own").alias("y"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInPandas(near, "a long, b long").distinct()
+
+
+def _shared(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """How many elements every two sets have in common."""
+    at = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, name, many = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = many[name] > 1  # the others are in one set only
+    names, name = np.unique(name[often], return_inverse=True)
+    order = np.argsort(name, kind="stable")
+    at, name = at[often][order], name[order]
+    both = np.zeros((len(sets), len(sets)))
+    for k in range(0, len(names), width):
+        i, j = np.searchsorted(name, (k, k + width))
+        has = np.zeros((len(sets), width), np.float32)
+        has[at[i:j], name[i:j] - k] = 1
+        both += has @ has.T
+    return both
+
+
+def group_links(members: DataFrame, docs: DataFrame, similarity: float, words: int) -> DataFrame:
+    """Links (a, b) that connect all similar members (id, grp, root) of each group; equal roots are connected already.
+
+    A group is cut into blocks of GROUP_BLOCK members, and every pair of blocks is compared exactly.
+    """
+
+    def work(frame: pd.DataFrame) -> pd.DataFrame:
+        ids, root = frame["id"].to_numpy(np.int64), frame["root"].to_numpy(np.int64)
+        sets = [np.frombuffer(x, np.uint64) for x in frame["own"]]
+        size, both = np.array([len(x) for x in sets]), _shared(sets)
+        near = both / np.maximum(1, size[:, None] + size[None, :] - both) >= similarity
+        i, j = np.nonzero(np.triu(near & (root[:, None] != root[None, :]), 1))
+        i, j, _ = _forest(len(ids), i, j, np.zeros(len(i), np.int64))
+        return pd.DataFrame({"a": np.minimum(ids[i], ids[j]), "b": np.maximum(ids[i], ids[j])})
+
+    blocks = members.groupBy("grp").agg(F.ceil(F.count("*") / GROUP_BLOCK).cast("int").alias("blocks"), F.count_distinct("root").alias("roots")).where("roots > 1")
+    cut = checkpointed(members.join(blocks, "grp").withColumn("own_block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
+    sets = shingle_sets(docs, cut.select("id").distinct(), words)
+    each = cut.join(sets, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    each = each.select("id", "root", "own", "grp", F.least("own_block", "other").alias("lo"), F.greatest("own_block", "other").alias("hi"))
+    return each.groupBy("grp", "lo", "hi").applyInPandas(work, "a long, b long").where("a <> b").distinct()
+
+
+def near_links(classes: DataFrame, docs: DataFrame, similarity: float, words: int, lanes: int, top: int) -> DataFrame:
+    """Verified links (a, b) of the classes (v, code, n), enough to connect all candidates that are similar.
+
+    First the forests of the buckets are verified. Where a link of theirs fails, what it should have
+    connected may be similar by another pair: then all members of its tree are compared with each other.
+    """
+    pairs = checkpointed(code_pairs(classes, similarity, lanes, top))
+    good = checkpointed(verified(pairs, docs, similarity, words))
+    release(docs.sparkSession)
+    if pairs.count() == good.count():
+        return good
+    tree, group = connected_components(pairs).withColumnRenamed("component_id", "grp"), connected_components(good)
+    members = tree.join(group, "id", "left").select("id", "grp", F.coalesce("component_id", "id").alias("root"))
+    return checkpointed(good.unionByName(group_links(members, docs, similarity, words)))
+
+
 def keep_one(docs: DataFrame, similarity: float = 0.8, words: int = 5, lanes: int = 4) -> DataFrame:
     """The rows of `docs` without near copies: of each group the smallest doc_id stays, with all its columns.
 
     Candidates are documents whose wide codes of the set of five-word shingles meet in one of their segments
-    of 16 bits with at most one bit off; they are linked when the codes put
-    their Jaccard similarity at `similarity` or more. All texts without words are one group; rows with a null doc_id stay.
+    of 16 bits with at most one bit off; they are linked when the sets themselves have a Jaccard similarity of
+    `similarity` or more. All texts without words are one group; rows with a null doc_id stay.
     """
     top = min(SEGMENT, (parts(text_bytes(docs), CODE_BYTES, 4) - 1).bit_length())
     named_docs = docs.where("doc_id IS NOT NULL")
     prints = checkpointed(codes(named_docs, words, lanes))
     classes = checkpointed(prints.groupBy("code", "n").agg(F.min("doc_id").alias("v")))
-    found = connected_components(code_pairs(classes.withColumn("root", F.col("v")), similarity, lanes, top, False))
+    found = connected_components(near_links(classes, named_docs, similarity, words, lanes, top))
     named = classes.join(found, classes["v"] == found["id"], "left").select(F.col("code").alias("c"), F.col("n").alias("m"), F.coalesce("component_id", "v").alias("component_id"))
     gone = prints.join(named, (prints["code"] == named["c"]) & (prints["n"] == named["m"])).where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")

@@ -1,0 +1,34 @@
+"""Stages and streams against plain results, row by row."""
+
+import corpus_pipeline
+from pyspark.sql import functions as F
+
+from tagflow.functions.columns import identity
+from tagflow.llm import toxicity
+from tagflow.plans import catalogue
+from tests.llm.test_near_dedup import corpus, kept_by_brute_force
+
+
+def test_stream_has_each_identity_of_the_journal_once(spark, sf):
+    lid = identity(F.col("bucket"), F.col("key"), F.col("version_id"), F.col("object_tags")).alias("lid")
+    whole = catalogue.journal(spark, sf).where("record_type = 'UPDATE_METADATA'").select("bucket", "key", "version_id", "sequence_number", lid)
+    rows = catalogue.queries()["stream_dedup_within_watermark"](spark, sf)
+    w = whole.distinct()
+    same = [rows[c].eqNullSafe(w[c]) for c in ("bucket", "key", "version_id", "sequence_number")]
+    got = [r.lid for r in rows.join(w, same).select("lid").collect()]
+    assert sorted(got) == sorted(r.lid for r in whole.select("lid").distinct().collect())
+
+
+def test_toxicity_stage_keeps_what_is_not_predicted_toxic(spark, sf):
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    want = sorted(r.doc_id for r in toxicity.score(docs, labels).where("predicted = 0").collect())
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_toxic(spark, docs, sf).collect()) == want and 0 < len(want) < docs.count()
+
+
+def test_near_dedup_stage_keeps_the_documents_of_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    odd = [(10**6 + i, t) for i, t in corpus()]
+    both = docs.select("doc_id", "text").unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
+    kept = corpus_pipeline.drop_near_copies(spark, both, sf)
+    assert sorted(r.doc_id for r in kept.collect()) == kept_by_brute_force(rows + odd)

@@ -12,6 +12,7 @@ BLOCK rows are split into pairs of blocks, so none is gathered in one task.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagflow.llm.common import checkpointed, connected_components, parts
-from tagflow.llm.vectors import finite, stacked, usual_length
+from tagflow.llm.vectors import finite, stacked
 
 BLOCK = 4096
 #: Rows for one task, and how many heavy buckets may be broadcast (two numbers each).
@@ -119,19 +120,10 @@ def _local(frame: pd.DataFrame, turn: np.ndarray, threshold: float) -> pd.DataFr
     return pd.DataFrame({"vec_id": ids[used], "degree": degree[used], "root": ids[root[used]]})
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
-    """vec_id, n_links, component_id, kept of every row of `vectors` (vec_id, embedding).
-
-    Null, empty, zero and non-finite vectors, and vectors of another than the most common length,
-    link with nothing. Equal vectors are indexed once and counted as often as they stand there. A null
-    vec_id has no component. An empty table gives no rows; extra columns are ignored.
-    """
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("embedding"))
-    fit = rows.where(finite(rows, "embedding")).where(F.exists("embedding", lambda x: x != 0)).where("vec_id IS NOT NULL")
-    size = usual_length(fit, "embedding")
-    classes = checkpointed(fit.where(F.size("embedding") == size).groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n")).select("vec_id", "n", "embedding"))
-    bits, count = bands(classes.count(), threshold)
-    marked = keyed(classes, size, bits, count) if size else classes.withColumn("keys", F.lit(None).cast("array<int>"))
+def _found(classes: DataFrame, size: int, rows: int, threshold: float) -> DataFrame:
+    """vec_id, degree and a smaller linked id (root), by task, of vectors of one length."""
+    bits, count = bands(rows, threshold)
+    marked = keyed(classes, size, bits, count)
     each = marked.select("vec_id", "n", "embedding", "keys", F.posexplode("keys").alias("band", "key"))
     heavy = marked.select(F.posexplode("keys").alias("band", "key")).groupBy("band", "key").count().where(F.col("count") > BLOCK)
     heavy = checkpointed(heavy.select("band", "key", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
@@ -144,7 +136,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     own = F.pmod(F.xxhash64("vec_id"), blocks).cast("int")
     each = each.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     each = each.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).withColumn("side", F.when(F.col("own") == F.col("lo"), 0).otherwise(1))
-    tasks = parts(max(classes.count(), 1) * count, TASK_ROWS, 6)
+    tasks = parts(rows * count, TASK_ROWS, 6)
     each = each.select("vec_id", "n", "embedding", "keys", "band", "key", "lo", "hi", "side", F.pmod(F.xxhash64("band", "key", "lo", "hi"), F.lit(tasks)).alias("task"))
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
@@ -160,7 +152,22 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
                 out.append(_local(frame.iloc[i:j], turn, threshold))
         return pd.concat(out).groupby(["vec_id", "root"], as_index=False).sum()[["vec_id", "degree", "root"]]
 
-    found = checkpointed(each.groupBy("task").applyInPandas(work, "vec_id long, degree long, root long"))
+    return checkpointed(each.groupBy("task").applyInPandas(work, "vec_id long, degree long, root long"))
+
+
+def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
+    """vec_id, n_links, component_id, kept of every row of `vectors` (vec_id, embedding).
+
+    Null, empty, zero and non-finite vectors link with nothing, others only with vectors of their
+    length. Equal vectors are indexed once and counted as often as they stand there. A null
+    vec_id has no component. An empty table gives no rows; extra columns are ignored.
+    """
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("embedding"))
+    fit = rows.where(finite(rows, "embedding")).where(F.exists("embedding", lambda x: x != 0)).where("vec_id IS NOT NULL")
+    classes = checkpointed(fit.groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n")).select("vec_id", "n", "embedding"))
+    lengths = classes.groupBy(F.size("embedding").alias("size")).count().where("count > 1").orderBy("size").collect()
+    each = [_found(classes.where(F.size("embedding") == r["size"]), r["size"], r["count"], threshold) for r in lengths]
+    found = reduce(DataFrame.unionByName, each, vectors.sparkSession.createDataFrame([], "vec_id long, degree long, root long"))
     degree = found.groupBy("vec_id").agg(F.sum("degree").alias("degree"))
     joined = connected_components(found.where("vec_id <> root").select(F.col("vec_id").alias("a"), F.col("root").alias("b")).distinct())
     named = (

@@ -49,6 +49,7 @@ def routes(queries: DataFrame, centre: np.ndarray, cells: pd.DataFrame, k: int)
     cell, near = cells["cell"].to_numpy(np.int64), [np.asarray(x, float) for x in cells["near"]]
     radius, blocks = cells["radius"].to_numpy(float), cells["blocks"].to_numpy(np.int64)
     owner, d = np.repeat(np.arange(len(cell)), [len(x) for x in near]), np.concatenate(near)
+    name = np.concatenate([np.asarray(x, np.int64) for x in cells["names"]])
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -58,14 +59,15 @@ def routes(queries: DataFrame, centre: np.ndarray, cells: pd.DataFrame, k: int)
                 norm = np.sqrt((q * q).sum(1))
                 mid = q @ centre[cell].T
                 low = mid[:, owner] - norm[:, None] * d[None, :]
-                # one of the rows counted here may be the query itself
-                bound = -np.partition(-low, k, axis=1)[:, k] if low.shape[1] > k else np.full(len(q), -np.inf)
+                # rows of the query's own id are no answers
+                low[part["vec_id"].to_numpy(np.int64)[:, None] == name[None, :]] = -np.inf
+                bound = -np.partition(-low, k - 1, axis=1)[:, k - 1] if low.shape[1] >= k else np.full(len(q), -np.inf)
                 i, j = np.nonzero(mid + norm[:, None] * radius[None, :] + 1e-6 >= bound[:, None])
                 row, place = np.repeat(i, blocks[j]), np.repeat(j, blocks[j])
                 block = np.arange(len(row)) - np.repeat(np.cumsum(blocks[j]) - blocks[j], blocks[j])
-                yield pd.DataFrame({"vec_id": part["vec_id"].to_numpy()[row], "vector": part["vector"].to_numpy()[row], "cell": cell[place], "block": block})
+                yield pd.DataFrame({"vec_id": part["vec_id"].to_numpy()[row], "copy": part["copy"].to_numpy()[row], "vector": part["vector"].to_numpy()[row], "cell": cell[place], "block": block})
 
-    return queries.mapInPandas(work, "vec_id long, vector array<double>, cell int, block int")
+    return queries.mapInPandas(work, "vec_id long, copy int, vector array<double>, cell int, block int")
 
 
 def top_scores(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
@@ -86,15 +88,15 @@ def top_scores(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     placed = checkpointed(assigned(data, centre))
     nearest = placed.withColumn("r", F.row_number().over(Window.partitionBy("cell").orderBy("far", "vec_id"))).where(F.col("r") <= k + 1)
-    near = nearest.groupBy("cell").agg(F.sort_array(F.collect_list("far")).alias("near"))
+    near = nearest.groupBy("cell").agg(F.sort_array(F.collect_list(F.struct("far", "vec_id"))).alias("rows")).select("cell", F.col("rows.far").alias("near"), F.col("rows.vec_id").alias("names"))
     shape = placed.groupBy("cell").agg(F.max("far").alias("radius"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     cells = shape.join(near, "cell").orderBy("cell").limit(PIVOTS).toPandas()
     sizes = F.create_map(*(x for c, b in zip(cells["cell"], cells["blocks"], strict=True) for x in (F.lit(int(c)), F.lit(int(b)))))
     candidates = placed.select("vec_id", "vector", "cell", F.pmod(F.xxhash64("vec_id"), sizes[F.col("cell")]).cast("int").alias("block"))
-    queries = data.where(F.col("vec_id") % every == 0)
+    queries = data.where(F.col("vec_id") % every == 0).withColumn("copy", F.row_number().over(Window.partitionBy("vec_id").orderBy("vector")))
 
     def work(asks: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0, np.int64)})]
+        out = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "copy": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0, np.int64)})]
         if len(asks) and len(block):
             block = block.sort_values("vec_id", kind="stable")
             ids, x = block["vec_id"].to_numpy(np.int64), stacked(block["vector"])
@@ -110,10 +112,10 @@ def top_scores(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
                 i, j = i[order], j[order]
                 first = np.searchsorted(i, np.arange(len(own)))
                 keep = np.arange(len(i)) - first[i] < k
-                out.append(pd.DataFrame({"query_id": own[i[keep]], "vec_id": ids[j[keep]], "score": score[i[keep], j[keep]].astype(np.int64)}))
+                out.append(pd.DataFrame({"query_id": own[i[keep]], "copy": part["copy"].to_numpy(np.int64)[i[keep]], "vec_id": ids[j[keep]], "score": score[i[keep], j[keep]].astype(np.int64)}))
         return pd.concat(out)
 
     asks = routes(queries, centre, cells, k)
-    parts_ = asks.groupBy("cell", "block").cogroup(candidates.groupBy("cell", "block")).applyInPandas(work, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    parts_ = asks.groupBy("cell", "block").cogroup(candidates.groupBy("cell", "block")).applyInPandas(work, "query_id long, copy int, vec_id long, score long")
+    best = Window.partitionBy("query_id", "copy").orderBy(F.desc("score"), "vec_id")
     return parts_.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

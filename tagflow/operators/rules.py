@@ -11,7 +11,9 @@ SCHEMA = "bucket string, config_id string, rule_id string, tag_filter map<string
 _PAIR = "struct<Key:string,Value:string>"
 DOCUMENT = f"Rules array<struct<ID:string,Status:string,Filter:struct<Tag:{_PAIR},Prefix:string,And:struct<Prefix:string,Tags:array<{_PAIR}>,Tag:{_PAIR}>>,Destination:struct<Bucket:string>>>"
 #: Rules up to this number are broadcast; above it the tags are joined.
-BROADCAST_RULES = 10_000
+BROADCAST_RULES = 1_000
+#: Rules that one literal condition may hold.
+PREDICATE_RULES = 1_000
 
 
 def derive(documents: DataFrame, enabled_only: bool = False) -> DataFrame:
@@ -45,29 +47,68 @@ def predicate(rules: list[dict]) -> Column:
     return reduce(lambda a, b: a | b, one, F.lit(False))
 
 
+def predicate_of(rules: DataFrame) -> Column:
+    """`predicate` of a table of rules; more than PREDICATE_RULES are an error (`match` has no such bound)."""
+    found = rules.limit(PREDICATE_RULES + 1).collect()
+    if len(found) > PREDICATE_RULES:
+        raise ValueError(f"more than {PREDICATE_RULES} rules for one condition: join them with match()")
+    return predicate([r.asDict() for r in found])
+
+
 def _small(rules: DataFrame) -> bool:
     return rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES
 
 
+def _holds() -> Column:
+    """The operation has the rule's tags (a missing tag is a null one) and its key the rule's prefix."""
+    tags = F.forall(F.map_entries("tag_filter"), lambda e: F.element_at("object_tags", e["key"]).eqNullSafe(e["value"]))
+    return tags & (F.col("key_prefix").isNull() | F.startswith(F.col("key"), F.col("key_prefix")))
+
+
 def match(ops: DataFrame, rules: DataFrame) -> DataFrame:
-    """Operations with every rule of their bucket whose tags they hold and whose prefix their key has."""
+    """Operations with every rule of their bucket whose tags they hold and whose prefix their key has.
+
+    A rule that is listed twice matches twice, one without tags whatever has its prefix. Few rules are
+    broadcast, many are joined by their tags; both give the same rows.
+    """
     if not _small(rules):
         return match_by_tags(ops, rules)
     r = rules.withColumnRenamed("bucket", "rule_bucket")
-    holds = F.forall(F.map_entries("tag_filter"), lambda e: F.element_at("object_tags", e["key"]).eqNullSafe(e["value"]))
-    prefix = F.col("key_prefix").isNull() | F.startswith(F.col("key"), F.col("key_prefix"))
-    return ops.join(F.broadcast(r), (ops["bucket"] == r["rule_bucket"]) & holds & prefix).drop("rule_bucket")
+    return ops.join(F.broadcast(r), (ops["bucket"] == r["rule_bucket"]) & _holds()).drop("rule_bucket")
 
 
 def match_by_tags(ops: DataFrame, rules: DataFrame) -> DataFrame:
-    """The same by relational division, for any number of rules: join single tags, keep rules met in full."""
-    r = rules.withColumn("needed", F.size("tag_filter"))
-    tags = r.select(F.col("bucket").alias("rb"), "config_id", "rule_id", "destination_arn", "key_prefix", "needed", F.explode("tag_filter").alias("tk", "tv"))
-    held = ops.select("lid", "bucket", "key", F.explode("object_tags").alias("k", "v"))
-    pairs = held.join(tags, (held["bucket"] == tags["rb"]) & (held["k"] == tags["tk"]) & held["v"].eqNullSafe(tags["tv"]))
+    """The same by relational division, for any number of rules: join single tags, keep rules met in full.
+
+    Every row of `rules` has a number of its own, so rules without an id are not taken for each other. Rules
+    without a tag of a certain value are joined by their bucket.
+    """
+    numbered = rules.withColumnRenamed("bucket", "rule_bucket").withColumn("rule_no", F.monotonically_increasing_id())
+    certain = F.map_filter("tag_filter", lambda _, v: v.isNotNull())
+    kept = ["rule_no", *(c for c in numbered.columns if c != "rule_no")]
+    tags = numbered.select(*kept, F.size(certain).alias("needed"), F.explode(certain).alias("tk", "tv"))
+    held = ops.groupBy("lid").agg(*(F.first(c).alias(c) for c in ("bucket", "key", "object_tags")))
+    held = held.select("lid", "bucket", "key", F.explode("object_tags").alias("k", "v"))
+    pairs = held.join(tags, (held["bucket"] == tags["rule_bucket"]) & (held["k"] == tags["tk"]) & (held["v"] == tags["tv"]))
     pairs = pairs.where(F.col("key_prefix").isNull() | F.startswith(F.col("key"), F.col("key_prefix")))
-    met = pairs.groupBy("lid", "config_id", "rule_id", "destination_arn", "needed").agg(F.count("*").alias("n")).where("n = needed").drop("n", "needed")
-    return ops.join(met, "lid")
+    rule = F.struct(*(F.col(c) for c in rules.columns if c != "bucket"))
+    met = pairs.groupBy("lid", "rule_no").agg(F.count("*").alias("n"), F.first("needed").alias("needed"), F.first(rule).alias("rule")).where("n = needed").select("lid", "rule.*")
+    loose = numbered.where(F.size(certain) == 0).drop("rule_no")
+    out = ops.join(met, "lid").where(_holds()).select(*ops.columns, *(c for c in rules.columns if c != "bucket"))
+    other = ops.join(loose, (ops["bucket"] == loose["rule_bucket"]) & _holds()).select(*out.columns)
+    return out.unionByName(other)
+
+
+def skip_reports(buckets: DataFrame, documents: DataFrame, rules: DataFrame) -> DataFrame:
+    """Buckets (bucket) that give no rules, with the reason.
+
+    `documents` has bucket, and `error` (null: the document was read) as the source reported it.
+    """
+    d = documents.groupBy(F.col("bucket").alias("db")).agg(F.max("error").alias("error"), F.count("*").alias("found"))
+    have = rules.select(F.col("bucket").alias("rb")).distinct()
+    left = buckets.select("bucket").join(d, F.col("bucket") == F.col("db"), "left").join(have, F.col("bucket") == F.col("rb"), "left_anti")
+    reason = F.when(F.col("found").isNull() | (F.col("error") == "absent"), "no configuration").when(F.col("error") == "denied", "no permission to read the configuration").when(F.col("error").isNotNull(), "unreadable configuration").otherwise("no rule with tags")
+    return left.select("bucket", reason.alias("reason"))
 
 
 def grouped(matches: DataFrame) -> DataFrame:

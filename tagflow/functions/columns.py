@@ -78,3 +78,42 @@ def status_and_error(a: Column, b: Column) -> tuple[Column, Column]:
     pick = lambda x, y: F.when(swapped, y).otherwise(x)
     blank = lambda x: F.when(F.trim(x) != "", F.trim(x))
     return blank(pick(a, b)), blank(pick(b, a))
+
+
+def parse_manifest_row(row: Column) -> tuple[Column, Column, Column]:
+    """Bucket, key and version of a rendered manifest row; an empty or literal `null` version is the null version."""
+    version = F.substring_index(row, ",", -1)
+    front = F.substr(row, F.lit(1), F.greatest(F.length(row) - F.length(version) - 1, F.lit(0)))
+    bucket = F.substring_index(front, ",", 1)
+    key = F.substr(front, F.length(bucket) + 2)
+    return bucket, decode_key(key), F.when(~version.isin("", "null"), version)
+
+
+def item_key(key: Column, version: Column) -> Column:
+    """Key of a tracked object; the null version and an empty one differ."""
+    return F.concat(key, F.lit("\x00"), F.coalesce(version, F.lit("\x01")))
+
+
+def namespace(bucket: Column) -> Column:
+    """Journal namespace of a bucket."""
+    return F.concat(F.lit("b_"), F.replace(bucket, F.lit("."), F.lit("_")))
+
+
+def report_prefix(config_id: Column, manifest_key: Column) -> Column:
+    """Folder of a job's report, known before the job has an id."""
+    return F.concat(F.lit("completion-reports/"), config_id, F.lit("/"), F.replace(manifest_key, F.lit("/"), F.lit("_")), F.lit("/"))
+
+
+def is_canonical(text: Column) -> Column:
+    """The text is a watermark as `watermark` writes it (the empty text is the epoch)."""
+    return F.coalesce((text == "") | (F.date_format(parse_watermark(text), WATERMARK) == text), F.lit(False))
+
+
+def is_plausible(text: Column, now: Column) -> Column:
+    """Canonical, and at most a day ahead of `now`: a stored mark far ahead would stop a bucket without a word."""
+    return is_canonical(text) & F.coalesce((text == "") | (parse_watermark(text) <= now + F.make_dt_interval(days=F.lit(1))), F.lit(False))
+
+
+def tags_of_json(text: Column) -> Column:
+    """A tag map from its JSON text; null where that is no object."""
+    return F.when(F.ltrim(text).startswith("{"), F.from_json(text, "map<string,string>"))

@@ -21,9 +21,28 @@ def validity(ops: DataFrame) -> DataFrame:
     return ops.withColumn("error_reason", reason)
 
 
+#: Lengths in microseconds of the slots in which `row_cap_boundary` counts: hours, seconds, single times.
+SLOTS = (3_600_000_000, 1_000_000, 1)
+
+
 def row_cap_boundary(ops: DataFrame, cap: int) -> DataFrame:
-    """Timestamp of the row number `cap`; no row where there are fewer."""
-    return ops.select("record_timestamp").orderBy("record_timestamp").offset(cap - 1).limit(1)
+    """Timestamp of the row number `cap`; no row where there are fewer (rows without a time are not counted).
+
+    Rows are counted by hour, then by second within the hour that holds the row, then by time within the
+    second: only counts are sorted, at most one for each hour, 3,600 seconds and a million times.
+    """
+    inside = ops.where(F.col("record_timestamp").isNotNull()).select("record_timestamp", F.unix_micros(F.col("record_timestamp").cast("timestamp")).alias("at"))
+    wanted = F.lit(cap)
+    for width in SLOTS:
+        slot = F.floor(F.col("at") / width) if width > 1 else F.col("at")
+        per = inside.groupBy(slot.alias("slot"), *(["wanted"] if "wanted" in inside.columns else [])).agg(F.count("*").alias("n"), F.min("record_timestamp").alias("first"))
+        upto = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("slot"))
+        hit = per.withColumn("upto", upto).where((F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted))
+        hit = hit.select(F.col("slot").alias("in_slot"), (wanted - (F.col("upto") - F.col("n"))).alias("wanted"), "first")  # one row at most
+        if width > 1:
+            inside = inside.drop("wanted").join(F.broadcast(hit.drop("first")), slot == F.col("in_slot")).drop("in_slot")
+            wanted = F.col("wanted")
+    return hit.select(F.col("first").alias("record_timestamp"))
 
 
 def with_ties(ops: DataFrame, cap: int) -> DataFrame:

@@ -29,6 +29,19 @@ def rendered(manifest: DataFrame) -> DataFrame:
     return manifest.select("bucket", manifest_row(F.col("bucket"), F.col("key"), F.col("version_id")).alias("row"))
 
 
+def checksums(manifest: DataFrame) -> DataFrame:
+    """Per bucket: object_count, and a checksum over the sums of 4096 parts (by a hash of the key), each over its rows in order.
+
+    No bucket is gathered in one place: a part holds the 4096th of it.
+    """
+    part = F.substring(F.md5("key"), 1, 3)
+    row = F.struct("key", manifest_row(F.col("bucket"), F.col("key"), F.col("version_id")).alias("row"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(row)), lambda x: x["row"]), "\n")
+    per = manifest.groupBy("bucket", part.alias("part")).agg(F.count("*").alias("n"), F.md5(text).alias("sum"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "sum"))), lambda x: x["sum"]), "")
+    return per.groupBy("bucket").agg(F.sum("n").alias("object_count"), F.md5(whole).alias("checksum"))
+
+
 def references(ops: DataFrame, kept: DataFrame) -> DataFrame:
     """Every operation on a kept (bucket, key, version), whether it matched or not."""
     k = kept.select(F.col("bucket").alias("kb"), F.col("key").alias("kk"), F.col("version_id").alias("kv")).distinct()

@@ -17,7 +17,11 @@ PHRASES = [
     ("GONE", "were deleted before replication could be confirmed", "was deleted before replication could be confirmed"),
     ("COMPLETE", "replicated successfully", "replicated successfully"),
 ]
+# Outcomes that need action, the words of the verdict, of what is left, and of the subject line, and their limits.
 ACTIONABLE = ("FAILED", "EXPIRED", "UNKNOWN", None)
+ACTION, BAD, FINE, ALL_FINE = "Action needed: ", " did not replicate.", "No failures.", "No action needed."
+NONE_LEFT, ONE_LEFT, MANY_LEFT = " No objects remain in tracking.", " 1 object remains in tracking.", " objects remain in tracking."
+SUBJECT, SUBJECT_BAD, SUBJECT_FINE, SUBJECT_LEFT = "S3 replication ", ", action needed", ", no failures", " still tracking"
 SUBJECT_CHARS, OVERDUE_S = 100, 3600
 
 
@@ -45,13 +49,13 @@ def outcome_summary(items: DataFrame, outstanding: DataFrame | None = None) -> D
     sole = F.coalesce(*(F.when(F.col(c) == total, s) for c, s in zip(n, said, strict=True)))
     bad = reduce(lambda a, b: a + b, [F.col(c) for c, (o, _, _) in zip(n, PHRASES, strict=True) if o in ACTIONABLE])
     complete = F.col(n[[o for o, _, _ in PHRASES].index("COMPLETE")])
-    verdict = F.when(bad > 0, F.concat(F.lit("Action needed: "), _counted(bad), F.lit(" of "), _counted(total), F.lit(" did not replicate."))).when(complete == total, "No action needed.").otherwise("No failures.")
+    verdict = F.when(bad > 0, F.concat(F.lit(ACTION), _counted(bad), F.lit(" of "), _counted(total), F.lit(BAD))).when(complete == total, ALL_FINE).otherwise(FINE)
     noun = F.concat(_counted(total), F.when(total == 1, " object").otherwise(" objects"))
-    trail = F.when(left.isNull(), "").when(left == 0, " No objects remain in tracking.").when(left == 1, " 1 object remains in tracking.").otherwise(F.concat(F.lit(" "), _counted(left), F.lit(" objects remain in tracking.")))
+    trail = F.when(left.isNull(), "").when(left == 0, NONE_LEFT).when(left == 1, ONE_LEFT).otherwise(F.concat(F.lit(" "), _counted(left), F.lit(MANY_LEFT)))
     body = F.when(sole.isNotNull(), F.concat(F.lit(" "), sole)).otherwise(F.concat(F.lit(" — "), F.array_join(clauses, "; ")))
     summary = F.concat(F.col("bucket"), F.lit(": "), noun, body, F.lit(". "), verdict, trail)
-    tail = F.concat(F.lit(": "), noun, F.when(bad > 0, ", action needed").otherwise(", no failures"), F.when(left > 0, F.concat(F.lit(", "), _counted(left), F.lit(" still tracking"))).otherwise(""))
-    head = F.lit("S3 replication ")
+    tail = F.concat(F.lit(": "), noun, F.when(bad > 0, SUBJECT_BAD).otherwise(SUBJECT_FINE), F.when(left > 0, F.concat(F.lit(", "), _counted(left), F.lit(SUBJECT_LEFT))).otherwise(""))
+    head = F.lit(SUBJECT)
     room = F.greatest(F.lit(SUBJECT_CHARS) - F.length(F.concat(head, F.lit("..."), tail)), F.lit(0))
     whole = F.concat(head, F.col("bucket"), tail)
     subject = F.when(F.length(whole) <= SUBJECT_CHARS, whole).otherwise(F.concat(head, F.substring(F.col("bucket"), F.lit(1), room), F.lit("..."), tail))

@@ -59,14 +59,38 @@ class Settings:
     chain_limit: int = 20
     failure_threshold: int = 3
     manifest_file_rows: int = 1_000_000
+    check_batch: int = 2000
+    tracking_ttl_s: int = 7 * 86400
 
     @classmethod
     def from_env(cls, env: Mapping[str, str]) -> Settings:
         """Read TAGFLOW_<NAME>; whole numbers only, negative ones are unusable."""
         named = {f.name: env.get(f"TAGFLOW_{f.name.upper()}", "").strip() for f in fields(cls)}
-        return cls(**{k: int(v) for k, v in named.items() if re.fullmatch(r"[0-9]+", v) and (int(v) or k in ("lookback_s", "chain_limit"))})
+        return cls(**{k: int(v) for k, v in named.items() if re.fullmatch(r"[0-9]+", v) and (int(v) or k in ("lookback_s", "chain_limit", "tracking_ttl_s"))})
 
 
-def should_continue(capped: bool, progressed: bool, depth: int, limit: int, active: bool = True) -> bool:
+def should_continue(capped: bool, progressed: bool, depth: int, limit: int) -> bool:
     """Another run follows at once: this one was cut by its cap, moved on, and the chain has room."""
-    return capped and progressed and active and max(depth, 0) < limit
+    return capped and progressed and max(depth, 0) < limit
+
+
+# Memory sizes in MiB that a row cap is checked for, and rows that fit in each 1024 of them.
+MEMORY_MB = (1024, 2048, 3072, 4096, 6144, 8192, 10240)
+ROWS_PER_GB = 250_000
+
+
+def row_ceiling(memory_mb: int) -> int:
+    """Most rows of a run in the supported size nearest to `memory_mb` (of two as near, the smaller)."""
+    nearest = min(MEMORY_MB, key=lambda size: (abs(size - memory_mb), size))
+    return nearest // 1024 * ROWS_PER_GB
+
+
+def check_row_cap(cap: int, memory_mb: int) -> None:
+    """A cap above the ceiling of the memory is a configuration error."""
+    if cap > row_ceiling(memory_mb):
+        raise ConfigError(f"a row cap of {cap} is above the {row_ceiling(memory_mb)} rows that {memory_mb} MiB hold")
+
+
+def interval_text(minutes: int) -> str:
+    """Minutes as whole hours where they are, else as minutes."""
+    return f"{minutes // 60}h" if minutes % 60 == 0 else f"{minutes}m"

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
-from pathlib import Path
+import uuid
+from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,52 +16,103 @@ class StateConflict(RuntimeError):
     """The state was changed by another writer, or is there already."""
 
 
+class Files:
+    """Small files of the driver on any file system that Spark reaches."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.jvm, self.conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        self.folder = folder.rstrip("/")
+        self.fs = self._path("").getFileSystem(self.conf)
+        self.fs.mkdirs(self._path(""))
+
+    def _path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
+
+    def names(self) -> list[str]:
+        return [x.getPath().getName() for x in self.fs.listStatus(self._path(""))]
+
+    def read(self, name: str) -> str:
+        stream = self.fs.open(self._path(name))
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write(self, name: str, text: str) -> None:
+        """Put the whole text under a new name, or raise FileExistsError: it is written beside and renamed, so no part of it is ever seen."""
+        draft = self._path(f".{name}.{uuid.uuid4()}")
+        stream = self.fs.create(draft, False)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        rename = self.jvm.org.apache.hadoop.fs.Options.Rename
+        plain = self.conf.getClass().getClassLoader().loadClass("org.apache.hadoop.fs.Options$Rename")
+        options = self.jvm.java.lang.reflect.Array.newInstance(plain, 1)
+        options[0] = rename.NONE
+        context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.conf)
+        try:
+            context.rename(draft, self._path(name), options)
+        except Py4JJavaError as e:
+            self.fs.delete(draft, False)
+            if "FileAlreadyExistsException" in str(e.java_exception):
+                raise FileExistsError(name) from e
+            raise
+
+
 class StateStore:
-    """One small JSON document for each bucket, written only over the version that was read."""
+    """One small JSON document for each name, written only over the version that was read.
 
-    def __init__(self, folder: str) -> None:
-        self.folder = Path(folder)
-        self.folder.mkdir(parents=True, exist_ok=True)
+    A version is a file of its own in a folder of any file system that Spark reaches; drafts that a
+    crash left behind are never read.
+    """
 
-    def read(self, bucket: str) -> tuple[dict | None, int | None]:
-        found = sorted(self.folder.glob(f"{bucket}.*.json"), key=lambda p: int(p.name.split(".")[-2]))
-        return (json.loads(found[-1].read_text()), int(found[-1].name.split(".")[-2])) if found else (None, None)
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.files = Files(spark, folder)
 
-    def write(self, bucket: str, document: dict, version: int | None) -> int:
-        """Create (`version` None) or replace; the exclusive creation of the next version decides a race."""
-        if self.read(bucket)[1] != version:
-            raise StateConflict(bucket)
+    def _versions(self, name: str) -> list[int]:
+        parts = [x.rsplit(".", 2) for x in self.files.names() if not x.startswith(".")]
+        return sorted(int(x[1]) for x in parts if len(x) == 3 and x[0] == name and x[2] == "json" and x[1].isdigit())
+
+    def read(self, name: str) -> tuple[dict | None, int | None]:
+        found = self._versions(name)
+        return (json.loads(self.files.read(f"{name}.{found[-1]}.json")), found[-1]) if found else (None, None)
+
+    def write(self, name: str, document: dict, version: int | None) -> int:
+        """Create (`version` None) or replace; the exclusive name of the next version decides a race."""
+        found = self._versions(name)
+        if (found[-1] if found else None) != version:
+            raise StateConflict(name)
         fresh = (version or 0) + 1
         try:
-            handle = os.open(self.folder / f"{bucket}.{fresh}.json", os.O_CREAT | os.O_EXCL | os.O_WRONLY)
+            self.files.write(f"{name}.{fresh}.json", json.dumps(document))
         except FileExistsError as e:
-            raise StateConflict(bucket) from e
-        with os.fdopen(handle, "w") as f:
-            json.dump(document, f)
+            raise StateConflict(name) from e
         return fresh
 
+    def update(self, name: str, change: Callable[[dict | None], dict], tries: int = 5) -> int:
+        """Read, change and write, and again where another writer came between, at most `tries` times."""
+        for _ in range(tries):
+            document, version = self.read(name)
+            try:
+                return self.write(name, change(document), version)
+            except StateConflict:
+                continue
+        raise StateConflict(name)
+
+
+FORMAT = {"version": "2016-11-30", "fileFormat": "CSV", "fileSchema": "Bucket, Key, VersionId"}
 
-def write_manifest(rows: DataFrame, path: str, bucket: str, destination: str, created_ms: int) -> dict:
-    """Write one bucket's rows in order as text files, then their checksums, then the envelope.
 
-    The rows are sorted by range over partitions and never pass through the driver; the
-    envelope lists every part with its size and checksum.
+def write_envelope(spark: SparkSession, folder: str, bucket: str, destination: str, created_ms: int, files: list[dict]) -> str:
+    """Write the checksum of a bucket's envelope, then the envelope itself; returns the checksum.
+
+    Who finds an envelope finds its checksum and all files that it names.
     """
-    spark: SparkSession = rows.sparkSession
-    rows.where(F.col("bucket") == bucket).select("row").orderBy("row").write.mode("overwrite").text(path)
-    parts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("key"), F.octet_length("value").alias("size"), F.md5("value").alias("MD5checksum")).where("size > 0").orderBy("key").collect()  # one row for each file
-    count = spark.read.text(path).count()
-    envelope = {
-        "sourceBucket": bucket,
-        "destinationBucket": destination,
-        "version": "2016-11-30",
-        "creationTimestamp": str(created_ms),
-        "fileFormat": "CSV",
-        "fileSchema": "Bucket, Key, VersionId",
-        "files": [r.asDict() for r in parts],
-    }
-    text = json.dumps(envelope)
-    return {"checksum": hashlib.md5(text.encode()).hexdigest(), "manifest": envelope, "object_count": count}
+    text = json.dumps({"sourceBucket": bucket, "destinationBucket": destination, "creationTimestamp": str(created_ms), **FORMAT, "files": files})
+    checksum = hashlib.md5(text.encode()).hexdigest()
+    out = Files(spark, folder)
+    out.write("manifest.checksum", checksum)
+    out.write("manifest.json", text)
+    return checksum
 
 
 def write_manifests(rows: DataFrame, path: str, file_rows: int) -> dict[str, dict]:
@@ -78,7 +130,7 @@ def write_manifests(rows: DataFrame, path: str, file_rows: int) -> dict[str, dic
     files = written.select("bucket", F.col("_metadata.file_path").alias("key"), F.octet_length("value").alias("size"), F.md5("value").alias("MD5checksum"), lines.alias("rows")).orderBy("bucket", "key").collect()
     out: dict[str, dict] = {}
     for r in files:
-        entry = out.setdefault(r.bucket, {"sourceBucket": r.bucket, "fileFormat": "CSV", "fileSchema": "Bucket, Key, VersionId", "object_count": 0, "files": []})
+        entry = out.setdefault(r.bucket, {"sourceBucket": r.bucket, **FORMAT, "object_count": 0, "files": []})
         entry["files"].append({"key": r.key, "size": r.size, "MD5checksum": r.MD5checksum})
         entry["object_count"] += r.rows
     return out
@@ -93,3 +145,8 @@ def _any(spark: SparkSession, path: str) -> bool:
 def publish(rows: DataFrame, path: str, kind: str) -> None:
     """Append metric, alert or log rows as JSON lines, in a folder for each kind."""
     rows.write.mode("append").json(f"{path}/{kind}")
+
+
+def publish_parts(rows: DataFrame, path: str, kind: str, size: int = 1000) -> None:
+    """The same in files of at most `size` rows, as sinks take that have such a limit."""
+    rows.write.mode("append").option("maxRecordsPerFile", size).json(f"{path}/{kind}")

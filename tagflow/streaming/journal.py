@@ -43,7 +43,10 @@ def stream_dedup_within_watermark(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _folder(spark: SparkSession) -> str:
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stream-")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return named or tempfile.mkdtemp(prefix="stream-")
 
 
 def _is_folder(spark: SparkSession, path: str) -> bool:

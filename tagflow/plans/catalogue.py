@@ -19,7 +19,10 @@ from tagflow.operators import manifest as M
 from tagflow.operators import reports as P
 from tagflow.operators import rules as R
 from tagflow.operators import state as S
+from tagflow.operators import tracking as T
+from tagflow.sources import codecs as D
 from tagflow.sources.journal import from_events
+from tagflow.sources.reports import parsed as parsed_report
 
 SINCE, UNTIL, MARK = datetime(2024, 1, 5), datetime(2024, 1, 25), datetime(2024, 1, 15)
 DAY = 86400
@@ -42,8 +45,12 @@ def ops(spark: SparkSession, sf: str) -> DataFrame:
     return J.window(journal(spark, sf), ntz(SINCE), ntz(UNTIL))
 
 
+def updates(spark: SparkSession, sf: str) -> DataFrame:
+    return J.window(journal(spark, sf))
+
+
 def newest(spark: SparkSession, sf: str) -> DataFrame:
-    good = J.validity(ops(spark, sf)).where("error_reason IS NULL").drop("error_reason")
+    good = J.validity(updates(spark, sf)).where("error_reason IS NULL").drop("error_reason")
     return J.latest(good)
 
 
@@ -60,7 +67,7 @@ def manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def deletes(spark: SparkSession, sf: str) -> DataFrame:
-    return J.permanent_deletes(journal(spark, sf), ntz(SINCE))
+    return J.permanent_deletes(journal(spark, sf))
 
 
 def state(spark: SparkSession, lease: bool = False) -> DataFrame:
@@ -86,9 +93,10 @@ j AS (
  UNION ALL
  SELECT bucket, key, version_id, 'UPDATE_METADATA', event_type, k, lpad(CAST(e + 500000 AS VARCHAR), 12, '0'), ts, CASE WHEN e % 14 = 0 THEN 'DEEP_ARCHIVE' ELSE 'STANDARD' END, e % 20 = 9
  FROM base WHERE e % 7 = 0 AND e % 10 < 8),
-w AS (SELECT *, bucket || '|' || key || '|' || coalesce(version_id, '<null>') || '|' || type || '|' || coalesce(k, '') AS lid FROM j
- WHERE record_type = 'UPDATE_METADATA' AND record_timestamp > TIMESTAMP '{SINCE}' AND record_timestamp <= TIMESTAMP '{UNTIL}'),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY lid ORDER BY sequence_number DESC, record_timestamp) AS r, min(record_timestamp) OVER (PARTITION BY lid) AS first_seen, count(*) OVER (PARTITION BY lid) AS deliveries FROM w),
+u AS (SELECT *, bucket || '|' || key || '|' || coalesce(version_id, '<null>') || '|' || type || '|' || coalesce(k, '') AS lid FROM j
+ WHERE record_type = 'UPDATE_METADATA'),
+w AS (SELECT * FROM u WHERE record_timestamp > TIMESTAMP '{SINCE}' AND record_timestamp <= TIMESTAMP '{UNTIL}'),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lid ORDER BY sequence_number DESC, record_timestamp) AS r, min(record_timestamp) OVER (PARTITION BY lid) AS first_seen, count(*) OVER (PARTITION BY lid) AS deliveries FROM u),
 d AS (SELECT * FROM ranked WHERE r = 1),
 a AS (SELECT * FROM d WHERE NOT coalesce(upper(trim(storage_class)) IN ('GLACIER', 'DEEP_ARCHIVE'), false)),
 rules(rb, config_id, rule_id, rt, rk, dest, prefix) AS (VALUES ('lake-0', 'c0', 'r1', 'click', NULL, 'copy-a', 'u/1'), ('lake-1', 'c1', 'r2', 'view', NULL, 'copy-b', NULL), ('lake-2', 'c2', 'r3', 'purchase', '7', 'copy-c', NULL), ('lake-0', 'c0', 'r4', 'click', NULL, 'copy-d', NULL)),
@@ -96,7 +104,7 @@ m AS (SELECT a.*, config_id, rule_id, dest FROM a JOIN rules ON bucket = rb AND
 firsts AS (SELECT bucket, key, version_id, record_timestamp, row_number() OVER (PARTITION BY bucket, key ORDER BY first_seen, lid) AS r FROM m),
 labels_of AS (SELECT bucket, key, string_agg(DISTINCT rule_id, ',' ORDER BY rule_id) AS rules, string_agg(DISTINCT dest, ',' ORDER BY dest) AS destinations FROM m GROUP BY bucket, key),
 mf AS (SELECT f.bucket, f.key, f.version_id, f.record_timestamp AS tagged_at, l.rules, l.destinations FROM firsts f JOIN labels_of l ON f.bucket = l.bucket AND f.key = l.key WHERE r = 1),
-del AS (SELECT DISTINCT bucket, key, version_id FROM j WHERE record_timestamp > TIMESTAMP '{SINCE}' AND ((record_type = 'DELETE' AND NOT coalesce(is_delete_marker, false)) OR (record_type IN ('PUT', 'COPY', 'RESTORE') AND version_id IS NULL))),
+del AS (SELECT DISTINCT bucket, key, version_id FROM j WHERE (record_type = 'DELETE' AND NOT coalesce(is_delete_marker, false)) OR (record_type IN ('PUT', 'COPY', 'RESTORE') AND version_id IS NULL)),
 kept AS (SELECT * FROM mf WHERE NOT EXISTS (SELECT 1 FROM del WHERE del.bucket = mf.bucket AND del.key = mf.key AND del.version_id IS NOT DISTINCT FROM mf.version_id)),
 state(sb, mark) AS (VALUES ('lake-0', TIMESTAMP '{MARK}'), ('lake-1', TIMESTAMP '{MARK}')),
 el AS (SELECT d.*, mark FROM d LEFT JOIN state ON bucket = sb WHERE mark IS NULL OR record_timestamp > mark OR (record_timestamp > mark - INTERVAL 1 DAY AND CAST(sequence_number AS BIGINT) % 4 <> 0))
@@ -135,10 +143,10 @@ def journal_projection(spark, sf):
     return ops(spark, sf).select(*ROW, F.col("object_tags")["type"].alias("type"), F.col("object_tags")["k"].alias("k"))
 
 
-@query("SELECT error_reason, count(*) AS n FROM (SELECT CASE WHEN kk = '' THEN 'empty key' WHEN untagged THEN 'no tags' END AS error_reason FROM (SELECT CASE WHEN CAST(sequence_number AS BIGINT) % 13 = 0 THEN '' ELSE key END AS kk, CAST(sequence_number AS BIGINT) % 17 = 0 AS untagged FROM w)) GROUP BY error_reason")
+@query("SELECT error_reason, count(*) AS n FROM (SELECT CASE WHEN kk = '' THEN 'empty key' WHEN untagged THEN 'no tags' END AS error_reason FROM (SELECT CASE WHEN CAST(sequence_number AS BIGINT) % 13 = 0 THEN '' ELSE key END AS kk, CAST(sequence_number AS BIGINT) % 17 = 0 AS untagged FROM u)) GROUP BY error_reason")
 def journal_validity_split(spark, sf):
     seq = F.col("sequence_number").cast("long")
-    broken = ops(spark, sf).withColumn("key", F.when(seq % 13 == 0, "").otherwise(F.col("key"))).withColumn("object_tags", F.when(seq % 17 != 0, F.col("object_tags")))
+    broken = updates(spark, sf).withColumn("key", F.when(seq % 13 == 0, "").otherwise(F.col("key"))).withColumn("object_tags", F.when(seq % 17 != 0, F.col("object_tags")))
     return J.validity(broken).groupBy("error_reason").agg(F.count("*").alias("n"))
 
 
@@ -229,10 +237,10 @@ def rule_match_grouped(spark, sf):
     return R.grouped(matches(spark, sf)).select("bucket", "key", "config_id", F.concat_ws(",", "rules").alias("rules"), F.concat_ws(",", "destinations").alias("destinations"))
 
 
-@query("SELECT count(DISTINCT key) AS n FROM w WHERE bucket = 'lake-0' AND ((type = 'click' AND starts_with(key, 'u/1')) OR type = 'click')")
+@query("SELECT count(DISTINCT key) AS n FROM u WHERE bucket = 'lake-0' AND ((type = 'click' AND starts_with(key, 'u/1')) OR type = 'click')")
 def rule_predicate_count(spark, sf):
-    rules = [r.asDict() for r in R.inline_rules(spark).where("bucket = 'lake-0'").limit(1000).collect()]
-    return ops(spark, sf).where((F.col("bucket") == "lake-0") & R.predicate(rules)).agg(F.countDistinct("key").alias("n"))
+    condition = R.predicate_of(R.inline_rules(spark).where("bucket = 'lake-0'"))
+    return updates(spark, sf).where((F.col("bucket") == "lake-0") & condition).agg(F.countDistinct("key").alias("n"))
 
 
 # ---------------------------------------------------------------- manifest
@@ -257,11 +265,13 @@ def manifest_rows(spark, sf):
     return M.rendered(manifest(spark, sf))
 
 
-@query("SELECT bucket, count(*) AS object_count, md5(string_agg(bucket || ',' || key || ',' || coalesce(version_id, 'null'), chr(10) ORDER BY key)) AS checksum FROM mf GROUP BY bucket")
+PART = "substr(md5(key), 1, 3)"
+
+
+@query(f"""SELECT bucket, sum(n)::BIGINT AS object_count, md5(string_agg(part_sum, '' ORDER BY part)) AS checksum FROM (
+ SELECT bucket, {PART} AS part, count(*) AS n, md5(string_agg(bucket || ',' || key || ',' || coalesce(version_id, 'null'), chr(10) ORDER BY key)) AS part_sum FROM mf GROUP BY bucket, {PART}) GROUP BY bucket""")
 def manifest_checksum(spark, sf):
-    rows = manifest(spark, sf).select("bucket", F.struct("key", C.manifest_row(F.col("bucket"), F.col("key"), F.col("version_id")).alias("row")).alias("r"))
-    ordered = F.transform(F.array_sort(F.collect_list("r")), lambda x: x["row"])
-    return rows.groupBy("bucket").agg(F.count("*").alias("object_count"), F.md5(F.array_join(ordered, "\n")).alias("checksum"))
+    return M.checksums(manifest(spark, sf))
 
 
 @query("SELECT bucket, key, version_id FROM del")
@@ -283,9 +293,9 @@ def submitted_refs(spark, sf):
     return M.references(live(spark, sf), kept).select(*ROW)
 
 
-@query("SELECT bucket, key, version_id, max(record_timestamp) AS watermark, count(*) AS n FROM w LEFT JOIN state ON bucket = sb WHERE mark IS NULL OR record_timestamp > mark - INTERVAL 1 DAY GROUP BY bucket, key, version_id")
+@query("SELECT bucket, key, version_id, max(record_timestamp) AS watermark, count(*) AS n FROM u LEFT JOIN state ON bucket = sb WHERE mark IS NULL OR record_timestamp > mark - INTERVAL 1 DAY GROUP BY bucket, key, version_id")
 def window_prune(spark, sf):
-    named = ops(spark, sf).withColumn("lid", F.concat_ws("|", "bucket", "key", F.coalesce("version_id", F.lit("<null>")), "sequence_number"))
+    named = updates(spark, sf).withColumn("lid", F.concat_ws("|", "bucket", "key", F.coalesce("version_id", F.lit("<null>")), "sequence_number"))
     kept = S.prune(named.select("bucket", "lid", "record_timestamp"), state(spark).drop("lease_mark"), DAY)
     parts = F.split("lid", r"\|")
     return kept.groupBy("bucket", parts[1].alias("key"), F.when(parts[2] != "<null>", parts[2]).alias("version_id")).agg(F.max("watermark").alias("watermark"), F.count("*").alias("n"))
@@ -344,13 +354,12 @@ def report(spark, sf):
 
 
 def parsed(spark, sf):
-    status, code = C.status_and_error(F.col("c4"), F.col("c5"))
-    return report(spark, sf).select("bucket", C.decode_key(F.col("key")).alias("key"), F.when(~F.col("version_id").isin("null", ""), F.col("version_id")).alias("version_id"), "sequence_number", "task_status", status.alias("http_status"), code.alias("error_code"))
+    return parsed_report(report(spark, sf).withColumn("result_message", F.lit("")))
 
 
 @query(REPORT + "SELECT * FROM rep")
 def report_parse(spark, sf):
-    return parsed(spark, sf)
+    return parsed(spark, sf).drop("result_message")
 
 
 @query(REPORT + "SELECT error_code, count(*) AS n, min(sequence_number) AS first_sequence FROM rep WHERE error_code IS NOT NULL GROUP BY error_code")
@@ -503,13 +512,17 @@ def report_summary(spark, sf):
     return P.outcome_summary(items, left)
 
 
-@query(None)
+@query(TRACK + """, g AS (SELECT bucket, rules, destinations, count(*) AS items, length(bucket || ',' || rules || ',' || destinations) + 20 AS size FROM rec GROUP BY bucket, rules, destinations),
+o AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY rules, destinations) AS k FROM g),
+c AS (WITH RECURSIVE r AS (SELECT bucket, k, rules, items, size, 0 AS chunk, 60 - size AS room FROM o WHERE k = 1
+ UNION ALL SELECT o.bucket, o.k, o.rules, o.items, o.size, CASE WHEN o.size > r.room THEN r.chunk + 1 ELSE r.chunk END, CASE WHEN o.size > r.room THEN 60 - o.size ELSE r.room - o.size END
+ FROM r JOIN o ON o.bucket = r.bucket AND o.k = r.k + 1) SELECT * FROM r)
+SELECT chunk::BIGINT AS chunk, bucket, rules, items, size FROM c""")
 def report_chunks(spark, sf):
-    """Report groups in chunks of a byte budget; the driver holds one size for each group (rules are few)."""
-    g = S.outcome_groups(reconciled(spark, sf)).orderBy("bucket", "rules", "destinations")
-    rows = g.select("bucket", F.concat_ws(",", "rules").alias("rules"), "items", F.octet_length(F.to_json(F.struct(*g.columns))).alias("size")).collect()
-    chunk = {k: n for n, ks in enumerate(S.chunked([r["size"] for r in rows], 600)) for k in ks}
-    return spark.createDataFrame([(chunk[k], r.bucket, r["rules"], r["items"], r["size"]) for k, r in enumerate(rows)], "chunk int, bucket string, rules string, items long, size long")
+    """Report groups of each bucket in chunks of a byte budget."""
+    g = S.outcome_groups(reconciled(spark, sf)).withColumns({"rules": F.concat_ws(",", "rules"), "destinations": F.concat_ws(",", "destinations")})
+    sized = g.withColumn("size", (F.octet_length(F.concat_ws(",", "bucket", "rules", "destinations")) + 20).cast("long"))
+    return S.chunked_groups(sized, ["rules", "destinations"], 60).select("chunk", "bucket", "rules", "items", "size")
 
 
 ACTIVE = "SELECT d.bucket, count(*) AS ops_read, (SELECT count(*) FROM m WHERE m.bucket = d.bucket) AS matched, (SELECT count(*) FROM kept WHERE kept.bucket = d.bucket) AS submitted, count(CASE WHEN storage_class IN ('GLACIER', 'DEEP_ARCHIVE') THEN 1 END) AS archived FROM d GROUP BY d.bucket"
@@ -563,6 +576,150 @@ def alert_due(spark, sf):
     return jobs(spark, sf).select("job_id", P.alert_due(F.col("terminal_at"), ntz(datetime(1997, 1, 1)), 21600).alias("due"))
 
 
+# ---------------------------------------------------------------- rows, names and stored documents
+
+@query("SELECT bucket, key, version_id FROM mf")
+def manifest_parse(spark, sf):
+    bucket, key, version = C.parse_manifest_row(F.col("row"))
+    return M.rendered(manifest(spark, sf)).select(bucket.alias("bucket"), key.alias("key"), version.alias("version_id"))
+
+
+@query("SELECT DISTINCT 'b_' || replace(bucket || '.v1', '.', '_') AS namespace, 'completion-reports/c' || substr(bucket, 6) || '/runs_' || bucket || '.csv/' AS prefix, hex(key || chr(0) || coalesce(version_id, chr(1))) AS item FROM mf")
+def stored_names(spark, sf):
+    prefix = C.report_prefix(F.concat(F.lit("c"), F.substring("bucket", 6, 9)), F.concat(F.lit("runs/"), "bucket", F.lit(".csv")))
+    return manifest(spark, sf).select(C.namespace(F.concat("bucket", F.lit(".v1"))).alias("namespace"), prefix.alias("prefix"), F.hex(C.item_key(F.col("key"), F.col("version_id"))).alias("item")).distinct()
+
+
+MARKS = """CASE event_id % 5 WHEN 0 THEN '' WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') WHEN 2 THEN strftime(ts, '%Y-%m-%d') WHEN 3 THEN '9999-12-31T23:59:59.000000Z' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || ' ' END"""
+
+
+@query(f"WITH p AS (SELECT event_id, ts, {MARKS} AS mark FROM events) SELECT event_id, event_id % 5 IN (0, 1, 3) AS canonical, event_id % 5 = 0 OR (event_id % 5 = 1 AND ts <= TIMESTAMP '{MARK}' + INTERVAL 1 DAY) AS plausible FROM p")
+def watermark_checks(spark, sf):
+    k, mark = F.col("event_id") % 5, C.watermark(F.col("ts"))
+    text = F.when(k == 0, "").when(k == 1, mark).when(k == 2, F.date_format("ts", "yyyy-MM-dd")).when(k == 3, "9999-12-31T23:59:59.000000Z").otherwise(F.concat(mark, F.lit(" ")))
+    return spark.read.parquet(f"{sf}/events.parquet").select("event_id", C.is_canonical(text).alias("canonical"), C.is_plausible(text, ntz(MARK).cast("timestamp")).alias("plausible"))
+
+
+@query("WITH p AS (SELECT event_id, props, event_type FROM events) SELECT event_id, CASE WHEN event_id % 6 < 3 THEN 'no tags' END AS error_reason, CASE WHEN event_id % 6 >= 3 THEN event_type END AS type FROM p")
+def tags_decode(spark, sf):
+    """Tags as JSON text: objects are maps; empty objects, arrays and broken texts are errors of their row."""
+    k, text = F.col("event_id") % 6, F.to_json(F.struct(F.col("event_type").alias("type")))
+    raw = spark.read.parquet(f"{sf}/events.parquet").select("event_id", F.lit("k").alias("key"), F.col("ts").alias("record_timestamp"), F.when(k == 0, "{}").when(k == 1, "[1]").when(k == 2, "{broken").otherwise(text).alias("tags"))
+    good = J.validity(raw.withColumn("object_tags", C.tags_of_json(F.col("tags"))))
+    return good.select("event_id", "error_reason", F.when(F.col("error_reason").isNull(), F.col("object_tags")["type"]).alias("type"))
+
+
+@query("""WITH b(bucket, reason) AS (VALUES ('lake-3', 'no rule with tags'), ('lake-4', 'no configuration'), ('lake-5', 'no permission to read the configuration'), ('lake-6', 'unreadable configuration'), ('lake-7', 'no configuration')) SELECT * FROM b""")
+def rule_skips(spark, sf):
+    documents = [("lake-0", None), ("lake-1", None), ("lake-2", None), ("lake-3", None), ("lake-5", "denied"), ("lake-6", "timeout"), ("lake-7", "absent")]
+    buckets = spark.createDataFrame([(f"lake-{k}",) for k in range(8)], "bucket string")
+    return R.skip_reports(buckets, spark.createDataFrame(documents, "bucket string, error string"), R.inline_rules(spark))
+
+
+STORED = """WITH q AS (SELECT o_orderkey AS job_id, 'lake-' || CAST(o_custkey % 3 AS VARCHAR) AS bucket, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000000Z') AS mark FROM orders) """
+
+
+@query(STORED + """SELECT bucket || '/' || CAST(job_id AS VARCHAR) AS bucket, CASE job_id % 7 WHEN 0 THEN 'not an object' WHEN 1 THEN 'watermark is no text' WHEN 2 THEN 'watermark is not plausible' WHEN 3 THEN 'document of another bucket' END AS problem,
+ CASE WHEN job_id % 7 > 3 THEN mark END AS watermark, job_id % 7 = 5 AS lease_discarded, CASE WHEN job_id % 7 = 6 THEN 'L' END AS lease_id, CASE WHEN job_id % 7 > 3 THEN (CASE WHEN job_id % 2 = 0 THEN 1 ELSE 0 END)::BIGINT END AS ids FROM q""")
+def checkpoint_decode(spark, sf):
+    """Stored documents of all shapes: broken ones are named, an untrusted lease is dropped, absent lists are empty."""
+    k, name = F.col("o_orderkey") % 7, F.concat(F.lit("lake-"), (F.col("o_custkey") % 3).cast("string"), F.lit("/"), F.col("o_orderkey").cast("string"))
+    mark = F.when(k == 1, "7").when(k == 2, '"9999-12-31T23:59:59.000000Z"').otherwise(F.concat(F.lit('"'), C.watermark(F.col("o_orderdate")), F.lit('"')))
+    lease = F.lit(', "lease": {"lease_id": "L", "candidate_max_watermark": "%s", "acquired_at": "2024-01-01T00:00:00", "status": "IN_FLIGHT"}')
+    more = F.when(k == 5, F.replace(lease, F.lit("%s"), F.lit("9999-12-31T23:59:59.000000Z"))).when(k == 6, F.replace(lease, F.lit("%s"), F.lit("2024-01-02T00:00:00.000000Z"))).otherwise("")
+    ids = F.when(F.col("o_orderkey") % 2 == 0, ', "completion_processed_job_ids": ["j"], "unknown": 1').otherwise("")
+    document = F.when(k == 0, "[1]").otherwise(F.concat(F.lit('{"source_bucket": "'), F.when(k == 3, "other").otherwise(name), F.lit('", "last_processed_watermark": '), mark, more, ids, F.lit("}")))
+    read = D.decoded(spark.read.parquet(f"{sf}/orders.parquet").select(name.alias("bucket"), document.alias("document")), ntz(MARK).cast("timestamp"))
+    again = D.decoded(D.encoded(read), ntz(MARK).cast("timestamp")).select(F.col("bucket").alias("b"), F.col("watermark").alias("w"), F.size("completion_processed_job_ids").cast("long").alias("ids"))
+    both = read.join(again, (read["bucket"] == again["b"]) & (read["watermark"] == again["w"]), "left")
+    return both.select("bucket", "problem", "watermark", F.coalesce("lease_discarded", F.lit(False)).alias("lease_discarded"), F.col("lease.lease_id").alias("lease_id"), "ids")
+
+
+@query("SELECT bucket, lid_hex, watermark, pos FROM (SELECT bucket, lid AS lid_hex, record_timestamp AS watermark, row_number() OVER (PARTITION BY bucket ORDER BY record_timestamp, lid) AS pos FROM d)")
+def window_refs_order(spark, sf):
+    """Processed references of each bucket in the order in which they are stored: by time, then by id."""
+    lid = F.concat_ws("|", "bucket", "key", F.coalesce("version_id", F.lit("<null>")), F.col("object_tags")["type"], F.coalesce(F.col("object_tags")["k"], F.lit("")))
+    return S.ordered_references(newest(spark, sf).select("bucket", lid.alias("lid"), "record_timestamp")).select("bucket", F.col("lid").alias("lid_hex"), F.col("record_timestamp").alias("watermark"), "pos")
+
+
+# ---------------------------------------------------------------- tracking
+
+JOB_STATUS = "CASE o_orderstatus WHEN 'F' THEN 'Failed' WHEN 'O' THEN 'Complete' ELSE 'Active' END"
+
+
+@query(f"WITH q AS (SELECT o_orderkey AS job_id, {JOB_STATUS} AS status FROM orders) SELECT job_id, status FROM q WHERE status <> 'Active' AND job_id % 3 <> 0")
+def terminal_unmerged(spark, sf):
+    j = outcomes(spark, sf).select("job_id", "status")
+    return T.unmerged_jobs(j, j.where("job_id % 3 = 0").select("job_id"))
+
+
+@query(REPORT + """, s AS (SELECT * FROM mf WHERE length(key) % 2 = 0) SELECT r.bucket, r.key, r.version_id, r.sequence_number, s.tagged_at, s.rules FROM rep r LEFT JOIN s ON s.bucket = r.bucket AND s.key = r.key AND s.version_id IS NOT DISTINCT FROM r.version_id""")
+def stored_lookup(spark, sf):
+    stored = manifest(spark, sf).where(F.length("key") % 2 == 0)
+    return T.with_stored(parsed(spark, sf), stored).select("bucket", "key", "version_id", "sequence_number", "tagged_at", F.concat_ws(",", "rules").alias("rules")).withColumn("rules", F.when(F.col("rules") != "", F.col("rules")))
+
+
+@query("SELECT bucket, key, version_id, CASE WHEN length(key) % 2 = 0 THEN 'first' ELSE 'second' END AS tagged_at FROM mf WHERE length(key) % 2 = 0 OR length(key) % 3 <> 0")
+def side_insert(spark, sf):
+    m = manifest(spark, sf).select("bucket", "key", "version_id")
+    stored, fresh = m.where(F.length("key") % 2 == 0).withColumn("tagged_at", F.lit("first")), m.where(F.length("key") % 3 != 0).withColumn("tagged_at", F.lit("second"))
+    return T.inserted_if_absent(stored, fresh)
+
+
+@query(TRACK + "SELECT bucket, key, version_id, CASE WHEN state = 'PENDING' AND outcome IS NOT NULL THEN 'RESOLVED' ELSE state END AS state, CASE WHEN state = 'PENDING' THEN outcome END AS outcome FROM rec")
+def resolutions_applied(spark, sf):
+    found = reconciled(spark, sf).select("bucket", "key", "version_id", "outcome", ntz(datetime(2024, 1, 20)).alias("resolved_at"))
+    items = tracked(spark, sf).withColumns({"outcome": F.lit(None).cast("string"), "resolved_at": F.lit(None).cast("timestamp_ntz")})
+    return T.resolved(items, found).select("bucket", "key", "version_id", "state", "outcome")
+
+
+@query(TRACK + f"SELECT bucket, key, version_id, state FROM items WHERE NOT ({PUB})")
+def published_removed(spark, sf):
+    return T.without_published(tracked(spark, sf), publishable(spark, sf)).select("bucket", "key", "version_id", "state")
+
+
+@query(TRACK + "SELECT bucket, key, version_id FROM items WHERE state = 'RESOLVED' AND bucket <> 'lake-1' AND (bucket <> 'lake-2' OR tagged_at < TIMESTAMP '2024-01-10')")
+def publishable_by_scans(spark, sf):
+    """Two configs for each object: one of its bucket, and one that is always quiet."""
+    config = F.struct(F.lit("j").alias("job_id"), F.col("tagged_at").alias("manifest_at"), F.lit(True).alias("confirmed"))
+    items = tracked(spark, sf).withColumn("configs", F.create_map(F.col("bucket"), config, F.lit("quiet"), config))
+    late = datetime(2030, 1, 1)
+    scans = [("lake-0", late, 0), ("lake-1", late, 4), ("lake-2", datetime(2024, 1, 10), 0), ("quiet", late, 0)]
+    return T.publishable(items, spark.createDataFrame(scans, "config_id string, last_scan_at timestamp_ntz, last_scan_match_count long")).select("bucket", "key", "version_id")
+
+
+DIAGNOSES = """, e AS (SELECT bucket AS job_id, error_code, sequence_number, CASE WHEN CAST(sequence_number AS BIGINT) % 2 = 0 THEN 'm' || sequence_number END AS message FROM rep WHERE error_code IS NOT NULL),
+f AS (SELECT job_id, error_code, count(*) AS n, arg_min(coalesce(message, '-'), sequence_number) AS message FROM e GROUP BY job_id, error_code)
+SELECT job_id, error_code, n, nullif(message, '-') AS message, CASE error_code WHEN 'AccessDenied' THEN 'the job''s role lacks a permission' ELSE 'a task failed' || CASE WHEN message <> '-' THEN ': ' || message ELSE '' END END AS cause FROM f"""
+
+
+@query(REPORT + DIAGNOSES)
+def report_diagnoses(spark, sf):
+    seq = F.col("sequence_number").cast("long")
+    rows = parsed(spark, sf).select(F.col("bucket").alias("job_id"), F.col("sequence_number").alias("position"), "error_code", F.when(seq % 2 == 0, F.concat(F.lit("m"), "sequence_number")).alias("result_message"))
+    return T.error_diagnoses(rows)
+
+
+@query(f"WITH q AS ({JOBS}) SELECT DISTINCT bucket, config_id FROM q WHERE job_id % 3 < 2 AND config_id <> 'c4'")
+def alert_suppression(spark, sf):
+    j = jobs(spark, sf)
+    return T.alerted(j.where("job_id % 3 = 0"), j.where("job_id % 3 = 1"), j.where("config_id = 'c4'"))
+
+
+@query(f"WITH q AS ({JOBS}) SELECT job_id, job_id % 2 = 0 OR merged AS report_diagnosed FROM q")
+def report_marks(spark, sf):
+    j = jobs(spark, sf)
+    return T.diagnosed(j.withColumn("report_diagnosed", F.col("merged")), j.where("job_id % 2 = 0")).select("job_id", "report_diagnosed")
+
+
+@query("WITH p AS (SELECT c_custkey AS bucket FROM customer) SELECT bucket FROM p WHERE bucket % 5 NOT IN (1, 2)")
+def enabled_buckets(spark, sf):
+    """Disabled buckets and those whose flag cannot be read are left out; no flag is enabled."""
+    c = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("bucket"))
+    flags = c.where("bucket % 5 <> 0").select("bucket", (F.col("bucket") % 5 == 1).alias("disabled"), (F.col("bucket") % 5 != 2).alias("readable"))
+    return T.enabled(c, flags)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from tagflow.streaming.journal import stream_dedup_within_watermark
 

@@ -1,17 +1,20 @@
 """One interval over all buckets: window, deduplication, eligibility, match, manifest, submission, state.
 
-Buckets are a column, so one plan serves them all. What passes through the driver is one row for each
-configured bucket (at most `settings.MAX_BUCKETS`); operations, manifests and the window
-of processed ids stay in tables. State is one versioned document that names the current window
-table, so marks and window change together or not at all.
+Buckets are a column, so one plan serves them all; where it fails, the buckets are run in halves, until what
+cannot be read stands alone. What passes through the driver is one row for each configured bucket (at
+most `settings.MAX_BUCKETS`); operations, manifests and the window of processed ids stay in tables.
+State is one versioned document that names the current window table, so marks and window change
+together or not at all; a lease in it keeps other runs off what this one is about to submit.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,38 +24,68 @@ from tagflow.operators import manifest as M
 from tagflow.operators import rules as R
 from tagflow.operators import state as S
 from tagflow.operators.settings import Settings, should_continue
-from tagflow.sources.sinks import StateStore, write_manifests
+from tagflow.sources.sinks import StateConflict, StateStore, write_envelope, write_manifests
 
 #: Answers of a submission: taken, worth another try, or never going to work.
 SUBMITTED, TRANSIENT, PERMANENT = "submitted", "transient", "permanent"
 STATE = "interval"
+#: How far ahead of the clock a stored mark may be.
+SKEW = timedelta(hours=24)
 Submit = Callable[[str, dict, str], str]
 
 
 @dataclass
 class Outcome:
-    """What a run did, per bucket: manifest rows, answers of the submissions, and the new marks."""
+    """What a run did, per bucket: manifest rows, answers of the submissions, new marks, and errors of buckets that failed."""
 
     manifests: dict[str, dict] = field(default_factory=dict)
     answers: dict[str, str] = field(default_factory=dict)
     marks: dict[str, datetime | None] = field(default_factory=dict)
     disabled: list[str] = field(default_factory=list)
+    errors: dict[str, str] = field(default_factory=dict)
     capped: bool = False
 
     @property
     def progressed(self) -> bool:
         return SUBMITTED in self.answers.values()
 
+    def add(self, other: Outcome) -> None:
+        """Take in what a run of other buckets did."""
+        for name in ("manifests", "answers", "marks", "errors"):
+            getattr(self, name).update(getattr(other, name))
+        self.disabled = sorted({*self.disabled, *other.disabled})
+        self.capped |= other.capped
+
 
 def _time(text: str | None) -> datetime | None:
     return datetime.fromisoformat(text) if text else None
 
 
+def lease_mark(entry: dict) -> datetime | None:
+    """Mark of a bucket's lease; one that does not have the form that is written, or lies far ahead, counts as none."""
+    lease = entry.get("lease")
+    try:
+        mark, taken = _time(lease["mark"]), _time(lease["acquired_at"])
+        trusted = isinstance(lease["id"], str) and mark is not None and taken is not None and mark <= _now() + SKEW
+    except (KeyError, TypeError, ValueError):
+        return None
+    return mark if trusted else None
+
+
+def _now() -> datetime:
+    return datetime.now(UTC).replace(tzinfo=None)
+
+
 def _marks(spark: SparkSession, entries: dict[str, dict]) -> DataFrame:
-    rows = [(b, _time(e.get("watermark")), None) for b, e in entries.items()]
+    rows = [(b, _time(e.get("watermark")), lease_mark(e)) for b, e in entries.items()]
     return spark.createDataFrame(rows, "bucket string, watermark timestamp_ntz, lease_mark timestamp_ntz")
 
 
+def _token(bucket: str, entry: dict, envelope: dict) -> str:
+    """The same for the same manifest from the same mark, so that a sink knows a second hand-over of it."""
+    return hashlib.md5(json.dumps([bucket, entry.get("watermark"), [f["MD5checksum"] for f in envelope["files"]]]).encode()).hexdigest()
+
+
 def seed(store: StateStore, buckets: list[str], start: datetime) -> None:
     """Give new buckets a first mark; those with state keep theirs."""
     document, version = store.read(STATE)
@@ -77,28 +110,31 @@ def recovered(entries: dict[str, dict], outcomes: DataFrame | None, threshold: i
     return out
 
 
-def run_interval(spark: SparkSession, journal: DataFrame, rules: DataFrame, store: StateStore, submit: Submit, folder: str, settings: Settings, outcomes: DataFrame | None = None) -> Outcome:
-    """Run one interval for every enabled bucket of the stored state.
+def run_interval(spark: SparkSession, journal: DataFrame, rules: DataFrame, store: StateStore, submit: Submit, folder: str, settings: Settings, outcomes: DataFrame | None = None, only: list[str] | None = None) -> Outcome:
+    """Run one interval for every enabled bucket of the stored state (of those in `only`, if it is given).
 
     `submit(bucket, envelope, token)` hands a bucket's manifest on; an exception counts as
     TRANSIENT. A bucket's mark and window move only after SUBMITTED. `folder` is shared storage. The cap
-    counts rows past the marks, over all buckets, and rows of one time stay together.
+    counts rows past the marks, over all buckets, and rows of one time stay together. The lease is given up on
+    every way out.
     """
     document, version = store.read(STATE)
     document = document or {"buckets": {}, "window": None}
-    entries = recovered(document["buckets"], outcomes, settings.failure_threshold)
+    chosen = {b: e for b, e in document["buckets"].items() if only is None or b in only}
+    entries = recovered(chosen, outcomes, settings.failure_threshold) if chosen else {}
     enabled = {b: e for b, e in entries.items() if not e.get("disabled")}
     result = Outcome(disabled=[b for b in entries if b not in enabled])
     if not enabled:
-        if entries != document["buckets"]:
-            store.write(STATE, document | {"buckets": entries}, version)
+        if entries != chosen:
+            store.write(STATE, document | {"buckets": document["buckets"] | entries}, version)
         return result
     run = f"{folder}/{uuid.uuid4()}"
     marks = _marks(spark, enabled)
     known = [_time(e.get("watermark")) for e in enabled.values()]
     since = None if None in known else min(known)
     lower = None if since is None else F.lit((since - timedelta(seconds=settings.lookback_s)).isoformat(" ")).cast("timestamp_ntz")
-    window = J.window(journal.where(F.col("bucket").isin(list(enabled))), lower)
+    journal = journal.where(F.col("bucket").isin(list(enabled)))
+    window = J.window(journal, lower)
     fresh = J.after_marks(window, marks)
     boundary = J.row_cap_boundary(fresh, settings.row_cap).first()
     result.capped = boundary is not None
@@ -108,43 +144,73 @@ def run_interval(spark: SparkSession, journal: DataFrame, rules: DataFrame, stor
     done = J.until_marks(stored, marks)
     J.eligible(J.latest(J.validity(window).where("error_reason IS NULL").drop("error_reason")), marks, done, settings.lookback_s).write.parquet(f"{run}/eligible")
     eligible = spark.read.parquet(f"{run}/eligible")
-    live = J.without_archived(eligible)
-    M.without_deleted(M.union(R.match(live, rules)), J.permanent_deletes(journal, lower)).write.parquet(f"{run}/kept")
-    kept = spark.read.parquet(f"{run}/kept")
-    result.manifests = write_manifests(M.rendered(kept), f"{run}/manifest", settings.manifest_file_rows)
-    for bucket, envelope in result.manifests.items():
-        try:
-            result.answers[bucket] = submit(bucket, envelope, f"{run.rsplit('/', 1)[1]}-{bucket}")
-        except Exception:  # noqa: BLE001 - whatever a sink raises, the bucket is tried again in the next run
-            result.answers[bucket] = TRANSIENT
-    sent = [b for b, a in result.answers.items() if a == SUBMITTED]
     high = {r.bucket: r.high_water_mark for r in J.high_water_mark(eligible).collect()}  # one row a bucket
-    after = {}
-    for bucket, entry in entries.items():
-        answer, mark = result.answers.get(bucket), _time(entry.get("watermark"))
-        if answer != SUBMITTED:  # a mark set back holds for this run alone
-            entry = entry | {"watermark": document["buckets"][bucket].get("watermark")}
-        if answer == SUBMITTED:
-            moved = max(filter(None, (mark, high.get(bucket))))
-            entry = {k: v for k, v in entry.items() if k != "streak"} | {"watermark": moved.isoformat()}
-        elif answer == PERMANENT:
-            streak = int(entry.get("streak", 0)) + 1
-            entry = entry | {"streak": streak} | ({"disabled": True} if streak >= settings.failure_threshold else {})
-        after[bucket] = entry
-        result.marks[bucket] = _time(entry.get("watermark"))
-    result.disabled = [b for b, e in after.items() if e.get("disabled")]
-    before, document = document, document | {"buckets": after}
-    if sent:
-        refs = M.references(live, kept.where(F.col("bucket").isin(sent))).select("bucket", "lid", "record_timestamp")
-        old = done.where(F.col("bucket").isin(sent)).unionByName(stored.where(~F.col("bucket").isin(sent)))
-        old = old.select("bucket", "lid", F.col("watermark").alias("record_timestamp"))
-        S.prune(old.unionByName(refs), _marks(spark, after).drop("lease_mark"), settings.lookback_s).write.parquet(f"{run}/window")
-        document["window"] = f"{run}/window"
-    if document != before:
-        store.write(STATE, document, version)
+    leased = {b: {"id": run, "mark": high[b].isoformat(), "acquired_at": _now().isoformat()} for b in high}
+    plain = {b: {k: v for k, v in e.items() if k != "lease" or lease_mark(e)} for b, e in document["buckets"].items()}
+    if leased:
+        version = store.write(STATE, document | {"buckets": plain | {b: plain[b] | {"lease": lease} for b, lease in leased.items()}}, version)
+    after = plain
+    try:
+        live = J.without_archived(eligible)
+        M.without_deleted(M.union(R.match(live, rules)), J.permanent_deletes(journal, lower)).write.parquet(f"{run}/kept")
+        kept = spark.read.parquet(f"{run}/kept")
+        result.manifests = write_manifests(M.rendered(kept), f"{run}/manifest", settings.manifest_file_rows)
+        for bucket, envelope in result.manifests.items():
+            envelope["checksum"] = write_envelope(spark, f"{run}/envelopes/{bucket}", bucket, folder, int(_now().timestamp() * 1000), envelope["files"])
+            try:
+                result.answers[bucket] = submit(bucket, envelope, _token(bucket, entries[bucket], envelope))
+            except Exception:  # noqa: BLE001 - whatever a sink raises, the bucket is tried again in the next run
+                result.answers[bucket] = TRANSIENT
+        moved = {b: _after(document["buckets"][b], plain[b], entries[b], result.answers.get(b), high.get(b), settings) for b in entries}
+        result.marks = {b: _time(e.get("watermark")) for b, e in moved.items()}
+        result.disabled = [b for b, e in moved.items() if e.get("disabled")]
+        sent = [b for b, a in result.answers.items() if a == SUBMITTED]
+        if sent:
+            refs = M.references(live, kept.where(F.col("bucket").isin(sent))).select("bucket", "lid", "record_timestamp")
+            old = done.where(F.col("bucket").isin(sent)).unionByName(stored.where(~F.col("bucket").isin(sent)))
+            old = old.select("bucket", "lid", F.col("watermark").alias("record_timestamp"))
+            S.prune(old.unionByName(refs), _marks(spark, plain | moved).drop("lease_mark"), settings.lookback_s).write.parquet(f"{run}/window")
+            document = document | {"window": f"{run}/window"}
+        after = plain | moved
+    finally:
+        if leased or after != document["buckets"]:
+            store.write(STATE, document | {"buckets": after}, version)
     return result
 
 
+def _after(stored: dict, plain: dict, entry: dict, answer: str | None, high: datetime | None, settings: Settings) -> dict:
+    """A bucket's entry after a run: its mark moves on with SUBMITTED alone, and one set back holds for that run alone."""
+    kept = {k: v for k, v in entry.items() if k != "lease"} | ({"lease": plain["lease"]} if "lease" in plain else {})
+    if answer == SUBMITTED:
+        mark = max(filter(None, (_time(entry.get("watermark")), high)))
+        return {k: v for k, v in kept.items() if k != "streak"} | {"watermark": mark.isoformat()}
+    kept = kept | {"watermark": stored.get("watermark")}
+    if answer == PERMANENT:
+        streak = int(kept.get("streak", 0)) + 1
+        return kept | {"streak": streak} | ({"disabled": True} if streak >= settings.failure_threshold else {})
+    return kept
+
+
+def isolated(run: Callable[[list[str]], Outcome], buckets: list[str]) -> Outcome:
+    """`run` for all buckets at once; where it fails, for the halves of them, until a bucket that fails stands alone.
+
+    A failed run leaves marks and window as they were, and its submissions are handed over again with the same token.
+    A conflict of the stored state is no bucket's fault and is raised.
+    """
+    try:
+        return run(buckets)
+    except StateConflict:
+        raise
+    except Exception as e:  # noqa: BLE001 - whatever one bucket's journal raises must not stop the others
+        if len(buckets) == 1:
+            return Outcome(errors={buckets[0]: str(e).splitlines()[0][:500] if str(e) else type(e).__name__})
+    out = Outcome()
+    middle = len(buckets) // 2
+    for part in (buckets[:middle], buckets[middle:]):
+        out.add(isolated(run, part))
+    return out
+
+
 def drain(run: Callable[[], Outcome], settings: Settings) -> list[Outcome]:
     """Runs in a chain while each is cut by the cap and moves on."""
     done = [run()]

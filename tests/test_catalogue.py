@@ -7,7 +7,7 @@ import pytest
 
 from tagflow.plans import catalogue
 
-TABLES = ["events", "orders", "pages"]
+TABLES = ["events", "orders", "pages", "customer"]
 
 
 @pytest.fixture(scope="module")
@@ -42,7 +42,7 @@ def test_stream_keeps_one_row_for_each_delivery_inside_the_delay(spark, sf):
 def test_entry_runs(spark):
     import __spark_entry__ as entry
 
-    assert entry.entry(spark).count() == 8
+    assert entry.entry(spark).count() == 10
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 

@@ -18,7 +18,7 @@ BUCKETS = ["lake-0", "lake-1", "lake-2"]
 
 @pytest.fixture
 def run(spark, sf, tmp_path):
-    store = StateStore(str(tmp_path / "state"))
+    store = StateStore(spark, str(tmp_path / "state"))
     I.seed(store, BUCKETS, START)
     journal = catalogue.journal(spark, sf)
 
@@ -49,8 +49,9 @@ def test_an_exception_of_the_sink_is_another_try(run):
     def broken(*_):
         raise OSError("no answer")
 
+    before = run.store.read(I.STATE)[0]
     assert set(run(broken).answers.values()) == {I.TRANSIENT}
-    assert run.store.read(I.STATE)[1] == 1
+    assert run.store.read(I.STATE)[0] == before
 
 
 def test_permanent_failures_disable_a_bucket(run):
@@ -83,7 +84,7 @@ def test_state_is_not_written_over_a_newer_version(run):
 
 
 def test_empty_journal(spark, sf, tmp_path):
-    store = StateStore(str(tmp_path / "s"))
+    store = StateStore(spark, str(tmp_path / "s"))
     I.seed(store, BUCKETS, START)
     empty = catalogue.journal(spark, sf).where(F.lit(False))
     out = I.run_interval(spark, empty, R.inline_rules(spark), store, lambda *_: I.SUBMITTED, str(tmp_path / "r"), G.Settings())

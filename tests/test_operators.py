@@ -140,18 +140,15 @@ def test_watermarks_never_go_back(spark):
     assert S.advance(state, later, sent).first().watermark == T0 + timedelta(1)
 
 
-def test_chunks_keep_groups_whole():
-    assert S.chunked([5, 5, 20, 1, 1], 10) == [[0, 1], [2], [3, 4]]
-    assert S.chunked([], 10) == []
-
-
 def test_sinks(spark, tmp_path):
     from tagflow.sources import sinks
 
     rows = spark.createDataFrame([("b", "b,k,null"), ("b", "b,a,v1")], "bucket string, row string")
-    found = sinks.write_manifest(rows, str(tmp_path / "m"), "b", "dest", created_ms=5)
-    assert found["object_count"] == 2 and found["manifest"]["creationTimestamp"] == "5"
-    store = sinks.StateStore(str(tmp_path / "s"))
+    found = sinks.write_manifests(rows, str(tmp_path / "m"), 10)["b"]
+    assert found["object_count"] == 2
+    sinks.write_envelope(spark, str(tmp_path / "e"), "b", "dest", 5, found["files"])
+    assert '"creationTimestamp": "5"' in (tmp_path / "e" / "manifest.json").read_text()
+    store = sinks.StateStore(spark, str(tmp_path / "s"))
     v1 = store.write("b", {"watermark": ""}, None)
     assert store.read("b") == ({"watermark": ""}, v1)
     v2 = store.write("b", {"watermark": "x"}, v1)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,10 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_checkpoints(spark: SparkSession) -> None:
-    """Use the cluster's checkpoint folder; make a local one only where none is named (tests)."""
+    """Use the cluster's checkpoint folder; a local one is made only by a local session that names none (tests)."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
 
 
@@ -31,16 +34,45 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a table written to the shared folder, whose size the planner then knows (rows of small values)."""
+    spark = df.sparkSession
+    shared_checkpoints(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system that is no longer read."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of finished work that nothing refers to any more."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
+#: What a row costs beside its text, in bytes of text: tables of empty texts are cut into groups too.
+ROW_BYTES = 128
+
+
 def text_bytes(docs: DataFrame) -> int:
-    """Bytes of all texts; one scan with a partial sum, used to size buckets in proportion."""
-    row = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()
-    return int(row["n"] or 0)
+    """Bytes of all texts and ROW_BYTES for each row; one scan with a partial sum, used to size buckets in proportion."""
+    row = docs.agg(F.sum(F.octet_length("text")).alias("n"), F.count("*").alias("rows")).first()
+    return int(row["n"] or 0) + ROW_BYTES * int(row["rows"])
+
+
+def id_text(df: DataFrame, name: str = "doc_id") -> DataFrame:
+    """`df` with an id as text for a Python stage: pandas would make doubles of longs that stand beside a null."""
+    return df.withColumn(name, F.col(name).cast("long").cast("string"))
+
+
+def id_long(df: DataFrame, name: str = "doc_id") -> DataFrame:
+    """The id of `id_text` as a long again."""
+    return df.withColumn(name, F.col(name).cast("long"))
 
 
 def parts(total: int, each: int, least: int = 1) -> int:
@@ -76,40 +108,51 @@ def runs(keys: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1))
 
 
+#: Rows that one salt of a hot key stands for in the look-ups of `connected_components`.
+SALT_ROWS = 256
+
+
+def looked_up(rows: DataFrame, key: str, other: str, table: DataFrame, salts: int) -> DataFrame:
+    """`rows` with `up`, what `table` (k, up; k unique) holds for the column `key` (null where nothing).
+
+    The rows of a hot key are dealt by the column `other` to salts, and the table answers each
+    (key, salt) that is there once: no task gets all rows of a key.
+    """
+    table = table.select(F.col("k").alias("_k"), "up")
+    if salts == 1:
+        return rows.join(table, rows[key] == table["_k"], "left").drop("_k")
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(other), F.lit(salts)))
+    asked = dealt.select(F.col(key).alias("_key"), F.col("_salt").alias("_at")).distinct()
+    told = asked.join(table, asked["_key"] == table["_k"]).select("_key", "_at", "up")
+    return dealt.join(told, (dealt[key] == told["_key"]) & (dealt["_salt"] == told["_at"]), "left").drop("_key", "_at", "_salt")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest reachable id for every id that has an edge: columns id, component_id.
 
     `edges` has columns a, b. Each round hooks every vertex to its smallest neighbour (a
     partial `min`), shortens the chains by joins and contracts the edges, so the number of
-    rounds is logarithmic and no vertex's neighbours are ever gathered in one place. Null
-    ends and loops are dropped. Empty edges give an empty result.
+    rounds is logarithmic and no vertex's neighbours are ever gathered in one place; a root that many
+    vertices share is looked up by salts. Null ends and loops are dropped. Empty edges give an empty result.
     """
     spark = edges.sparkSession
     both = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b")
-    both = checkpointed(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    both = written(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = None
-    while not both.isEmpty():
+    while left := both.count():
+        salts = parts(left, SALT_ROWS)
         parent = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("p"))
         for _ in range(2):
-            up = parent.select(F.col("a").alias("k"), F.col("p").alias("q"))
-            parent = parent.join(up, parent["p"] == up["k"], "left").select("a", F.coalesce("q", "p").alias("p"))
-        parent = checkpointed(parent)
-        up_a = parent.select(F.col("a").alias("ka"), F.col("p").alias("pa"))
-        up_b = parent.select(F.col("a").alias("kb"), F.col("p").alias("pb"))
+            up = parent.select(F.col("a").alias("k"), F.col("p").alias("up"))
+            parent = looked_up(parent, "p", "a", up, salts).select("a", F.coalesce("up", "p").alias("p"))
+        parent = written(parent)
+        up = parent.select(F.col("a").alias("k"), F.col("p").alias("up"))
         if labels is None:
             labels = parent.select(F.col("a").alias("id"), F.col("p").alias("component_id"))
         else:
-            labels = labels.join(up_a, labels["component_id"] == up_a["ka"], "left").select(
-                "id", F.coalesce("pa", "component_id").alias("component_id")
-            )
-        labels = checkpointed(labels)
-        both = checkpointed(
-            both.join(up_a, both["a"] == up_a["ka"])
-            .join(up_b, both["b"] == up_b["kb"])
-            .where("pa <> pb")
-            .select(F.col("pa").alias("a"), F.col("pb").alias("b"))
-            .distinct()
-        )
+            labels = written(looked_up(labels, "component_id", "id", up, salts).select("id", F.coalesce("up", "component_id").alias("component_id")))
+        half = looked_up(both, "a", "b", up, salts).select(F.col("up").alias("pa"), "b")
+        both = written(looked_up(half, "b", "pa", up, salts).where("pa <> up").select(F.col("pa").alias("a"), F.col("up").alias("b")).distinct())
     if labels is None:
         kind = dict(edges.dtypes)["a"]
         return spark.createDataFrame([], f"id {kind}, component_id {kind}")

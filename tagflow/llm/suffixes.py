@@ -26,7 +26,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tagflow.llm.common import checkpointed, parts, release, runs, text_bytes, units
 
@@ -307,12 +306,13 @@ def repeats(docs: DataFrame, least: int = 50, keep: tuple[str, ...] = ()) -> Dat
     return usable.join(both.hint("merge"), ["doc_id", "mark"], "left").unionByName(nothing)
 
 
-def _parts(frame: pd.DataFrame, least: int) -> Iterator[tuple[bytes, np.ndarray]]:
+def _cuts(text: pd.Series, full: pd.Series, span: pd.Series, least: int) -> Iterator[tuple[bytes, np.ndarray]]:
     def flat(x: object) -> np.ndarray:
         return np.frombuffer(x if x is not None else b"", np.uint32)
 
-    for text, full, span in zip(_bytes(frame), frame["full"], frame["span"], strict=True):
-        yield text, merged(flat(full), flat(span), len(text), least)
+    for t, f, s in zip(text, full, span, strict=True):
+        raw = t.encode() if isinstance(t, str) else b""
+        yield raw, merged(flat(f), flat(s), len(raw), least)
 
 
 def _without(text: bytes, cut: np.ndarray) -> bytes:
@@ -324,39 +324,38 @@ def _without(text: bytes, cut: np.ndarray) -> bytes:
 
 
 def removal_digest(docs: DataFrame, least: int = 50) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row."""
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row of `docs`.
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [
-                (len(t), int((c[:, 1] - c[:, 0]).sum()), len(c), hashlib.sha256(_without(t, c)).hexdigest()) for t, c in _parts(batch, least)
-            ]
-            out = pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
+    Null texts are empty; a null doc_id neither loses bytes nor makes others lose any; equal rows stay and are not
+    repeats of each other; an empty table gives no rows; extra columns are ignored. A very long text is cut into
+    anchors by itself in one task, with memory of about 30 bytes for each of its bytes.
+    """
 
-    return repeats(docs, least).drop("mark").mapInPandas(work, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    @F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    def digest(text: pd.Series, full: pd.Series, span: pd.Series) -> pd.DataFrame:
+        rows = [(len(t), int((c[:, 1] - c[:, 0]).sum()), len(c), hashlib.sha256(_without(t, c)).hexdigest()) for t, c in _cuts(text, full, span, least)]
+        return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    found = repeats(docs, least).select("doc_id", digest.asNondeterministic()("text", "full", "span").alias("d"))
+    return found.select("doc_id", "d.*")
 
 
 def remove_repeats(docs: DataFrame, least: int = 50) -> DataFrame:
     """`docs` with the repeated bytes taken out of `text` (and `n_chars` counted anew, if it is there).
 
-    A character cut in two goes whole. Rows stay, also those left with an empty text.
+    A character cut in two goes whole. Rows stay, also those left with an empty text; null texts stay null; other
+    columns are as they were, whatever their names. Nulls, repeats and long texts otherwise as in `removal_digest`.
     """
+
+    @F.pandas_udf("string")
+    def rest(text: pd.Series, full: pd.Series, span: pd.Series) -> pd.Series:
+        kept = [_without(t, c).decode("utf-8", "ignore") for t, c in _cuts(text, full, span, least)]
+        return pd.Series([None if old is None else new for old, new in zip(text, kept, strict=True)], dtype=object)
+
     columns = docs.columns
     held = {c: f"held_{k}" for k, c in enumerate(columns) if c not in ("doc_id", "text")}
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col(f"`{c}`").alias(h) for c, h in held.items()))
-    order = [held.get(c, c) for c in columns]
-    schema = T.StructType([plain.schema[c] for c in order])
-    length = held.get("n_chars")
-
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = batch[order].copy()
-            text = [_without(t, c).decode("utf-8", "ignore") for t, c in _parts(batch, least)]
-            out["text"] = [None if old is None else new for old, new in zip(batch["text"], text, strict=True)]
-            if length:
-                out[length] = [len(x) for x in text]
-            yield out
-
-    return repeats(plain, least, tuple(held.values())).drop("mark").mapInPandas(work, schema).toDF(*columns)
+    out = repeats(plain, least, tuple(held.values())).withColumn("text", rest.asNondeterministic()("text", "full", "span"))
+    if "n_chars" in held:
+        out = out.withColumn(held["n_chars"], F.coalesce(F.length("text"), F.lit(0)).cast(dict(plain.dtypes)[held["n_chars"]]))
+    return out.select(*(held.get(c, c) for c in columns)).toDF(*columns)

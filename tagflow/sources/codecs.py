@@ -34,7 +34,9 @@ def decoded(documents: DataFrame, now: Column) -> DataFrame:
     A document with a `problem` has nulls elsewhere; absent lists are empty. A lease holds back whatever lies up to
     its mark, so one that does not have the form that is written, or a mark far ahead, counts as none.
     """
-    read = documents.select("bucket", "document", F.try_parse_json("document").alias("parsed"), F.from_json("document", DOCUMENT).alias("d"))
+    # one row each: what is parsed here is not parsed again wherever it is used below
+    both = F.struct(F.try_parse_json("document").alias("parsed"), F.from_json("document", DOCUMENT).alias("d"))
+    read = documents.select("bucket", "document", F.inline(F.array(both)))
     mark = F.col("d.last_processed_watermark")
     problem = (
         F.when(F.col("parsed").isNull() | ~F.schema_of_variant("parsed").startswith("OBJECT"), "not an object")
@@ -48,10 +50,11 @@ def decoded(documents: DataFrame, now: Column) -> DataFrame:
     trusted = strings[0] & strings[1] & F.try_to_timestamp(lease["acquired_at"]).isNotNull() & lease["status"].isin(LEASE_STATUS) & is_plausible(lease["candidate_max_watermark"], now)
     trusted = F.coalesce(trusted, F.lit(False))
     there = F.coalesce(_kind("lease") != "VOID", F.lit(False))
-    good = read.withColumn("problem", problem)
+    judged = F.struct(problem.alias("problem"), trusted.alias("trusted"), there.alias("there"))
+    good = read.select("bucket", "d", F.inline(F.array(judged)))
     kept = F.col("problem").isNull()
     lists = [F.when(kept, F.coalesce(F.col(f"d.{n}"), F.from_json(F.lit("{}" if n == "completion_items" else "[]"), _type(n)))).alias(n) for n in NAMES if n != "lease"]
-    return good.select("bucket", "problem", F.when(kept, mark).alias("watermark"), F.when(kept & trusted, lease).alias("lease"), (kept & there & ~trusted).alias("lease_discarded"), *lists)
+    return good.select("bucket", "problem", F.when(kept, mark).alias("watermark"), F.when(kept & F.col("trusted"), lease).alias("lease"), (kept & F.col("there") & ~F.col("trusted")).alias("lease_discarded"), *lists)
 
 
 def _type(name: str) -> str:

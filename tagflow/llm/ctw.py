@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagflow.llm.common import checkpointed, parts, runs, text_bytes
+from tagflow.llm.common import checkpointed, id_long, id_text, parts, runs, text_bytes
 
 DEPTH = 5
 GROUP_BYTES, BUCKET_BYTES = 12 << 20, 24 << 20
@@ -275,21 +275,23 @@ def probabilities(code: np.ndarray, count: np.ndarray, low: dict[str, np.ndarray
     return one, np.where(low["seen1"][node], low["share0"][node] * low["kt0"][node] + (1 - low["share0"][node]) * first, low["kt0"][node])
 
 
-def answered(rows: DataFrame, sums: DataFrame, low: dict[str, np.ndarray], salts: int) -> DataFrame:
-    """For every group: its tokens with their corpus counts, and its codes with log10 probabilities."""
+def answered(rows: DataFrame, sums: DataFrame, low: dict[str, np.ndarray]) -> DataFrame:
+    """For every group: its tokens with their corpus counts, and its codes with log10 probabilities.
+
+    A bucket answers each salt's row of `sums` with values for what that row asks, so what is sent out
+    is as much as was asked, whatever the number of salts.
+    """
 
     def model(frame: pd.DataFrame) -> pd.DataFrame:
-        kind, bucket = int(frame["kind"].iloc[0]), int(frame["bucket"].iloc[0])
-        if kind == TOKENS:
+        if frame["kind"].iloc[0] == TOKENS:
             total = _added_words(frame)
-            words = sorted(total)
-            item, value = _pack_words(words), _packed(np.array([total[w] for w in words], np.int64))
+            value = [_packed(np.array([total[w] for w in _unpack_words(x)], np.int64)) for x in frame["item"]]
         else:
             code, count = _added_codes(frame)
             one, high = probabilities(code, count, low)
-            score = np.log10(np.where(one == 1, high, 1 - high)).reshape(-1, 8).sum(1)
-            item, value = _pack_codes(code), _packed(score.astype(np.float32))
-        return pd.DataFrame([(kind, bucket, item, value)], columns=["kind", "bucket", "item", "value"])
+            score = np.log10(np.where(one == 1, high, 1 - high)).reshape(-1, 8).sum(1).astype(np.float32)
+            value = [_packed(score[np.searchsorted(code, _unpack_codes(x))]) for x in frame["item"]]
+        return frame[["kind", "bucket", "salt", "item"]].assign(value=value)
 
     def work(frame: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -301,8 +303,7 @@ def answered(rows: DataFrame, sums: DataFrame, low: dict[str, np.ndarray], salts
             out = [_packed(score[np.searchsorted(code, _unpack_codes(x))]) for x in frame["item"]]
         return pd.DataFrame({"kind": frame["kind"], "grp": frame["grp"], "item": frame["item"], "value": out})
 
-    table = sums.groupBy("kind", "bucket").applyInPandas(model, "kind int, bucket long, item binary, value binary")
-    table = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).select("kind", "bucket", F.col("salt").cast("long"), "item", "value")
+    table = sums.groupBy("kind", "bucket").applyInPandas(model, "kind int, bucket long, salt long, item binary, value binary")
     keys = ("kind", "bucket", "salt")
     return rows.groupBy(*keys).cogroup(table.groupBy(*keys)).applyInPandas(work, "kind int, grp long, item binary, value binary")
 
@@ -316,21 +317,21 @@ def _found(own: np.ndarray, code: np.ndarray, value: np.ndarray) -> np.ndarray:
     return out
 
 
-SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+SCORES = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 def score(docs: DataFrame) -> DataFrame:
     """Scores of every row of `docs`: log10 probabilities by the weighted trees and by smoothed token counts.
 
     Null texts are empty: one token (the end) and a score of zero. Equal rows are scored (and
-    learned from) once each. With no training rows all estimates are one half. Extra columns are ignored.
+    learned from) once each. With no training rows all estimates are one half. A null doc_id stays null and counts as
+    the empty text in the choice of held-out rows. Extra columns are ignored, an empty table gives no rows. A very
+    long text is in one group by itself and costs memory in proportion to its bytes.
     """
     total = text_bytes(docs)
     groups, buckets = parts(total, GROUP_BYTES, 6), parts(total, BUCKET_BYTES, 6)
     salts = parts(groups, MERGED_GROUPS)
-    grouped = docs.select(
-        F.col("doc_id").cast("long"), "text", is_held_out(F.col("doc_id")).alias("held"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("long").alias("grp")
-    )
+    grouped = id_text(docs).select("doc_id", "text", is_held_out(F.col("doc_id")).alias("held"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("long").alias("grp"))
     rows = checkpointed(asked(grouped, buckets, salts))
     sums = checkpointed(merged(rows))
     low = mixture(top_nodes(sums))
@@ -374,7 +375,7 @@ def score(docs: DataFrame) -> DataFrame:
         out["base_score"], out["score"] = np.concatenate(plain), np.concatenate(model)
         return out
 
-    return grouped.groupBy("grp").cogroup(answered(rows, sums, low, salts).groupBy("grp")).applyInPandas(work, SCORES)
+    return id_long(grouped.groupBy("grp").cogroup(answered(rows, sums, low).groupBy("grp")).applyInPandas(work, SCORES))
 
 
 def _token_totals(frame: pd.DataFrame) -> pd.DataFrame:

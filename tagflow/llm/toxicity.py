@@ -1,8 +1,10 @@
 """Operator 9: toxicity by weak supervision.
 
-Voters look for lexicon words, patterns and word beginnings; a generative model estimates how
-accurate each voter is, with voters that agree beyond that counted as one; its posterior labels
-train a linear classifier on word-beginning features, which scores every whole text.
+Voters look for lexicon words, patterns and word beginnings. A generative model with a hidden label
+estimates from their votes alone how often each fires on either label and how far voters are
+correlated given the label; correlated voters share their evidence. Its posterior labels train a
+linear classifier on word-beginning features, which scores every whole text. The given labels only
+select which voters take part and, at the end, calibrate the classifier's scale.
 
 The voters from data, the label model and the classifier are fitted on a bounded sample:
 TRAIN_ROWS labelled rows outside the held-out third, chosen by hash. Scoring is one pass over
@@ -24,13 +26,17 @@ from pyspark.sql import functions as F
 #: Bound of the labelled sample, and of the classifier's features.
 TRAIN_ROWS, FEATURES = 8000, 1024
 #: Voters taken from the sample beside the hand-written ones.
-MINED = 48
+MINED = 96
 THRESHOLD = 0.7
 HELD_OUT = 3
-#: Rate at which a given label says 1 where the hidden label is 1, and where it is 0.
-GOLD = (0.97, 0.01)
-#: Evidence (rows times log lift) that a mined voter needs.
-EVIDENCE = 16.0
+#: Evidence (rows times log lift) that a mined voter needs, and log lift that any voter needs to take part.
+EVIDENCE, LIFT = 12.0, 3.0
+#: What the label model starts from: the posterior of a row with a vote, and of one without.
+START = (0.9, 0.02)
+#: Joint firings worth as much as the belief that two voters are not correlated; firings worth as much as START's belief in a voter.
+SHRINK, BELIEF = 4.0, 5.0
+#: Correlation from which a voter's agreement with another says nothing of its accuracy.
+ALIKE = 0.5
 
 # Hand-written lexicon voters, one for each line (any language).
 LEXICON = """
@@ -94,8 +100,9 @@ class Model:
 def sample(docs: DataFrame, labels: DataFrame, rows: int) -> pd.DataFrame:
     """Features, votes and labels of at most `rows` labelled training rows.
 
-    Rows are taken by a hash of the id, so the sample is the same at every run. Where labels of
-    an id disagree the larger holds; null ids and labels and empty tables give no rows.
+    Ids are taken by a hash, so the sample is the same at every run. Where labels of an id disagree the
+    larger holds, of an id with several texts the smallest counts, and its repeats count once; null ids and labels
+    and empty tables give no rows.
     """
     usable = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~is_held_out(F.col("doc_id").cast("long")))
     per = usable.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -116,34 +123,56 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int) -> pd.DataFrame:
             yield frame
 
     joined = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id")  # at most `rows` rows of two numbers
-    return joined.select("doc_id", "toxic", "text").mapInPandas(work, "doc_id long, toxic int, features binary, votes binary").toPandas().sort_values(["doc_id", "features"])
+    one = joined.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    return one.mapInPandas(work, "doc_id long, toxic int, features binary, votes binary").toPandas().sort_values("doc_id", ignore_index=True)
 
 
-def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 25) -> np.ndarray:
-    """Posterior probability of label 1 for every row, from voters that say 1 or abstain.
+@dataclass
+class LabelModel:
+    """What the generative model estimated: posterior of every row, accuracy of every voter, and their correlations."""
+
+    posterior: np.ndarray
+    accuracy: np.ndarray
+    correlation: np.ndarray
+
+
+def _logit(p: np.ndarray | float) -> np.ndarray:
+    return np.log(p) - np.log1p(-np.asarray(p, float))
 
-    Expectation-maximisation over the voters' rates given the hidden label, the given labels being
-    one more voter with the fixed rates GOLD. Voters that are correlated given
-    the label (above one half) share one vote between them.
+
+def label_model(votes: np.ndarray, share: float, rounds: int = 40) -> LabelModel:
+    """Expectation-maximisation over a hidden label, from voters that say 1 or abstain; no row's given label enters.
+
+    `share` is the class balance. A voter's accuracy is the chance of label 1 where it fires, estimated from its
+    agreement with the voters that it is not correlated with. The correlation of two voters is that of their residuals, weighed
+    by the posterior, and shrunk where they seldom fire together; a voter's evidence is divided by one plus its
+    positive correlations. Rows without a vote share what the class balance leaves.
     """
-    y = np.where(gold > 0, 0.95, 0.05)
-    x = np.column_stack([votes, gold > 0]).astype(float)
-    n = len(y)
+    x = votes.astype(float)
+    n, count = x.shape
+    any_ = x.any(1)
+    prior = float(np.clip(share, 1e-3, 0.5))
+    y = np.where(any_, *START)
+    accuracy, correlation = np.full(count, START[0]), np.eye(count)
     for _ in range(rounds):
-        prior = np.clip(y.mean(), 1e-3, 1 - 1e-3)
-        on, off = y.sum() + 1, n - y.sum() + 1
-        a = np.clip((y @ x + 0.05) / on, 1e-4, 1 - 1e-4)
-        b = np.clip(((1 - y) @ x + 0.005) / off, 1e-4, 1 - 1e-4)
-        a[-1], b[-1] = GOLD
-        left = x - (y[:, None] * a + (1 - y)[:, None] * b)
-        scale = np.sqrt((left**2).sum(0)) + 1e-9
-        together = np.abs((left / scale).T @ (left / scale)) > 0.5
-        share = 1.0 / np.maximum(together.sum(1), 1)
-        share[-1] = 1.0
-        # a voter that abstains says nothing; only the given label speaks in both cases
-        logit = np.log(prior / (1 - prior)) + x @ (np.log(a / b) * share) + (1 - x[:, -1]) * np.log((1 - a[-1]) / (1 - b[-1]))
+        # how often another voter, not correlated with it, fires where this one does, against where the label is 1 and 0
+        other = x @ (correlation < ALIKE) > 0
+        where, high, low = (x * other).sum(0) / np.maximum(x.sum(0), 1), y @ other / max(y.sum(), 1e-9), (1 - y) @ other / max((1 - y).sum(), 1e-9)
+        apart = np.maximum(high - low, 0.05)
+        known = x.sum(0) * apart**2
+        accuracy = np.clip((np.clip((where - low) / apart, 0, 1) * known + START[0] * BELIEF) / (known + BELIEF), 0.02, 0.98)
+        on, off = (y @ x) / max(y.sum(), 1e-9), ((1 - y) @ x) / max((1 - y).sum(), 1e-9)
+        high, low = (x - on) * np.sqrt(y)[:, None], (x - off) * np.sqrt(1 - y)[:, None]
+        together = high.T @ high + low.T @ low
+        scale = np.sqrt(np.diag(together)) + 1e-9
+        fired = x.T @ x
+        correlation = together / np.outer(scale, scale) * fired / (fired + SHRINK)
+        np.fill_diagonal(correlation, 1.0)
+        weight = 1 / np.maximum(correlation, 0).sum(1)
+        logit = _logit(prior) + x @ ((_logit(accuracy) - _logit(prior)) * weight)
         y = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-    return y
+        y[~any_] = np.clip((prior * n - y[any_].sum()) / max((~any_).sum(), 1), 1e-3, prior)
+    return LabelModel(y, accuracy, correlation)
 
 
 def _matrix(rows: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
@@ -172,6 +201,19 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 400, ridge: float = 1e-4
     return w, float(bias)
 
 
+def calibrated(raw: np.ndarray, gold: np.ndarray, rounds: int = 30) -> tuple[float, float]:
+    """Scale (not negative) and shift that turn the classifier's raw scores into log odds of the given labels."""
+    spread = raw.std() + 1e-9
+    x = np.column_stack([(raw - raw.mean()) / spread, np.ones(len(raw))])
+    w = np.array([1.0, np.log((gold.sum() + 0.5) / (len(gold) - gold.sum() + 0.5))])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (p - gold) + np.array([0.5, 0.0]) * w
+        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag([0.5, 1e-3]), slope)
+        w[0] = np.clip(w[0], 0.0, 20.0)
+    return float(w[0] / spread), float(w[1] - w[0] * raw.mean() / spread)
+
+
 def _unlike(rows: list[np.ndarray], gold: np.ndarray, ranked: np.ndarray, most: int) -> np.ndarray:
     """The first `most` of the ranked features whose toxic rows are not those of one taken before."""
     order = np.argsort(ranked)
@@ -186,10 +228,10 @@ def _unlike(rows: list[np.ndarray], gold: np.ndarray, ranked: np.ndarray, most:
 
 
 def fit(rows: pd.DataFrame) -> Model:
-    """Voters, label model and classifier from the bounded sample (no rows: every score is one half's lower side, 0.1)."""
-    if not len(rows) or rows["toxic"].nunique() < 2:
+    """Voters, label model and classifier from the bounded sample (no rows, one label or no voter: the share of label 1, at most 0.1)."""
+    gold = rows["toxic"].to_numpy() if len(rows) else np.zeros(0, np.int64)
+    if len(np.unique(gold)) < 2:
         return Model({}, float(np.log(0.1 / 0.9)))
-    gold = rows["toxic"].to_numpy()
     own = [np.frombuffer(x, np.uint32) for x in rows["features"]]
     flat = np.concatenate(own)
     kinds, at = np.unique(flat, return_inverse=True)
@@ -198,27 +240,33 @@ def fit(rows: pd.DataFrame) -> Model:
     ok, n_bad, n_ok = all_ - bad, gold.sum(), (gold == 0).sum()
     lift = np.log((bad + 0.5) / (n_bad + 1)) - np.log((ok + 0.5) / (n_ok + 1))
     weight = np.where(all_ >= 3, (bad / n_bad + ok / n_ok) * np.abs(lift), 0)
-    up = np.where(lift > 2, bad * lift, 0)
+    up = np.where(lift > LIFT, bad * lift, 0)
     ranked = np.argsort(-up, kind="stable")[: 40 * MINED]
     mined = _unlike(own, gold, kinds[ranked[up[ranked] >= EVIDENCE]], MINED)
     hand = np.array([np.frombuffer(x, bool) for x in rows["votes"]])
-    posterior = label_model(np.column_stack([hand, _matrix(own, mined) > 0]), gold)
+    good = np.log((hand[gold > 0].sum(0) + 0.5) / (n_bad + 1)) - np.log((hand[gold == 0].sum(0) + 0.5) / (n_ok + 1)) > LIFT
+    votes = np.column_stack([hand[:, good & (hand.sum(0) > 0)], _matrix(own, mined) > 0])
+    if not votes.any():
+        return Model({}, float(np.log(min(0.1, n_bad / len(gold)) / 0.9)))
+    posterior = label_model(votes, n_bad / len(gold)).posterior
     half = FEATURES * 3 // 4
     best = np.concatenate((ranked[:half][up[ranked[:half]] > 6], np.argsort(-weight, kind="stable")[: FEATURES - half]))
     chosen = np.unique(kinds[best])
-    w, bias = logistic(_matrix(own, chosen), posterior)
-    return Model({int(k): float(x) for k, x in zip(chosen, w, strict=True) if x}, bias)
+    matrix = _matrix(own, chosen)
+    w, bias = logistic(matrix, posterior)
+    scale, shift = calibrated(matrix @ w + bias, gold)
+    return Model({int(k): float(x * scale) for k, x in zip(chosen, w, strict=True) if x}, bias * scale + shift)
 
 
-def apply_model(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Adds `score` to doc_id and the columns `keep` of every row; empty and null texts get the bias alone."""
-    schema = docs.select(F.col("doc_id").cast("long"), *keep).schema.add("score", "double")
+def toxic_score(model: Model):
+    """A column function: probability of label 1 for a text; empty and null texts get the bias alone."""
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         weights, known = model.weights, {}
-        for batch in batches:
+        for batch in texts:
             scores = []
-            for text in batch["text"]:
+            for text in batch:
                 found: set[int] = set()
                 for w in words_of(text) if isinstance(text, str) else ():
                     hit = known.get(w)
@@ -229,25 +277,29 @@ def apply_model(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> Da
                 scores.append(model.bias + sum(weights[f] for f in sorted(found)))
                 if len(known) > 400_000:
                     known.clear()
-            out = batch[["doc_id", *keep]].copy()
-            out["score"] = 1 / (1 + np.exp(-np.clip(np.array(scores, float), -30, 30)))
-            yield out
+            yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(scores, float), -30, 30))))
 
-    columns = dict.fromkeys(["doc_id", "text", *keep])
-    return docs.select(*(F.col(c).cast("long") if c == "doc_id" else F.col(c) for c in columns)).mapInPandas(work, schema)
+    return scored.asNondeterministic()  # or the optimizer may run it twice
 
 
 def score(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row of `docs`; repeated rows stay."""
+    """doc_id, held_out, score and predicted of every row of `docs`.
+
+    Null and empty texts get the model's bias; repeated rows stay, each scored; a null doc_id stays null;
+    an empty table gives no rows; extra columns are ignored. Without usable labels every score is 0.1. A
+    very long text is scored whole, in one task, with memory for its distinct words.
+    """
     model = fit(sample(docs, labels, rows))
-    scored = apply_model(docs, model)
+    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), toxic_score(model)("text").alias("score"))
     return scored.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """The rows of `docs` that are not predicted toxic, with all their columns."""
+    """The rows of `docs` that are not predicted toxic, with all their columns as they are, whatever their names.
+
+    Nulls, empty and long texts and repeated rows as in `score`; an empty table stays empty.
+    """
     model = fit(sample(docs, labels, rows))
-    rest = tuple(c for c in docs.columns if c != "doc_id")
-    scored = apply_model(docs.withColumnRenamed("score", "__score") if "score" in rest else docs, model, tuple("__score" if c == "score" else c for c in rest))
-    kept = scored.where(F.col("score") < THRESHOLD).drop("score")
-    return (kept.withColumnRenamed("__score", "score") if "score" in rest else kept).select(*docs.columns)
+    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+    scored = plain.withColumn("score", toxic_score(model)(f"c{docs.columns.index('text')}"))
+    return scored.where(F.col("score") < THRESHOLD).drop("score").toDF(*docs.columns)

@@ -82,6 +82,33 @@ def test_urls(spark):
     assert urls.judge(pages.where("false")).count() == 0
 
 
+def test_url_classifier_on_held_out_names():
+    """Four folds by name: no name of the labelled table is judged by weights that saw it."""
+    def name(url):
+        return next(n for n in sorted(urls.BLOCKED_NAMES + urls.ALLOWED_NAMES, key=len, reverse=True) if re.match(rf"(www\.|m\.|blog\.)?{re.escape(n)}\.", url))
+
+    hits = {}
+    for fold in range(4):
+        out = {True: [u for u in urls.BLOCKED + urls.ALLOWED if zlib.crc32(name(u).encode()) % 4 == fold]}
+        w, bias = urls.train([u for u in urls.BLOCKED if u not in out[True]], [u for u in urls.ALLOWED if u not in out[True]])
+        for u in out[True]:
+            hits.setdefault(u in urls.BLOCKED, []).append((urls.probability(w, bias, *urls._cut(u)) >= 0.5) == (u in urls.BLOCKED))
+    assert len(hits[True]) + len(hits[False]) == len(urls.BLOCKED) + len(urls.ALLOWED) > 500
+    assert sum(hits[True]) >= 0.7 * len(hits[True]) and sum(hits[False]) >= 0.97 * len(hits[False])
+
+
+def test_label_model_estimates_accuracies_and_correlations():
+    """Voters of known accuracy, one of them there three times: no given label enters, and the copies count about once."""
+    rng = np.random.default_rng(2)
+    y = rng.random(6000) < 0.15
+    vote = lambda on, off: np.where(y, rng.random(6000) < on, rng.random(6000) < off)
+    good, bad = [vote(0.5, 0.005) for _ in range(8)], vote(0.3, 0.2)
+    found = toxicity.label_model(np.column_stack([*good, good[0], good[0], bad]), 0.15)
+    assert (found.accuracy[:8] > 0.85).all() and found.accuracy[-1] < 0.5
+    assert found.correlation[0, 8] > 0.95 and abs(found.correlation[1, 2]) < 0.2
+    assert ((found.posterior > 0.5) == y).mean() > 0.95
+
+
 def test_simhash(spark):
     def fp(text):
         w = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
@@ -281,9 +308,8 @@ def test_bpe(spark):
 def test_toxicity_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = toxicity.score(docs, labels).join(labels, "doc_id").where("held_out").collect()
-    right = sum(r.predicted == r.toxic for r in rows) / len(rows)
-    alarms = sum(r.predicted > r.toxic for r in rows)
-    assert right > 0.9 and alarms <= 2
+    caught, toxic = sum(r.predicted and r.toxic for r in rows), sum(r.toxic for r in rows)
+    assert caught >= 0.7 * toxic > 10 and sum(r.predicted > r.toxic for r in rows) <= 2
     assert all(r.score <= 1 for r in toxicity.score(table(spark), labels.where("false")).collect())
     assert toxicity.keep_clean(table(spark), labels).columns == table(spark).columns
     assert toxicity.score(table(spark, []), labels).count() == 0

@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagflow.llm.bpe import encode_words, texts_of, vocabulary
-from tagflow.llm.common import parts, text_bytes, units
+from tagflow.llm.common import id_long, id_text, parts, text_bytes, units
 from tagflow.llm.pretokens import split_words
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+PIECES = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long"
 #: Text bytes whose pieces one packing task places.
 GROUP_BYTES = 96 << 20
 #: Text bytes that a task holds as ids at once.
@@ -91,11 +91,9 @@ def pieces(docs: DataFrame, path: str, size: int) -> DataFrame:
                 for begin in range(0, n + 1, size):
                     length = min(size, n + 1 - begin)
                     rows.append((doc, begin, length, zlib.crc32(own[4 * begin : 4 * (begin + length)]), n + 1))
-            out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(work, PIECES)
+    return id_text(docs.select("doc_id", "text")).mapInPandas(work, PIECES)
 
 
 def pack(docs: DataFrame, path: str, size: int = 1024, group_bytes: int = GROUP_BYTES) -> DataFrame:
@@ -103,8 +101,9 @@ def pack(docs: DataFrame, path: str, size: int = 1024, group_bytes: int = GROUP_
 
     One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. A null
     or empty text is the end id alone; equal rows are packed separately; an empty table gives no
-    rows. Groups are dealt by a hash of the piece, in number by the bytes of all texts; a
-    group leaves at most a few windows partly filled.
+    rows; extra columns are ignored; a null doc_id stays null. Groups are dealt by a hash of the piece, in number by the
+    bytes of all texts and the rows; a group leaves at most a few windows partly filled. A very long text is encoded
+    by itself in one task, with memory in proportion to its bytes.
     """
     groups = parts(text_bytes(docs), group_bytes)
 
@@ -115,4 +114,4 @@ def pack(docs: DataFrame, path: str, size: int = 1024, group_bytes: int = GROUP_
         return frame
 
     dealt = pieces(docs, path, size).withColumn("grp", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)).cast("long"))
-    return dealt.groupBy("grp").applyInPandas(place, PIECES + ", sequence_id long, offset long")
+    return id_long(dealt.groupBy("grp").applyInPandas(place, PIECES + ", sequence_id long, offset long"))

@@ -17,9 +17,8 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tagflow.llm.common import units
+from tagflow.llm.common import id_long, id_text, units
 from tagflow.llm.pretokens import Words, gather, split_words
 
 
@@ -158,7 +157,9 @@ def texts_of(frame: pd.DataFrame) -> list[str]:
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """Rows of doc_id, ids (array<int>) and decoded (string) for every row of `docs`.
 
-    Null texts are empty and give no ids; repeated rows stay; other columns are dropped.
+    Null texts are empty and give no ids; repeated rows stay; a null doc_id stays null; an empty table gives
+    no rows; other columns are dropped. A very long text is encoded by itself in one task: the pair index
+    takes about 60 bytes of memory for a byte of its distinct words.
     """
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -168,7 +169,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 cut = np.split(ids, np.cumsum(count)[:-1])
                 yield pd.DataFrame({"doc_id": frame["doc_id"], "ids": [x.astype(np.int32) for x in cut], "decoded": [decode(vocab, x) for x in cut]})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(work, "doc_id long, ids array<int>, decoded string")
+    return id_long(id_text(docs.select("doc_id", "text")).mapInPandas(work, "doc_id string, ids array<int>, decoded string"))
 
 
 def _encoded(vocab: Vocabulary, unit: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
@@ -185,7 +186,8 @@ def decode(vocab: Vocabulary, ids: np.ndarray) -> str:
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Per row of `docs`: doc_id, n_tokens, ids_sha256, decoded_sha256, made inside the tasks.
 
-    The same encoder and decoder as `encode`; only digests leave the Python workers.
+    The same encoder and decoder as `encode`, and the same rows for nulls, empty and long texts, repeats,
+    empty tables and extra columns; only digests leave the Python workers.
     """
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -201,4 +203,4 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
                 out.insert(0, "doc_id", frame["doc_id"].to_numpy())
                 yield out
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return id_long(id_text(docs.select("doc_id", "text")).mapInPandas(work, "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagflow.llm import bpe, ctw, embed_dedup, knn, licenses, packing, simhash, suffixes, toxicity, urls
+from tagflow.llm import bpe, ctw, embed_dedup, knn, licenses, oracles, packing, phrases, simhash, subtrees, suffixes, toxicity, trie, urls
 from tagflow.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -53,6 +53,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subtrees.removal_digest(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -60,10 +72,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_license_scan, op2_url_filter, op3_simhash, op4_suffix_dedup, op5_lm_score, op6_embedding_dedup, op7_packing, op8_topk_search, op9_toxicity, op10_bpe, pipeline]
+    named = [op1_license_scan, op2_url_filter, op3_simhash, op4_suffix_dedup, op5_lm_score, op6_embedding_dedup, op7_packing, op8_topk_search, op9_toxicity, op10_bpe, op11_phrases, op12_substring_dedup, op13_prefix_trie, pipeline]
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL expresses over whole tables."""
-    return {}
+    return {"op11_phrases": oracles.PHRASES, "op12_substring_dedup": oracles.SUBTREES, "op13_prefix_trie": oracles.TRIE}

@@ -29,6 +29,8 @@ NO_LANG = "und"
 #: Bits of a map for each entry, and of the largest map (32 MB).
 ENTRY_BITS, MAP_BITS = 24, 1 << 28
 CHUNK_BITS = 1 << 19
+#: Bytes of text in a shard (a longer text is one by itself), and rows that leave it at once.
+SHARD_BYTES, ROWS = 5 << 20, 1 << 17
 UPPER, LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 #: Capitals become small letters, tabs blanks, and the ends of pieces full stops, which no word holds.
 _PLAIN = bytes.maketrans(UPPER + b"\t" + b",;:!?\n\x0b\x0c\r", LOWER + b" " + b"." * 9)
@@ -75,7 +77,7 @@ class Shard:
 
 
 def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, Shard]]:
-    for unit in units(batches):
+    for unit in units(batches, SHARD_BYTES):
         for lang, rows in unit.groupby("lang", sort=False):
             texts = [x for x in rows["text"] if isinstance(x, str)]
             if texts:
@@ -88,9 +90,9 @@ def _hash_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pairs, n = np.unique(s.pair_hashes().view(np.int64), return_counts=True)
         own = s.counts > 0
         yield pd.DataFrame({"lang": [lang], "h": pd.array([None], dtype="Int64"), "n": [int(s.counts.sum())]})
-        h = np.concatenate((s.hashes[own].view(np.int64), pairs))
-        if len(h):
-            yield pd.DataFrame({"lang": None, "h": pd.array(h, dtype="Int64"), "n": np.concatenate((s.counts[own], n))})
+        h, n = np.concatenate((s.hashes[own].view(np.int64), pairs)), np.concatenate((s.counts[own], n))
+        for i in range(0, len(h), ROWS):
+            yield pd.DataFrame({"lang": None, "h": pd.array(h[i : i + ROWS], dtype="Int64"), "n": n[i : i + ROWS]})
 
 
 class BitMap:
@@ -183,10 +185,10 @@ def shard_phrases(lang: str, s: Shard, known: BitMap) -> Iterator[pd.DataFrame]:
     line = np.zeros(len(place) + int(stop.sum()), np.int64)
     line[np.arange(len(place)) + np.cumsum(stop) - stop] = s.at[place]
     for first, n, count in suffix_counts(line):
-        parts = [[s.words[k] for k in line[first + j].tolist()] for j in range(n)]
-        text = [b" ".join(p).decode("utf-8", "surrogatepass") for p in zip(*parts, strict=True)]
-        if text:
-            yield pd.DataFrame({"lang": lang, "phrase": text, "words": n, "n": count})
+        for i in range(0, len(first), ROWS):
+            parts = [[s.words[k] for k in line[first[i : i + ROWS] + j].tolist()] for j in range(n)]
+            text = [b" ".join(p).decode("utf-8", "surrogatepass") for p in zip(*parts, strict=True)]
+            yield pd.DataFrame({"lang": lang, "phrase": text, "words": n, "n": count[i : i + ROWS]})
 
 
 def frequent(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:

@@ -16,11 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagflow.llm.common import units, written
+from tagflow.llm.common import written
 
 #: Words of the longest phrase, and occurrences of a candidate.
 LONGEST, LEAST = 4, 30
@@ -55,44 +56,58 @@ class _Ids(dict):
 
 
 class Shard:
-    """Texts of one language as word ids; `at` holds the ids with an end (0) after every piece."""
+    """Texts (UTF-8) of one language as word ids; `at` holds the ids with an end (0) after every piece."""
 
-    def __init__(self, lang: str, texts: list[str]) -> None:
+    def __init__(self, lang: str, texts: list[bytes]) -> None:
         ids = _Ids()
-        words = " . ".join(texts).encode("utf-8", "surrogatepass").translate(_PLAIN).replace(b".", b" . ").split()
+        words = b" . ".join(texts).translate(_PLAIN).replace(b".", b" . ").split()
         self.at = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+        del words
         self.at = np.concatenate((self.at, [0]))
         self.words = list(ids)
-        seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.words), np.uint64, len(ids))
-        self.hashes = _mixed(hashes)
+        seed = xxhash.xxh64_intdigest(lang.encode())
+        self.hashes = _mixed(np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.words), np.uint64, len(ids)))
         self.counts = np.bincount(self.at, minlength=len(ids))
         self.counts[0] = 0
-        pair = (self.at[:-1] > 0) & (self.at[1:] > 0)
-        self.pairs = np.flatnonzero(pair)
+        self.pairs = np.flatnonzero((self.at[:-1] > 0) & (self.at[1:] > 0))
 
     def pair_hashes(self) -> np.ndarray:
         """Of every pair of words that stand side by side, by its first place (`pairs`)."""
         return _mixed(self.hashes[self.at[self.pairs]] * _C[2] + self.hashes[self.at[self.pairs + 1]])
 
 
-def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, Shard]]:
-    for unit in units(batches, SHARD_BYTES):
-        for lang, rows in unit.groupby("lang", sort=False):
-            texts = [x for x in rows["text"] if isinstance(x, str)]
-            if texts:
-                yield lang, Shard(lang, texts)
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Shard]]:
+    """Shards of one language each; texts wait for others of their language while all that wait are within SHARD_BYTES."""
+    held: dict[str, list[bytes]] = {}
+    size: dict[str, int] = {}
+    total = 0
+    for batch in batches:
+        for lang, text in zip(batch.column("lang"), batch.column("text").cast(pa.binary()), strict=True):
+            key, raw = lang.as_py(), text.as_py()
+            held.setdefault(key, []).append(raw)
+            size[key] = size.get(key, 0) + len(raw)
+            total += len(raw)
+            if total >= SHARD_BYTES:
+                key = max(size, key=size.__getitem__)
+                total -= size.pop(key)
+                yield key, Shard(key, held.pop(key))
+    for key, texts in held.items():
+        yield key, Shard(key, texts)
 
 
-def _hash_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _rows(*columns: pa.Array, names: list[str]) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(columns[0]), ROWS):
+        yield pa.RecordBatch.from_arrays([c.slice(i, ROWS) for c in columns], names)
+
+
+def _hash_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words and pairs of every shard as hashes with their counts; the number of words of its language has the hash null."""
     for lang, s in _shards(batches):
         pairs, n = np.unique(s.pair_hashes().view(np.int64), return_counts=True)
         own = s.counts > 0
-        yield pd.DataFrame({"lang": [lang], "h": pd.array([None], dtype="Int64"), "n": [int(s.counts.sum())]})
         h, n = np.concatenate((s.hashes[own].view(np.int64), pairs)), np.concatenate((s.counts[own], n))
-        for i in range(0, len(h), ROWS):
-            yield pd.DataFrame({"lang": None, "h": pd.array(h[i : i + ROWS], dtype="Int64"), "n": n[i : i + ROWS]})
+        yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([None], pa.int64()), pa.array([int(s.counts.sum())])], ["lang", "h", "n"])
+        yield from _rows(pa.nulls(len(h), pa.string()), pa.array(h), pa.array(n), names=["lang", "h", "n"])
 
 
 class BitMap:
@@ -167,12 +182,15 @@ def suffix_counts(at: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]
         yield suffixes[head[whole]], n, count[whole]
 
 
-def shard_phrases(lang: str, s: Shard, known: BitMap) -> Iterator[pd.DataFrame]:
+def shard_phrases(lang: str, s: Shard, known: BitMap) -> Iterator[pa.RecordBatch]:
     """Counts of the shard's phrases that may be frequent."""
+
+    def out(text: list[bytes], words: int, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(text), pa.string()), pa.array(text, pa.string()), pa.array([words] * len(text), pa.int32()), pa.array(n)], ["lang", "phrase", "words", "n"])
+
     often = known.has(s.hashes) & (s.counts > 0)
     one = np.flatnonzero(often)
-    if len(one):
-        yield pd.DataFrame({"lang": lang, "phrase": [s.words[k].decode("utf-8", "surrogatepass") for k in one], "words": 1, "n": s.counts[one]})
+    yield out([s.words[k] for k in one], 1, s.counts[one])
     linked = np.zeros(len(s.at), bool)  # the word and the next one are such a pair
     linked[s.pairs] = known.has(s.pair_hashes())
     inside = linked.copy()
@@ -187,24 +205,23 @@ def shard_phrases(lang: str, s: Shard, known: BitMap) -> Iterator[pd.DataFrame]:
     for first, n, count in suffix_counts(line):
         for i in range(0, len(first), ROWS):
             parts = [[s.words[k] for k in line[first[i : i + ROWS] + j].tolist()] for j in range(n)]
-            text = [b" ".join(p).decode("utf-8", "surrogatepass") for p in zip(*parts, strict=True)]
-            yield pd.DataFrame({"lang": lang, "phrase": text, "words": n, "n": count[i : i + ROWS]})
+            yield out([b" ".join(p) for p in zip(*parts, strict=True)], n, count[i : i + ROWS])
 
 
 def frequent(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """Words and phrases (lang, phrase, words, f) with f >= least, and the number of words of each language (lang, n)."""
     texts = docs.select("text", F.coalesce("lang", F.lit(NO_LANG)).alias("lang")).where("text IS NOT NULL")
-    sums = texts.mapInPandas(_hash_counts, "lang string, h long, n long").groupBy("lang", "h").agg(F.sum("n").alias("n"))
+    sums = texts.mapInArrow(_hash_counts, "lang string, h long, n long").groupBy("lang", "h").agg(F.sum("n").alias("n"))
     sums = written(sums.where(F.col("h").isNull() | (F.col("n") >= least)))
     totals = sums.where("h IS NULL").select("lang", "n")
     hashes = sums.where("h IS NOT NULL")
     shared = docs.sparkSession.sparkContext.broadcast(bit_map(hashes, hashes.count()))  # MAP_BITS at most
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, s in _shards(batches):
             yield from shard_phrases(lang, s, shared.value)
 
-    counted = texts.mapInPandas(work, "lang string, phrase string, words int, n long").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f"))
+    counted = texts.mapInArrow(work, "lang string, phrase string, words int, n long").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f"))
     return written(counted.where(F.col("f") >= least)), totals
 
 

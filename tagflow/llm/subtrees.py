@@ -1,8 +1,8 @@
 """Operator 12: removal of repeated word windows by prefix-partitioned suffix trees.
 
-1. Prefixes of suffixes are counted, one word first; a prefix with more than `most` suffixes is too large for a group and is
-   counted again with one word more, and so on. A prefix that is still too large at the full window is one deep node:
-   its count comes with its smallest document, which settles its suffixes at once.
+1. Prefixes of suffixes are counted, one word first; a prefix that may have more than `most` suffixes is too large for a group
+   and is counted with one word more, and so on. A prefix that is still too large at the full window is one deep node, and
+   its smallest document settles its suffixes at once.
 2. Every suffix goes to the group of its shortest prefix that is small enough, with a digest of its window for what lies
    below the prefix. Suffixes alone with their digest, or in one document, hang on no deep node and are retired.
 3. For the others the words of the window are read and sorted within their group: the sorted suffixes and their common
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,9 @@ from tagflow.llm.common import SALT_ROWS, checkpointed, looked_up, parts, releas
 from tagflow.llm.suffixes import _dealt, _per_document
 
 #: Bytes of text behind a group of suffixes, and the share of a group that one prefix may fill.
-GROUP_BYTES, SHARE = 24 << 20, 4
+GROUP_BYTES, SHARE = 8 << 20, 4
+#: Bytes of text that a task cuts into suffixes at once (a longer text is alone).
+UNIT_BYTES = 4 << 20
 #: Bytes that a word and its blank have at least, and the prefixes of one length that are too large at most.
 WORD_BYTES, LARGEST = 2, 1 << 20
 #: Words whose hashes a task keeps.
@@ -62,8 +65,8 @@ class Laid:
         lists = [words_of(t) for t in texts]
         self.size = np.fromiter(map(len, lists), np.int64, len(lists))
         self.begin = np.cumsum(self.size) - self.size
-        flat = [h for x in lists for h in map(known.__getitem__, x)]
-        self.words = np.concatenate((np.fromiter(flat, np.uint64, len(flat)), np.zeros(least, np.uint64)))
+        flat = np.fromiter(map(known.__getitem__, chain.from_iterable(lists)), np.uint64, self.size.sum())
+        self.words = np.concatenate((flat, np.zeros(least, np.uint64)))
         room = np.maximum(self.size - least + 1, 0)
         self.doc = np.repeat(np.arange(len(lists)), room)
         self.pos = np.arange(room.sum()) - np.repeat(np.cumsum(room) - room, room)
@@ -111,43 +114,61 @@ def windows(laid: Laid, least: int) -> np.ndarray:
     return _mixed(out)
 
 
-def too_large(docs: DataFrame, least: int, most: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Sorted hashes of the prefixes of 1, 2, ... words with more than `most` suffixes, and the smallest documents of the last ones.
-
-    There are at most (suffixes / most) of each length. The documents are given only where `least` words are reached.
+def _prefix_counts(laid: Laid, least: int, enough: float) -> Iterator[pd.DataFrame]:
+    """Prefixes of every length with at least `enough` suffixes among these; longer ones only of those."""
+    have: np.ndarray | None = None
+    for length in range(1, least + 1):
+        have = _longer(have, laid, laid.at, length)
+        h, inverse, n = np.unique(have, return_inverse=True, return_counts=True)
+        often = n >= enough
+        if not often.any():
+            return
+        yield pd.DataFrame({"length": length, "h": h[often].view(np.int64), "n": n[often]})
+        again = often[inverse]
+        laid.keep(again)
+        have = have[again]
+
+
+def too_large(docs: DataFrame, least: int, most: int, total: int) -> list[np.ndarray]:
+    """Sorted hashes of prefixes of 1, 2, ... words: all that have more than `most` suffixes, and none with less than half of that.
+
+    One pass: a task tells only of prefixes that have their share of `most / 2` in its bytes (of `total`), so what goes
+    untold of any prefix is less than `most / 2`. There are at most 2 * (suffixes / most) of each length.
     """
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = _Hashes()
+        for unit in units(batches, UNIT_BYTES):
+            size = sum(len(t.encode()) for t in unit["text"])
+            yield from _prefix_counts(Laid(unit["text"], least, known), least, most / 2 * size / total)
+
+    counts = docs.select("text").mapInPandas(work, "length int, h long, n long").groupBy("length", "h").agg(F.sum("n").alias("n"))
+    found = counts.where(F.col("n") >= most / 2).select("length", "h").toPandas()
     large: list[np.ndarray] = []
-    first = np.zeros(0, np.int64)
-    while len(large) < least:
-        length = len(large) + 1
-
-        def work(batches: Iterator[pd.DataFrame], length: int = length, large: list[np.ndarray] = list(large)) -> Iterator[pd.DataFrame]:  # noqa: B006
-            known = _Hashes()
-            for unit in units(batches):
-                laid = Laid(unit["text"], least, known)
-                have: np.ndarray | None = None
-                for k in range(1, length):
-                    have = _longer(have, laid, laid.at, k)
-                    again = _among(have, large[k - 1])
-                    laid.keep(again)
-                    have = have[again]
-                have = _longer(have, laid, laid.at, length)
-                order = np.argsort(have, kind="stable")
-                head = runs(have[order])
-                if len(head):
-                    ids = unit["doc_id"].to_numpy(np.int64)[laid.doc][order]
-                    n = np.diff(np.concatenate((head, [len(order)])))
-                    yield pd.DataFrame({"h": have[order][head].view(np.int64), "n": n, "first": np.minimum.reduceat(ids, head)})
-
-        counts = docs.select("doc_id", "text").mapInPandas(work, "h long, n long, first long").groupBy("h").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
-        found = counts.where(F.col("n") > most).select("h", "first").toPandas()
-        if not len(found):
+    for length in range(1, least + 1):
+        h = found["h"][found["length"] == length].to_numpy(np.int64).view(np.uint64)
+        if not len(h):
             break
-        h = found["h"].to_numpy(np.int64).view(np.uint64)
-        order = np.argsort(h)
-        large.append(h[order])
-        first = found["first"].to_numpy(np.int64)[order]
-    return large, first if len(large) == least else np.zeros(0, np.int64)
+        large.append(np.sort(h))
+    return large
+
+
+def smallest_documents(docs: DataFrame, least: int, large: list[np.ndarray]) -> np.ndarray:
+    """Of every whole window that is too large the smallest document that holds it (nothing, if none is)."""
+    if len(large) < least:
+        return np.zeros(0, np.int64)
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = _Hashes()
+        for unit in units(batches, UNIT_BYTES):
+            laid = Laid(unit["text"], least, known)
+            prefix = prefixes(laid, large)
+            full = _among(prefix, large[-1])
+            found = pd.DataFrame({"h": prefix[full].view(np.int64), "first": unit["doc_id"].to_numpy(np.int64)[laid.doc[full]]})
+            yield found.groupby("h", as_index=False).min()
+
+    lows = docs.select("doc_id", "text").mapInPandas(work, "h long, first long").groupBy("h").agg(F.min("first").alias("first")).toPandas()
+    return lows.set_index(lows["h"].to_numpy(np.int64).view(np.uint64))["first"].loc[large[-1]].to_numpy(np.int64)
 
 
 def _packed(group: np.ndarray, doc: np.ndarray, pos: np.ndarray, ids: np.ndarray, marks: np.ndarray, columns: dict[str, np.ndarray]) -> Iterator[dict]:
@@ -200,7 +221,7 @@ def dealt_suffixes(docs: DataFrame, least: int, groups: int, large: list[np.ndar
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = _Hashes()
-        for unit in units(batches):
+        for unit in units(batches, UNIT_BYTES):
             ids, marks = unit["doc_id"].to_numpy(np.int64), unit["mark"].to_numpy(np.int64)
             laid = Laid(unit["text"], least, hashes)
             if not len(laid.at):
@@ -245,7 +266,7 @@ def opened(found: DataFrame, least: int, groups: int, large: list[np.ndarray]) -
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = _Hashes()
-        for unit in units(batches, 4 << 20):
+        for unit in units(batches, UNIT_BYTES):
             ids, marks = unit["doc_id"].to_numpy(np.int64), unit["mark"].to_numpy(np.int64)
             laid = Laid(unit["text"], least, hashes)
             places = [np.unique(np.frombuffer(x, np.uint32)).astype(np.int64) for x in unit["open"]]
@@ -318,7 +339,8 @@ def removal_digest(docs: DataFrame, least: int = 13, group_bytes: int = GROUP_BY
     wide = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     tagged = wide.withColumn("mark", F.xxhash64("text"))
     usable = tagged.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    large, first = too_large(usable, least, most)
+    large = too_large(usable, least, most, total)
+    first = smallest_documents(usable, least, large)
     settled = active(dealt_suffixes(usable, least, groups, large, first), groups)
     copies = written(text_copies(usable)).withColumn("copy", F.lit(True))
     settled = settled.join(copies, ["doc_id", "mark"], "full_outer")

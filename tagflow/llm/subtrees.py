@@ -15,7 +15,7 @@ Copies of a whole text are known from their digest and read no further. Group nu
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -24,8 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagflow.llm.common import SALT_ROWS, checkpointed, looked_up, parts, release, runs, text_bytes, units, written
-from tagflow.llm.suffixes import _dealt, _per_document
+from tagflow.llm.common import SALT_ROWS, looked_up, parts, release, runs, text_bytes, units, written
 
 #: Bytes of text behind a group of suffixes, and the share of a group that one prefix may fill.
 GROUP_BYTES, SHARE = 8 << 20, 4
@@ -171,22 +170,31 @@ def smallest_documents(docs: DataFrame, least: int, large: list[np.ndarray]) ->
     return lows.set_index(lows["h"].to_numpy(np.int64).view(np.uint64))["first"].loc[large[-1]].to_numpy(np.int64)
 
 
-def _packed(group: np.ndarray, doc: np.ndarray, pos: np.ndarray, ids: np.ndarray, marks: np.ndarray, columns: dict[str, np.ndarray]) -> Iterator[dict]:
-    """One row for each group; places are steps within a document, byte planes apart, so that small steps compress."""
-    order = np.argsort(group, kind="stable")
-    head = runs(group[order])
+def _planes(x: np.ndarray) -> bytes:
+    """Integers as byte planes apart: small ones compress to little."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def _unplanes(raw: bytes, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _packed(bucket: np.ndarray, doc: np.ndarray, pos: np.ndarray, ids: np.ndarray, marks: np.ndarray, columns: dict[str, np.ndarray]) -> Iterator[dict]:
+    """One row for each bucket, entries in the order of documents; ids and places are steps from the one before."""
+    order = np.argsort(bucket, kind="stable")
+    head = runs(bucket[order])
     for i, j in zip(head, [*head[1:], len(order)], strict=False):
         o = order[i:j]
-        own, p = doc[o], pos[o]
+        own, p = doc[o], pos[o].astype(np.int64)
         first = runs(own)
         step = np.diff(p, prepend=0)
         step[first] = p[first]
-        row = {"bucket": int(group[o[0]]), "ids": ids[own[first]].tobytes(), "marks": marks[own[first]].tobytes(), "counts": np.diff([*first, len(o)]).astype(np.int32).tobytes()}
-        yield row | {"pos": step.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()} | {k: v[o].tobytes() for k, v in columns.items()}
+        row = {"bucket": int(bucket[o[0]]), "ids": _planes(np.diff(ids[own[first]], prepend=0)), "marks": marks[own[first]].astype("<i4").tobytes(), "counts": _planes(np.diff([*first, len(o)]).astype("<u4"))}
+        yield row | {"pos": _planes(step.astype("<u4"))} | {k: v[o].tobytes() for k, v in columns.items()}
 
 
 def _places(raw: bytes, counts: np.ndarray) -> np.ndarray:
-    step = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    step = _unplanes(raw, "<u4").astype(np.int64)
     total = np.cumsum(step)
     begin = np.cumsum(counts) - counts
     return total - np.repeat(total[begin] - step[begin], counts)
@@ -194,16 +202,41 @@ def _places(raw: bytes, counts: np.ndarray) -> np.ndarray:
 
 def _entries(frame: pd.DataFrame, kinds: dict[str, str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, dict[str, np.ndarray]]:
     """Ids and marks of documents, the document and place of every entry, and the other columns."""
-    counts = [np.frombuffer(x, np.int32).astype(np.int64) for x in frame["counts"]]
-    pos = np.concatenate([_places(x, c) for x, c in zip(frame["pos"], counts, strict=True)])
-    ids = np.frombuffer(b"".join(frame["ids"]), np.int64)
-    marks = np.frombuffer(b"".join(frame["marks"]), np.int64)
-    return ids, marks, np.repeat(np.arange(len(ids)), np.concatenate(counts)), pos.astype(np.uint32), {k: np.frombuffer(b"".join(frame[k]), v) for k, v in kinds.items()}
+    counts = [_unplanes(x, "<u4").astype(np.int64) for x in frame["counts"]]
+    pos = np.concatenate([_places(x, c) for x, c in zip(frame["pos"], counts, strict=True)]).astype(np.uint32)
+    ids = np.concatenate([np.cumsum(_unplanes(x, "<i8")) for x in frame["ids"]])
+    marks = np.frombuffer(b"".join(frame["marks"]), np.int32)
+    return ids, marks, np.repeat(np.arange(len(ids)), np.concatenate(counts)), pos, {k: np.frombuffer(b"".join(frame[k]), v) for k, v in kinds.items()}
 
 
 PACKED = "bucket long, ids binary, marks binary, counts binary, pos binary"
 
 
+def _dealt(doc: np.ndarray, pos: np.ndarray, ids: np.ndarray, marks: np.ndarray, columns: dict[str, np.ndarray], buckets: int) -> pd.DataFrame:
+    """Entries packed by a bucket of their document."""
+    bucket = (_mixed(ids[doc].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(doc, kind="stable")
+    rows = _packed(bucket[order], doc[order], pos[order], ids, marks, {k: v[order] for k, v in columns.items()})
+    return pd.DataFrame(rows, columns=["bucket", "ids", "marks", "counts", "pos", *columns])
+
+
+def _per_document(rows: DataFrame, kinds: dict[str, str], names: list[str], pick: Callable) -> DataFrame:
+    """One row for each document (doc_id, mark) with entries; of each name the places that `pick` (columns to masks) says."""
+
+    def work(frame: pd.DataFrame) -> pd.DataFrame:
+        ids, marks, doc, pos, c = _entries(frame, kinds)
+        order = np.lexsort((pos, marks[doc], ids[doc]))
+        i, m, p = ids[doc][order], marks[doc][order], pos[order]
+        head = np.flatnonzero(np.concatenate(([True], (i[1:] != i[:-1]) | (m[1:] != m[:-1]))))
+        found = {"doc_id": i[head], "mark": m[head]}
+        for name, used in zip(names, pick(c), strict=True):
+            u = used[order] if used is not None else np.ones(len(order), bool)
+            found[name] = [p[a:b][u[a:b]].tobytes() for a, b in zip(head, [*head[1:], len(order)], strict=False)]
+        return pd.DataFrame(found)
+
+    return rows.groupBy("bucket").applyInPandas(work, ", ".join(["doc_id long, mark int", *(f"{k} binary" for k in names)]))
+
+
 def _classes(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Smallest and largest document among the entries of equal key."""
     order = np.argsort(key, kind="stable")
@@ -222,7 +255,7 @@ def dealt_suffixes(docs: DataFrame, least: int, groups: int, large: list[np.ndar
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = _Hashes()
         for unit in units(batches, UNIT_BYTES):
-            ids, marks = unit["doc_id"].to_numpy(np.int64), unit["mark"].to_numpy(np.int64)
+            ids, marks = unit["doc_id"].to_numpy(np.int64), unit["mark"].to_numpy(np.int32)
             laid = Laid(unit["text"], least, hashes)
             if not len(laid.at):
                 continue
@@ -255,27 +288,27 @@ def active(rows: DataFrame, buckets: int) -> DataFrame:
         low, high = _classes(c["digest"][test], ids[doc[test]])
         used = known.copy()
         used[test] = low != high
-        return _dealt(doc[used], ids, marks, {"pos": pos[used], "full": known[used]}, buckets)
+        return _dealt(doc[used], pos[used], ids, marks, {"full": known[used]}, buckets)
 
-    dealt = rows.groupBy("bucket").applyInPandas(work, "bucket long, ids binary, marks binary, counts binary, pos binary, full binary")
-    return _per_document(dealt, {"pos": "u4", "full": "?"}, {"full": "binary", "open": "binary"}, lambda c: {"full": (c["pos"], c["full"]), "open": (c["pos"], ~c["full"])})
+    dealt = rows.groupBy("bucket").applyInPandas(work, f"{PACKED}, full binary")
+    return _per_document(dealt, {"full": "?"}, ["full", "open"], lambda c: (c["full"], ~c["full"]))
 
 
 def opened(found: DataFrame, least: int, groups: int, large: list[np.ndarray]) -> DataFrame:
-    """The windows of open suffixes by group: 16 bits of every word, and the digest; `found` has doc_id, mark, text, open."""
+    """The windows of open suffixes by group: 8 bits of every word, and a digest of 64 bits; `found` has doc_id, mark, text, open."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = _Hashes()
         for unit in units(batches, UNIT_BYTES):
-            ids, marks = unit["doc_id"].to_numpy(np.int64), unit["mark"].to_numpy(np.int64)
+            ids, marks = unit["doc_id"].to_numpy(np.int64), unit["mark"].to_numpy(np.int32)
             laid = Laid(unit["text"], least, hashes)
             places = [np.unique(np.frombuffer(x, np.uint32)).astype(np.int64) for x in unit["open"]]
             laid.doc = np.repeat(np.arange(len(unit)), [len(x) for x in places])
             laid.pos = np.concatenate(places)
             laid.at = laid.begin[laid.doc] + laid.pos
             prefix = prefixes(laid, large)
-            window = np.lib.stride_tricks.sliding_window_view(laid.words.astype(np.uint16), least)[laid.at]
-            columns = {"digest": windows(laid, least).astype(np.uint32), "window": np.ascontiguousarray(window)}
+            window = np.lib.stride_tricks.sliding_window_view(laid.words.astype(np.uint8), least)[laid.at]
+            columns = {"digest": windows(laid, least), "window": np.ascontiguousarray(window)}
             for row in _packed((prefix % np.uint64(groups)).astype(np.int64), laid.doc, laid.pos, ids, marks, columns):
                 yield pd.DataFrame([row])
 
@@ -298,15 +331,14 @@ def repeated(rows: DataFrame, least: int, buckets: int) -> DataFrame:
     """Per document the places of windows that a smaller document holds too."""
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
-        ids, marks, doc, pos, c = _entries(frame, {"digest": "u4", "window": "u2"})
+        ids, marks, doc, pos, c = _entries(frame, {"digest": "u8", "window": "u1"})
         order, head = deep_nodes(c["window"].reshape(-1, least), c["digest"], least)
         own = ids[doc][order]
         low = np.repeat(np.minimum.reduceat(own, head), np.diff(np.concatenate((head, [len(order)]))))
         hit = order[own > low]
-        return _dealt(doc[hit], ids, marks, {"pos": pos[hit]}, buckets)
+        return _dealt(doc[hit], pos[hit], ids, marks, {}, buckets)
 
-    dealt = rows.groupBy("bucket").applyInPandas(work, "bucket long, ids binary, marks binary, counts binary, pos binary")
-    return _per_document(dealt, {"pos": "u4"}, {"span": "binary"}, lambda c: {"span": (c["pos"], np.ones(len(c["pos"]), bool))})
+    return _per_document(rows.groupBy("bucket").applyInPandas(work, PACKED), {}, ["span"], lambda c: (None,))
 
 
 def text_copies(tagged: DataFrame) -> DataFrame:
@@ -337,14 +369,14 @@ def removal_digest(docs: DataFrame, least: int = 13, group_bytes: int = GROUP_BY
     groups = parts(total, group_bytes, 4)
     most = max(group_bytes // WORD_BYTES // SHARE // 4, total // WORD_BYTES // LARGEST, 1)
     wide = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    tagged = wide.withColumn("mark", F.xxhash64("text"))
+    tagged = wide.withColumn("mark", F.hash("text"))
     usable = tagged.where("doc_id IS NOT NULL AND text IS NOT NULL")
     large = too_large(usable, least, most, total)
     first = smallest_documents(usable, least, large)
     settled = active(dealt_suffixes(usable, least, groups, large, first), groups)
     copies = written(text_copies(usable)).withColumn("copy", F.lit(True))
     settled = settled.join(copies, ["doc_id", "mark"], "full_outer")
-    settled = checkpointed(settled.withColumn("open", F.when(F.col("copy").isNull(), F.col("open"))))
+    settled = written(settled.withColumn("open", F.when(F.col("copy").isNull(), F.col("open"))))
     release(docs.sparkSession)
     asks = settled.where(F.length("open") > 0).select("doc_id", "mark", "open")
     # the same exchange of the texts serves this join and the last one

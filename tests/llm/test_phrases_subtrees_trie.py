@@ -122,8 +122,8 @@ def test_subtrees_of_nulls_and_repeated_rows(spark):
 
 def test_deep_nodes_are_the_classes_of_equal_windows():
     roll = np.random.default_rng(6)
-    window = roll.integers(0, 2, (500, 5)).astype(np.uint16)
-    order, head = subtrees.deep_nodes(window, np.zeros(500, np.uint32), 5)
+    window = roll.integers(0, 2, (500, 5)).astype(np.uint8)
+    order, head = subtrees.deep_nodes(window, np.zeros(500, np.uint64), 5)
     sorted_rows = [tuple(x) for x in window[order]]
     assert len(head) == len(set(sorted_rows))
     assert all(k == 0 or sorted_rows[k] != sorted_rows[k - 1] for k in head)

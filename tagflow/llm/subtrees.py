@@ -377,7 +377,8 @@ def removal_digest(docs: DataFrame, least: int = 13, group_bytes: int = GROUP_BY
     copies = written(text_copies(usable)).withColumn("copy", F.lit(True))
     settled = settled.join(copies, ["doc_id", "mark"], "full_outer")
     settled = written(settled.withColumn("open", F.when(F.col("copy").isNull(), F.col("open"))))
-    release(docs.sparkSession)
+    for _ in range(2):  # what the last job used is free after the second
+        release(docs.sparkSession)
     asks = settled.where(F.length("open") > 0).select("doc_id", "mark", "open")
     # the same exchange of the texts serves this join and the last one
     windows_of = opened(usable.join(asks.hint("merge"), ["doc_id", "mark"]), least, groups, large)

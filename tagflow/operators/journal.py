@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagflow.functions.columns import identity, is_archived, subtract
+from tagflow.operators.chains import linked
 
 
 def window(journal: DataFrame, since: Column | None = None, until: Column | None = None, record_type: str = "UPDATE_METADATA") -> DataFrame:
@@ -52,6 +53,17 @@ def with_ties(ops: DataFrame, cap: int) -> DataFrame:
     return ops.join(F.broadcast(bound)).where(F.col("boundary").isNull() | (F.col("record_timestamp") <= F.col("boundary"))).drop("boundary")
 
 
+def capped_batches(ops: DataFrame, cap: int) -> DataFrame:
+    """Rows with `batch`, the number of the capped run that reads them: each takes rows by time until it has `cap` or more.
+
+    Rows of one time stay together, so the batches are those of `with_ties` applied in a chain, each after the last
+    one's boundary. Only counts by time are ordered. Rows without a time are in no batch.
+    """
+    per = ops.where(F.col("record_timestamp").isNotNull()).groupBy(F.col("record_timestamp").alias("_time")).agg(F.count("*").alias("_n"))
+    numbers = linked(per.withColumn("_all", F.lit(0)), ["_all"], ["_time"], "_n", cap, over=True).select("_time", F.col("link").alias("batch"))
+    return ops.join(numbers, F.col("record_timestamp") == F.col("_time")).drop("_time")
+
+
 def latest(ops: DataFrame) -> DataFrame:
     """One row for each identity: the highest sequence number, with when the identity was first seen.
 

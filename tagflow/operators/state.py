@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagflow.functions.columns import subtract
+from tagflow.operators.chains import linked
 
 
 def prune(references: DataFrame, marks: DataFrame, lookback_s: int) -> DataFrame:
@@ -89,32 +90,12 @@ def outcome_groups(items: DataFrame) -> DataFrame:
     return per.groupBy(*keys).agg(F.sum("n").alias("items"), counts.alias("outcomes"), F.min("lo").alias("first_tagged"), F.max("hi").alias("last_tagged"))
 
 
-#: Report groups of one bucket that `chunked_groups` folds; there is one for each set of rules and destinations.
-GROUPS = 100_000
-
-
 def chunked_groups(groups: DataFrame, order: list[str], budget: int) -> DataFrame:
     """Report groups (bucket, size, ...) with `chunk`: in order, each in the chunk before it if its bytes fit, else in the next.
 
-    A group larger than the budget is alone; no group is split. A bucket's groups are folded in one place:
-    more than GROUPS of them are an error.
+    A group larger than the budget is alone; no group is split. A bucket may have any number of groups.
     """
-    many = F.count("*").over(Window.partitionBy("bucket"))
-    checked = groups.withColumn("_n", many).withColumn("_ok", F.when(F.col("_n") > GROUPS, F.raise_error(F.concat(F.lit("too many report groups of "), "bucket"))).otherwise(F.lit(True)))
-    row = F.struct(F.struct(*order).alias("_order"), *(c for c in groups.columns if c not in order and c != "bucket"))
-    by_order = lambda x, y: F.when(x["_order"] < y["_order"], -1).when(x["_order"] > y["_order"], 1).otherwise(0)
-    lists = checked.where("_ok").groupBy("bucket").agg(F.array_sort(F.collect_list(row), by_order).alias("rows"))
-    start = F.struct(F.lit(-1).cast("long").alias("chunk"), F.lit(-1).cast("long").alias("room"), F.array().cast("array<bigint>").alias("out"))
-
-    def step(at: Column, r: Column) -> Column:
-        new = r["size"] > at["room"]
-        chunk = F.when(new, at["chunk"] + 1).otherwise(at["chunk"])
-        room = F.when(new, F.lit(budget).cast("long")).otherwise(at["room"]) - r["size"]
-        return F.struct(chunk.alias("chunk"), room.alias("room"), F.array_append(at["out"], chunk).alias("out"))
-
-    chunks = F.aggregate("rows", start, step, lambda at: at["out"])
-    each = lists.select("bucket", F.explode(F.arrays_zip("rows", chunks.alias("chunk"))).alias("x"))
-    return each.select(F.col("x.chunk").alias("chunk"), "bucket", "x.rows._order.*", "x.rows.*").drop("_order")
+    return linked(groups, ["bucket"], order, "size", budget).withColumnRenamed("link", "chunk").drop("pos")
 
 
 def ordered_references(references: DataFrame) -> DataFrame:

@@ -170,6 +170,14 @@ def row_cap_with_ties(spark, sf):
     return J.with_ties(ops(spark, sf), CAP).select(*ROW)
 
 
+@query(f""", t AS (SELECT record_timestamp AS ts, sum(count(*)) OVER (ORDER BY record_timestamp) AS upto FROM w GROUP BY record_timestamp),
+c AS (WITH RECURSIVE r AS (SELECT min(upto) AS upto FROM t WHERE upto >= {CAP} UNION ALL SELECT * FROM (SELECT min(t.upto) AS upto FROM r JOIN t ON t.upto >= r.upto + {CAP} HAVING min(t.upto) IS NOT NULL)) SELECT * FROM r)
+SELECT {COLS}, (SELECT count(*) FROM c WHERE c.upto < t.upto) AS batch FROM w JOIN t ON ts = record_timestamp""")
+def row_cap_chain(spark, sf):
+    """Every row with the number of the capped run that reads it."""
+    return J.capped_batches(ops(spark, sf), CAP).select(*ROW, "batch")
+
+
 @query(f"SELECT {COLS} FROM d LEFT JOIN state ON bucket = sb WHERE mark IS NULL OR record_timestamp > mark")
 def eligibility_after_watermark(spark, sf):
     none = newest(spark, sf).where(F.lit(False)).select("lid")

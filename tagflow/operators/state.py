@@ -40,22 +40,37 @@ def recovery_plan(outcomes: DataFrame, threshold: int) -> DataFrame:
     ).withColumn("disable", F.col("consecutive_failures") >= threshold)
 
 
-def upsert(items: DataFrame, rows: DataFrame) -> DataFrame:
-    """Tracked objects after report rows: new ones are pending, known ones get the row's config entry.
+def upsert(items: DataFrame, rows: DataFrame, order: str | None = None) -> DataFrame:
+    """Tracked objects after report rows: new ones are pending, known ones get the rows' config entries and keep all else.
 
-    Both have bucket, key, version_id, and `configs` (a map by config id); null versions match.
+    `items` has bucket, key, version_id, configs (a map by config id), state and any other columns; `rows` has the
+    object, configs, and of the other columns what a new object starts with. Of several entries of one config the last
+    by `order` holds; null versions match.
     """
-    a, b = items.alias("a"), rows.alias("b")
+    objects = ["bucket", "key", "version_id"]
+    given = [c for c in items.columns if c in rows.columns and c not in (*objects, "configs", "state")]
+    last = F.col(order) if order else F.lit(0)
+    entries = rows.select(*objects, *given, last.alias("__order"), F.explode_outer("configs").alias("__config", "__entry"))
+    each = entries.groupBy(*objects, "__config").agg(F.max_by("__entry", "__order").alias("__entry"), *(F.max_by(c, "__order").alias(c) for c in given), F.max("__order").alias("__order"))
+    named = F.collect_list(F.when(F.col("__config").isNotNull(), F.struct("__config", "__entry")))  # the configs of one object
+    new = each.groupBy(*objects).agg(F.map_from_entries(named).alias("configs"), *(F.max_by(c, "__order").alias(c) for c in given))
+    a, b = items.alias("a"), new.alias("b")
     same = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.key") == F.col("b.key")) & F.col("a.version_id").eqNullSafe(F.col("b.version_id"))
-    old, new = F.col("a.configs"), F.col("b.configs")
-    kept = F.map_filter(old, lambda k, _: ~F.array_contains(F.map_keys(F.coalesce(new, F.create_map().cast("map<string,boolean>"))), k))
-    configs = F.when(old.isNull(), new).when(new.isNull(), old).otherwise(F.map_concat(kept, new))
-    return a.join(b, same, "full_outer").select(
-        *(F.coalesce(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(c) for c in ("bucket", "key")),
-        F.coalesce("a.version_id", "b.version_id").alias("version_id"),
-        configs.alias("configs"),
-        F.coalesce("a.state", F.lit("PENDING")).alias("state"),
-    )
+    mine, theirs = F.col("a.configs"), F.col("b.configs")
+    kept = F.map_filter(mine, lambda k, _: ~F.map_contains_key(theirs, k))
+    configs = F.when(F.col("a.bucket").isNull(), theirs).when(theirs.isNull(), mine).when(mine.isNull(), theirs).otherwise(F.map_concat(kept, theirs))
+    known = F.col("a.bucket").isNotNull()
+
+    def column(c: str) -> Column:
+        if c in objects:
+            return F.coalesce(f"a.{c}", f"b.{c}")
+        if c == "configs":
+            return configs
+        if c == "state":
+            return F.when(known, F.col("a.state")).otherwise("PENDING")
+        return F.when(known, F.col(f"a.`{c}`")).otherwise(F.col(f"b.`{c}`")) if c in given else F.col(f"a.`{c}`")
+
+    return a.join(b, same, "full_outer").select(*(column(c).alias(c) for c in items.columns))
 
 
 def check_candidates(items: DataFrame, batch: int) -> DataFrame:

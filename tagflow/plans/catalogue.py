@@ -7,6 +7,7 @@ uses a digest.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -20,9 +21,13 @@ from tagflow.operators import reports as P
 from tagflow.operators import rules as R
 from tagflow.operators import state as S
 from tagflow.operators import tracking as T
+from tagflow.plans.tracking import ITEMS
 from tagflow.sources import codecs as D
+from tagflow.sources.items import ItemTable
 from tagflow.sources.journal import from_events
 from tagflow.sources.reports import parsed as parsed_report
+from tagflow.sources.scratch import shared_folder
+from tagflow.sources.sinks import StateStore
 
 SINCE, UNTIL, MARK = datetime(2024, 1, 5), datetime(2024, 1, 25), datetime(2024, 1, 15)
 DAY = 86400
@@ -405,6 +410,23 @@ def tracked_upsert(spark, sf):
     return S.upsert(old, new).select("bucket", "key", "version_id", F.array_join(F.array_sort(F.map_keys("configs")), ",").alias("configs"))
 
 
+@query(TRACK + """, n AS (SELECT *, starts_with(key, 'u/1') AS old, NOT starts_with(key, 'u/10') AS fresh FROM mf) SELECT bucket, key, version_id, CASE WHEN old AND fresh THEN 'a:1,b:3' WHEN old THEN 'a:1' ELSE 'b:3' END AS configs, 'PENDING' AS state,
+ CASE WHEN old THEN tagged_at ELSE tagged_at + INTERVAL 1 HOUR END AS tagged_at, CASE WHEN old THEN rules ELSE 'late' END AS rules FROM n WHERE old OR fresh""")
+def tracked_merge(spark, sf):
+    """Reports merged into stored objects: job a, then job b whose report has two rows for each object, then job b once more."""
+    job = lambda j, n: F.create_map(F.lit(j), F.struct(F.lit(n).alias("job_id"), F.col("tagged_at").alias("manifest_at"), F.lit(True).alias("confirmed")))
+    m = manifest(spark, sf).select("bucket", "key", "version_id", "tagged_at", "rules", "destinations")
+    a = m.where(F.col("key").startswith("u/1")).select(F.lit("1").alias("job_id"), F.lit(0).alias("position"), "*", job("a", "1").alias("configs"))
+    later = m.where(~F.col("key").startswith("u/10")).withColumns({"tagged_at": F.col("tagged_at") + F.expr("INTERVAL 1 HOUR"), "rules": F.array(F.lit("late"))})
+    b = later.select(F.lit("b").alias("job_id"), F.lit(1).alias("position"), "*", job("b", "2").alias("configs")).unionByName(later.select(F.lit("b").alias("job_id"), F.lit(2).alias("position"), "*", job("b", "3").alias("configs")))
+    folder = f"{shared_folder(spark)}/items-{uuid.uuid4()}"
+    held = ItemTable(spark, StateStore(spark, f"{folder}/state"), folder, ITEMS, 8)
+    for rows in (a, b, b):
+        held.merge(rows, "position")
+    told = F.array_join(F.array_sort(F.transform(F.map_entries("configs"), lambda e: F.concat(e["key"], F.lit(":"), e["value"]["job_id"]))), ",")
+    return held.items().select("bucket", "key", "version_id", told.alias("configs"), "state", "tagged_at", F.concat_ws(",", "rules").alias("rules"))
+
+
 @query(TRACK + "SELECT bucket, key, version_id, tagged_at FROM items WHERE state = 'PENDING' AND confirmed ORDER BY tagged_at, bucket, key LIMIT 20")
 def check_candidates(spark, sf):
     return S.check_candidates(tracked(spark, sf), 20).select("bucket", "key", "version_id", "tagged_at")
@@ -533,6 +555,21 @@ def report_chunks(spark, sf):
     return S.chunked_groups(sized, ["rules", "destinations"], 60).select("chunk", "bucket", "rules", "items", "size")
 
 
+@query(TRACK + """, g AS (SELECT bucket, rules, count(*) AS n, min(key || '|' || coalesce(version_id, '')) AS first, strftime(min(tagged_at), '%Y-%m-%dT%H:%M:%S.%f+00:00') AS lo FROM rec GROUP BY bucket, rules, destinations)
+SELECT bucket, 0::BIGINT AS chunk, sum(n)::BIGINT AS item_count, 2 AS format_version, 7::BIGINT AS outstanding, string_agg(rules || ':' || CAST(n AS VARCHAR), ';' ORDER BY first) AS groups, min(lo) AS earliest,
+ (SELECT string_agg(o || ':' || CAST(k AS VARCHAR), ',' ORDER BY o) FROM (SELECT coalesce(outcome, 'null') AS o, count(*) AS k FROM rec WHERE rec.bucket = g.bucket GROUP BY 1)) AS outcome_counts, 'S3' AS kind FROM g GROUP BY bucket""")
+def completion_report(spark, sf):
+    """Report documents of all buckets, read back from their JSON text."""
+    items = reconciled(spark, sf).withColumn("last_modified", F.lit(None).cast("timestamp_ntz"))
+    left = items.select("bucket", F.lit(7).alias("outstanding")).distinct()
+    d = P.completion_documents(items, left).withColumn("d", F.from_json("document", P.DOCUMENT))
+    groups = F.array_join(F.transform("d.groups", lambda g: F.concat(F.array_join(g["matched_rules"], ","), F.lit(":"), g["count"].cast("string"))), ";")
+    counts = F.array_join(F.array_sort(F.transform(F.map_entries("d.outcome_counts"), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string")))), ",")
+    earliest = F.array_min(F.transform("d.groups", lambda g: g["tagged_at_range"][0]))
+    kind = F.when(F.contains("d.summary", F.lit("7 objects remain in tracking.")) & ~F.contains("document", F.lit("last_modified_range")), "S3")
+    return d.select("bucket", "chunk", "d.item_count", "d.format_version", "d.outstanding", groups.alias("groups"), earliest.alias("earliest"), counts.alias("outcome_counts"), kind.alias("kind"))
+
+
 ACTIVE = "SELECT d.bucket, count(*) AS ops_read, (SELECT count(*) FROM m WHERE m.bucket = d.bucket) AS matched, (SELECT count(*) FROM kept WHERE kept.bucket = d.bucket) AS submitted, count(CASE WHEN storage_class IN ('GLACIER', 'DEEP_ARCHIVE') THEN 1 END) AS archived FROM d GROUP BY d.bucket"
 
 
@@ -643,6 +680,17 @@ def checkpoint_decode(spark, sf):
     return both.select("bucket", "problem", "watermark", F.coalesce("lease_discarded", F.lit(False)).alias("lease_discarded"), F.col("lease.lease_id").alias("lease_id"), "ids")
 
 
+@query(STORED + """SELECT job_id, CASE job_id % 5 WHEN 0 THEN '{"last_processed_watermark": "' || mark || '" , "n": 1.0, "deep": {"last_processed_watermark": "x", "lease": 1}, "lease": null}'
+ WHEN 1 THEN '{ "other" : [1, {"lease": 2}], "last_processed_watermark": "' || mark || '", "lease": null }' WHEN 2 THEN '{"last_processed_watermark":"' || mark || '", "lease": null}'
+ WHEN 4 THEN '{"last_processed_watermark": "' || mark || '", "lease": null}' END AS document FROM q""")
+def document_overlay(spark, sf):
+    """A checkpoint laid over stored documents: namesakes further down stay, absent members are added, a broken text is lost."""
+    k = F.col("o_orderkey") % 5
+    text = F.when(k == 0, '{"last_processed_watermark": "old" , "n": 1.0, "deep": {"last_processed_watermark": "x", "lease": 1}}').when(k == 1, '{ "other" : [1, {"lease": 2}] }').when(k == 3, '{"lease": ').when(k == 4, "{}")
+    members = D.checkpoint_members(C.watermark(F.col("o_orderdate")), F.lit(None).cast(D.LEASE))
+    return spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("job_id"), D.overlaid(text, members).alias("document"))
+
+
 @query("SELECT bucket, lid_hex, watermark, pos FROM (SELECT bucket, lid AS lid_hex, record_timestamp AS watermark, row_number() OVER (PARTITION BY bucket ORDER BY record_timestamp, lid) AS pos FROM d)")
 def window_refs_order(spark, sf):
     """Processed references of each bucket in the order in which they are stored: by time, then by id."""
@@ -729,10 +777,12 @@ def enabled_buckets(spark, sf):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    import tagflow.plans.streams  # noqa: F401 - registers its queries
     from tagflow.streaming.journal import stream_dedup_within_watermark
 
     return QUERIES | {"stream_dedup_within_watermark": stream_dedup_within_watermark}
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)

@@ -6,11 +6,16 @@ written make a document unusable, an untrusted lease alone is dropped, and parts
 
 from __future__ import annotations
 
+import json
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagflow.functions.columns import is_plausible
 
+# The members of stored documents.
 LEASE = "struct<lease_id:string,candidate_max_watermark:string,acquired_at:string,status:string>"
 WINDOW = "array<struct<logical_operation_id:string,watermark:string>>"
 SUBMISSION = "struct<replication_config_id:string,source_bucket:string,job_id:string,manifest_key:string,submitted_at:string,status:string,watermark_low:string,watermark_high:string,consecutive_failures:int,report_diagnosed:boolean>"
@@ -70,9 +75,80 @@ def encoded(states: DataFrame) -> DataFrame:
     return states.where("problem IS NULL").select("bucket", F.to_json(F.struct(*members)).alias("document"))
 
 
-def overlaid(document: Column, watermark: Column) -> Column:
-    """A stored document with another mark; all other members, known or not, stay as they are."""
-    return F.regexp_replace(document, F.lit(r'("last_processed_watermark"\s*:\s*)"[^"]*"'), F.concat(F.lit('$1"'), watermark, F.lit('"')))
+def _members(text: str) -> list[tuple[str, int, int]]:
+    """Names and places of the values of an object's own members; ValueError where the text is no object."""
+    blank, value = re.compile(r"[ \t\n\r]*"), json.JSONDecoder()
+
+    def after(at: int) -> int:
+        return blank.match(text, at).end()
+
+    at, found = after(0), []
+    if text[at : at + 1] != "{":
+        raise ValueError("no object")
+    at = after(at + 1)
+    while text[at : at + 1] != "}":
+        name, at = value.raw_decode(text, at)
+        at = after(at)
+        if not isinstance(name, str) or text[at : at + 1] != ":":
+            raise ValueError("no member")
+        begin = after(at + 1)
+        _, end = value.raw_decode(text, begin)
+        found.append((name, begin, end))
+        at = after(end)
+        if text[at : at + 1] == ",":
+            at = after(at + 1)
+        elif text[at : at + 1] != "}":
+            raise ValueError("no end")
+    if after(at + 1) != len(text):
+        raise ValueError("more than an object")
+    return found
+
+
+def _merged(text: str | None, patch: str | None) -> str | None:
+    """`text` with the members of `patch`; every other byte of it stays."""
+    if patch is None:
+        return text
+    if text is None:
+        return patch
+    try:
+        have, fresh = _members(text), {n: patch[b:e] for n, b, e in _members(patch)}
+    except (ValueError, RecursionError):
+        return None
+    out, at = [], 0
+    for name, begin, end in have:
+        if name in fresh:
+            out += [text[at:begin], fresh[name]]
+            at = end
+    names = {n for n, _, _ in have}
+    more = [f"{json.dumps(n)}: {v}" for n, v in fresh.items() if n not in names]
+    if more:
+        close = text.rindex("}")
+        head = text[at:close].rstrip(" \t\n\r")
+        tail = text[at:close][len(head) :]
+        out += [head, ", " if have else "", ", ".join(more), tail, text[close:]]
+    else:
+        out.append(text[at:])
+    return "".join(out)
+
+
+def overlaid(document: Column, members: Column) -> Column:
+    """A stored document with the members of another JSON object (text): those it has get their new value, others are added.
+
+    Only members of the object itself are meant, not namesakes further down; all that is not replaced stays as it is, byte
+    for byte. No document: the members alone; a text that is no object: null, as nothing can be kept of it.
+    """
+
+    @F.pandas_udf("string")
+    def merge(text: pd.Series, patch: pd.Series) -> pd.Series:
+        return pd.Series([_merged(t if isinstance(t, str) else None, p if isinstance(p, str) else None) for t, p in zip(text, patch, strict=True)], dtype=object)
+
+    return merge(document, members)
+
+
+def checkpoint_members(watermark: Column, lease: Column) -> Column:
+    """The members that a checkpoint owns, as JSON text; no lease is a null that is written."""
+    plain = F.to_json(F.struct(watermark.alias("last_processed_watermark")))
+    return F.concat(F.substr(plain, F.lit(1), F.length(plain) - 1), F.lit(', "lease": '), F.coalesce(F.to_json(lease), F.lit("null")), F.lit("}"))
 
 
 def state_file(bucket: Column) -> Column:

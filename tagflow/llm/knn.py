@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagflow.llm.common import parts, written
-from tagflow.llm.vectors import finite, stacked, usual_length
+from tagflow.llm.vectors import finite, stacked, lengths
 
 #: Cells at most, and vectors of the sample that the pivots are fitted on.
 PIVOTS, SAMPLE = 64, 8192
@@ -130,6 +130,19 @@ def _of_group(values: list[int]) -> Column:
     return F.element_at(F.array(*(F.lit(int(v)) for v in values)), F.col("grp") + 1)
 
 
+#: Products of norms below this give sums that doubles hold exactly.
+EXACT = 2.0**53
+
+
+def exact(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Integer inner products of the pairs (i, j); one that is no long is an error."""
+    a, b = [[int(v) for v in row] for row in q], {k: [int(v) for v in x[k]] for k in set(j.tolist())}
+    out = [sum(map(int.__mul__, a[m], b[n])) for m, n in zip(i.tolist(), j.tolist(), strict=True)]
+    if any(not -(1 << 63) < v < 1 << 63 for v in out):
+        raise OverflowError("a score is beyond a long")
+    return np.array(out, np.int64)
+
+
 def solved(asks: DataFrame, data: DataFrame, shares: list[int], blocks: list[int], k: int) -> DataFrame:
     """ask, vec_id, n, score: of each block of the query's group the k best rows that reach the query's bound `low`.
 
@@ -147,16 +160,21 @@ def solved(asks: DataFrame, data: DataFrame, shares: list[int], blocks: list[int
             step = max(1, SCORES // len(ids))
             for s in range(0, len(ask), step):
                 part = ask.iloc[s : s + step]
-                score = stacked(part["vector"]) @ x.T
+                q = stacked(part["vector"])
+                score = q @ x.T
+                # what a score may be off by, nothing where all sums are integers that doubles hold
+                norm = np.sqrt((q * q).sum(1)) * np.sqrt((x * x).sum(1).max())
+                off = np.where(norm < EXACT, 0.0, norm * (q.shape[1] + 2) * 2.0**-52)
                 score[part["vec_id"].to_numpy(np.int64)[:, None] == ids[None, :]] = -np.inf
                 take = min(k, len(ids))
                 cut = np.maximum(-np.partition(-score, take - 1, axis=1)[:, take - 1], part["low"].to_numpy(float))
-                i, j = np.nonzero((score >= cut[:, None]) & (score > -np.inf))
-                order = np.lexsort((j, -score[i, j], i))
-                i, j = i[order], j[order]
+                i, j = np.nonzero((score >= (cut - 4 * off)[:, None]) & (score > -np.inf))
+                value = exact(q, x, i, j) if off.any() else score[i, j].astype(np.int64)
+                order = np.lexsort((j, -value, i))
+                i, j, value = i[order], j[order], value[order]
                 keep = np.arange(len(i)) - np.searchsorted(i, i) < k
-                i, j = i[keep], j[keep]
-                out.append(pd.DataFrame({"ask": part["ask"].to_numpy(np.int64)[i], "vec_id": ids[j], "n": many[j], "score": score[i, j].astype(np.int64)}))
+                i, j, value = i[keep], j[keep], value[keep]
+                out.append(pd.DataFrame({"ask": part["ask"].to_numpy(np.int64)[i], "vec_id": ids[j], "n": many[j], "score": value}))
         return pd.concat(out)
 
     keys = ("grp", "share", "block")
@@ -174,17 +192,29 @@ def top_scores(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     """query_id, rank, vec_id, score: the k highest integer inner products of every query.
 
     Queries are the rows whose vec_id is divisible by `every`; candidates are all rows with another
-    vec_id. Components are floor(64 x). Ties go to the smaller vec_id. Null ids, null, empty and
-    non-finite vectors and vectors of another than the most common length take no part. Repeated rows
-    are candidates of their own; a query that is there twice is answered twice. An empty table gives no
+    vec_id and a vector of the same length (there is no product of others). Components are floor(64 x); scores are exact, and
+    one beyond a long is an error. Ties go to the smaller vec_id. Null ids, null, empty and non-finite vectors take no part.
+    Repeated rows are candidates of their own; a query that is there twice is answered twice. An empty table gives no
     rows; extra columns are ignored. Of equal vectors only the k + 1 smallest ids are candidates: the
     others cannot be among the k best of any query.
     """
-    spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("embedding"))
     fit = rows.where(finite(rows, "embedding")).where("vec_id IS NOT NULL")
-    size = usual_length(fit, "embedding")
-    whole = fit.where(F.size("embedding") == size).select("vec_id", F.transform("embedding", lambda x: F.floor(x * SCALE).cast("double")).alias("vector"))
+    out = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    for size in lengths(fit, "embedding"):
+        out = out.unionByName(_of_length(fit.where(F.size("embedding") == size), k, every))
+    return out
+
+
+def _whole(x: Column) -> Column:
+    """The floor as a double; from 2^52 on every double is whole."""
+    return F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x)
+
+
+def _of_length(fit: DataFrame, k: int, every: int) -> DataFrame:
+    """`top_scores` of vectors of one length."""
+    spark = fit.sparkSession
+    whole = fit.select("vec_id", F.transform("embedding", lambda x: _whole(x * SCALE)).alias("vector"))
     each = written(whole.groupBy("vec_id", "vector").agg(F.count("*").alias("m")))
     same = Window.partitionBy("vector").orderBy("vec_id")
     data = written(each.withColumn("r", F.row_number().over(same)).where(F.col("r") <= k + 1).select("vec_id", "vector", F.least("m", F.lit(k)).cast("int").alias("n"), "r"))

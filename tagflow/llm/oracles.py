@@ -42,3 +42,7 @@ hit AS (SELECT doc_id, list(i) AS places FROM s JOIN m ON m.seq = s.seq WHERE lo
 gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k FROM (SELECT doc_id, unnest(places) AS i FROM hit)),
 kept AS (SELECT x.doc_id, count(gone.k) AS n_removed, string_agg(CASE WHEN gone.k IS NULL THEN word END, ' ' ORDER BY x.k) AS rest FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM w) x LEFT JOIN gone ON gone.doc_id = x.doc_id AND gone.k = x.k GROUP BY x.doc_id)
 SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256 FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id"""
+
+TOP_SCORES = """WITH v AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(64 * x)) AS e FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
+ SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 20 = 0)) WHERE rank <= 20"""

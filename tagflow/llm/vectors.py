@@ -19,7 +19,6 @@ def stacked(column: pd.Series) -> np.ndarray:
     return np.array([np.asarray(x, np.float64) for x in column])
 
 
-def usual_length(df: DataFrame, vector: str) -> int:
-    """The most common length (the smaller of a tie); vectors of another length take no part."""
-    row = df.groupBy(F.size(vector).alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return int(row["n"]) if row else 0
+def lengths(df: DataFrame, vector: str) -> list[int]:
+    """The lengths that vectors have (one number each reaches the driver)."""
+    return sorted(r["n"] for r in df.select(F.size(vector).alias("n")).distinct().collect())

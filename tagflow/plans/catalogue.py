@@ -21,6 +21,7 @@ from tagflow.operators import reports as P
 from tagflow.operators import rules as R
 from tagflow.operators import state as S
 from tagflow.operators import tracking as T
+from tagflow.operators.retention import doomed
 from tagflow.plans.tracking import ITEMS
 from tagflow.sources import codecs as D
 from tagflow.sources.items import ItemTable
@@ -776,6 +777,15 @@ def enabled_buckets(spark, sf):
     return T.enabled(c, flags)
 
 
+@query("WITH f AS (SELECT o_orderkey AS k, 'run-' || CAST(o_orderkey AS VARCHAR) AS run, o_orderdate AS modified FROM orders) SELECT run, modified FROM f WHERE modified < TIMESTAMP '1996-12-25' AND k % 7 <> 0 AND k % 11 <> 0")
+def doomed_runs(spark, sf):
+    """Run folders older than a week that neither a window nor a part of the items is in; paths elsewhere hold nothing."""
+    o = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("k"), F.concat(F.lit("run-"), F.col("o_orderkey").cast("string")).alias("run"), F.col("o_orderdate").alias("modified"))
+    path = lambda root, tail: F.concat(F.lit(root), F.col("run"), F.lit(tail)).alias("path")
+    named = o.where("k % 7 = 0").select(path("/lake/runs/", "/window")).unionByName(o.where("k % 11 = 0").select(path("/lake/runs/", "/items/part=3"))).unionByName(o.select(path("/lake/others/", "/window")))
+    return doomed(o, named, "/lake/runs", ntz(datetime(1997, 1, 1)), 7 * DAY).select("run", "modified")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import tagflow.plans.streams  # noqa: F401 - registers its queries
     from tagflow.streaming.journal import stream_dedup_within_watermark

@@ -6,11 +6,14 @@ import hashlib
 import json
 import uuid
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagflow.operators.retention import doomed
+
 
 class StateConflict(RuntimeError):
     """The state was changed by another writer, or is there already."""
@@ -31,6 +34,13 @@ class Files:
     def names(self) -> list[str]:
         return [x.getPath().getName() for x in self.fs.listStatus(self._path(""))]
 
+    def folders(self) -> list[tuple[str, int]]:
+        """Names of the folders here, and when each was changed last (milliseconds)."""
+        return [(x.getPath().getName(), x.getModificationTime()) for x in self.fs.listStatus(self._path("")) if x.isDirectory()]
+
+    def remove(self, name: str) -> None:
+        self.fs.delete(self._path(name), True)
+
     def read(self, name: str) -> str:
         stream = self.fs.open(self._path(name))
         try:
@@ -99,6 +109,31 @@ class StateStore:
         raise StateConflict(name)
 
 
+def _texts(value: object) -> list[str]:
+    """All texts of a document, however deep."""
+    if isinstance(value, str):
+        return [value]
+    inner = value.values() if isinstance(value, dict) else value if isinstance(value, list) else []
+    return [t for x in inner for t in _texts(x)]
+
+
+def swept(spark: SparkSession, root: str, stores: list[tuple[StateStore, str]], now: datetime, grace_s: int, keep: tuple[str, ...] = ()) -> list[str]:
+    """Delete the run folders under `root` that no current document of the stores names and that are older than the grace.
+
+    `now` is in UTC. Documents are read after the folders are listed, so a folder that a run commits meanwhile is seen as named or is
+    within the grace. One row a run folder reaches the driver. Folders in `keep` (state itself) stay.
+    """
+    files = Files(spark, root)
+    listed = [(n, datetime.fromtimestamp(t / 1000, UTC).replace(tzinfo=None)) for n, t in files.folders() if n not in keep]
+    named = [(t,) for store, name in stores for t in _texts(store.read(name)[0])]
+    folders = spark.createDataFrame(listed, "run string, modified timestamp_ntz")
+    references = spark.createDataFrame(named, "path string")
+    gone = [r.run for r in doomed(folders, references, root, F.lit(now.isoformat(" ")).cast("timestamp_ntz"), grace_s).select("run").collect()]
+    for name in gone:
+        files.remove(name)
+    return sorted(gone)
+
+
 FORMAT = {"version": "2016-11-30", "fileFormat": "CSV", "fileSchema": "Bucket, Key, VersionId"}
 
 

@@ -689,7 +689,7 @@ def document_overlay(spark, sf):
     k = F.col("o_orderkey") % 5
     text = F.when(k == 0, '{"last_processed_watermark": "old" , "n": 1.0, "deep": {"last_processed_watermark": "x", "lease": 1}}').when(k == 1, '{ "other" : [1, {"lease": 2}] }').when(k == 3, '{"lease": ').when(k == 4, "{}")
     members = D.checkpoint_members(C.watermark(F.col("o_orderdate")), F.lit(None).cast(D.LEASE))
-    return spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("job_id"), D.overlaid(text, members).alias("document"))
+    return spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("job_id"), D.with_members(text, members).alias("document"))
 
 
 @query("SELECT bucket, lid_hex, watermark, pos FROM (SELECT bucket, lid AS lid_hex, record_timestamp AS watermark, row_number() OVER (PARTITION BY bucket ORDER BY record_timestamp, lid) AS pos FROM d)")

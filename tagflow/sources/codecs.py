@@ -131,7 +131,7 @@ def _merged(text: str | None, patch: str | None) -> str | None:
     return "".join(out)
 
 
-def overlaid(document: Column, members: Column) -> Column:
+def with_members(document: Column, members: Column) -> Column:
     """A stored document with the members of another JSON object (text): those it has get their new value, others are added.
 
     Only members of the object itself are meant, not namesakes further down; all that is not replaced stays as it is, byte
@@ -145,6 +145,11 @@ def overlaid(document: Column, members: Column) -> Column:
     return merge(document, members)
 
 
+def overlaid(document: Column, watermark: Column) -> Column:
+    """A stored document with another mark; all other members, known or not, stay as they are."""
+    return with_members(document, F.to_json(F.struct(watermark.alias("last_processed_watermark"))))
+
+
 def checkpoint_members(watermark: Column, lease: Column) -> Column:
     """The members that a checkpoint owns, as JSON text; no lease is a null that is written."""
     plain = F.to_json(F.struct(watermark.alias("last_processed_watermark")))

@@ -102,5 +102,5 @@ def test_overlay_keeps_every_other_byte(spark):
         None: patch,
     }
     df = spark.createDataFrame([(k,) for k in cases], "document string")
-    got = {r.document: r.out for r in df.select("document", D.overlaid(F.col("document"), F.lit(patch)).alias("out")).collect()}
+    got = {r.document: r.out for r in df.select("document", D.with_members(F.col("document"), F.lit(patch)).alias("out")).collect()}
     assert got == cases

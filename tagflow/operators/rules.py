@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagflow.sources.scratch import written
+
 SCHEMA = "bucket string, config_id string, rule_id string, tag_filter map<string,string>, destination_arn string, key_prefix string"
 _PAIR = "struct<Key:string,Value:string>"
 DOCUMENT = f"Rules array<struct<ID:string,Status:string,Filter:struct<Tag:{_PAIR},Prefix:string,And:struct<Prefix:string,Tags:array<{_PAIR}>,Tag:{_PAIR}>>,Destination:struct<Bucket:string>>>"
@@ -14,6 +16,13 @@ DOCUMENT = f"Rules array<struct<ID:string,Status:string,Filter:struct<Tag:{_PAIR
 BROADCAST_RULES = 1_000
 #: Rules that one literal condition may hold.
 PREDICATE_RULES = 1_000
+#: Lengths of prefixes that are indexed in a bucket; a longer prefix is found by the longest of them that it has.
+LENGTHS = 16
+#: Longest prefix that is indexed (rules with longer ones are found by other terms).
+LONGEST = 1024
+#: Operations with one term that one task reads, and terms that may have more of them than that.
+SALT_ROWS, HEAVY_TERMS = 1 << 20, 10_000
+TERM = ["bucket", "kind", "k", "v"]
 
 
 def derive(documents: DataFrame, enabled_only: bool = False) -> DataFrame:
@@ -60,19 +69,19 @@ def _small(rules: DataFrame) -> bool:
 
 
 def _holds() -> Column:
-    """The operation has the rule's tags (a missing tag is a null one) and its key the rule's prefix."""
+    """The operation has the rule's tags (a missing tag is a null one) and its key the rule's prefix; unknown tags (null) match nothing."""
     tags = F.forall(F.map_entries("tag_filter"), lambda e: F.element_at("object_tags", e["key"]).eqNullSafe(e["value"]))
-    return tags & (F.col("key_prefix").isNull() | F.startswith(F.col("key"), F.col("key_prefix")))
+    return F.col("object_tags").isNotNull() & tags & (F.col("key_prefix").isNull() | F.startswith(F.col("key"), F.col("key_prefix")))
 
 
 def match(ops: DataFrame, rules: DataFrame) -> DataFrame:
     """Operations with every rule of their bucket whose tags they hold and whose prefix their key has.
 
     A rule that is listed twice matches twice, one without tags whatever has its prefix. Few rules are
-    broadcast, many are joined by their tags; both give the same rows.
+    broadcast, many are joined by their rarest term; both give the same rows.
     """
     if not _small(rules):
-        return match_by_tags(ops, rules)
+        return match_by_index(ops, rules)
     r = rules.withColumnRenamed("bucket", "rule_bucket")
     return ops.join(F.broadcast(r), (ops["bucket"] == r["rule_bucket"]) & _holds()).drop("rule_bucket")
 
@@ -99,6 +108,86 @@ def match_by_tags(ops: DataFrame, rules: DataFrame) -> DataFrame:
     return out.unionByName(other)
 
 
+def _terms(tags: Column, prefixes: Column) -> Column:
+    """Terms (kind, k, v): single tags, beginnings of the key, and the one that all of a bucket have."""
+    term = lambda kind, k, v: F.struct(F.lit(kind).alias("kind"), k.alias("k"), v.alias("v"))
+    tagged = F.transform(F.map_entries(F.map_filter(tags, lambda _, v: v.isNotNull())), lambda e: term("tag", e["key"], e["value"]))
+    begun = F.transform(prefixes, lambda p: term("prefix", F.lit(""), p))
+    none = F.slice(F.array(term("any", F.lit(""), F.lit(""))), 1, 0)
+    return F.concat(F.coalesce(tagged, none), F.coalesce(begun, none), F.array(term("any", F.lit(""), F.lit(""))))
+
+
+def _beside_lengths(rows: DataFrame, lengths: DataFrame) -> DataFrame:
+    # at most LENGTHS numbers for each bucket with rules
+    return rows.join(F.broadcast(lengths), rows["bucket"] == lengths["lb"], "left").drop("lb")
+
+
+def _indexed(rules: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct rules with `entries`, `copies` and `term` (a row for each term), and the prefix lengths of their buckets."""
+    # equal rules are one row with a number of copies: numbers given to rows would not survive a task that is run again
+    plain = [c for c in rules.columns if c != "tag_filter"]
+    distinct = rules.withColumn("entries", F.array_sort(F.map_entries("tag_filter"))).groupBy(*plain, "entries").agg(F.count("*").alias("copies"))
+    size = F.length("key_prefix")
+    sizes = rules.where((size > 0) & (size <= LONGEST)).groupBy(F.col("bucket").alias("lb")).agg(F.array_sort(F.collect_set(size)).alias("all"))
+    step = F.ceil(F.size("all") / LENGTHS)
+    lengths = sizes.select("lb", F.filter("all", lambda _, i: i % step == 0).alias("lengths"))
+    known = F.array_max(F.filter("lengths", lambda n: n <= size))
+    begun = F.when(known.isNotNull(), F.array(F.substring(F.col("key_prefix"), F.lit(1), known)))
+    rows = _beside_lengths(distinct, lengths).withColumn("tag_filter", F.map_from_entries("entries"))
+    return rows.select(*rules.columns, "entries", "copies", F.explode(_terms(F.col("tag_filter"), begun)).alias("term")).drop("lengths"), lengths
+
+
+def _terms_of(ops: DataFrame, lengths: DataFrame, *kept: str) -> DataFrame:
+    held = F.filter("lengths", lambda n: n <= F.length("key"))
+    begun = F.transform(held, lambda n: F.substring(F.col("key"), F.lit(1), n))
+    return _beside_lengths(ops, lengths).select(*kept, F.explode(_terms(F.col("object_tags"), begun)).alias("__term")).select(*kept, *(F.col(f"__term.{c}").alias(f"__{c}") for c in TERM[1:]))
+
+
+def candidates(ops: DataFrame, rules: DataFrame) -> DataFrame:
+    """Operations beside the rules whose rarest term they hold: every match is there once, for each copy of its rule.
+
+    A rule's terms are its tags, its prefix (cut to an indexed length) and its bucket; the rarest is that which the fewest operations hold, and
+    a rule with a term that no operation holds has no row. A term held by very many is dealt to salts.
+    """
+    indexed, lengths = _indexed(rules)
+    flat = indexed.select("*", *(F.col(f"term.{c}").alias(c) for c in TERM[1:])).drop("term")
+    asked = flat.select(F.col("bucket").alias("ab"), *(F.col(c).alias(f"a{c}") for c in TERM[1:])).distinct()
+    held = _terms_of(ops, lengths, "bucket")
+    same = [held["bucket"] == asked["ab"], *(held[f"__{c}"] == asked[f"a{c}"] for c in TERM[1:])]
+    counts = written(held.join(asked, same, "left_semi").groupBy(F.col("bucket").alias("cb"), *(F.col(f"__{c}").alias(f"c{c}") for c in TERM[1:])).agg(F.count("*").alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 0  # one number
+    plain = [c for c in rules.columns if c != "tag_filter"]
+    counted = flat.join(counts, [flat["bucket"] == counts["cb"], *(flat[c] == counts[f"c{c}"] for c in TERM[1:])], "left")
+    n = F.coalesce("n", F.lit(0))
+    rarest = F.min(F.struct(n.alias("n"), *TERM[1:]))
+    anchored = counted.groupBy(*plain, "entries", "copies").agg(rarest.alias("anchor")).where("anchor.n > 0")
+    # the terms with more than a share of all counted are at most HEAVY_TERMS
+    heavy = counts.where(F.col("n") > max(SALT_ROWS, total // HEAVY_TERMS)).withColumn("salts", F.ceil(F.col("n") / SALT_ROWS).cast("int")).drop("n")
+    salts = F.coalesce("salts", F.lit(1))
+
+    def salted(rows: DataFrame, bucket: str, at: dict[str, Column]) -> DataFrame:
+        return rows.join(F.broadcast(heavy), [F.col(bucket) == F.col("cb"), *(at[c] == F.col(f"c{c}") for c in TERM[1:])], "left").drop("cb", *(f"c{c}" for c in TERM[1:]))
+
+    side = salted(anchored, "bucket", {c: F.col(f"anchor.{c}") for c in TERM[1:]})
+    rule = F.struct(*(F.map_from_entries("entries").alias(c) if c == "tag_filter" else F.col(c) for c in rules.columns if c != "bucket"))
+    side = side.select(F.col("bucket").alias("rule_bucket"), *(F.col(f"anchor.{c}").alias(f"r{c}") for c in TERM[1:]), rule.alias("rule"), "copies", F.explode(F.sequence(F.lit(0), salts - 1)).alias("rule_salt"))
+    terms = salted(_terms_of(ops, lengths, *ops.columns), "bucket", {c: F.col(f"__{c}") for c in TERM[1:]})
+    terms = terms.withColumn("__salt", F.pmod(F.xxhash64("lid", "key"), salts).cast("int")).drop("salts")
+    on = [F.col("bucket") == F.col("rule_bucket"), F.col("__salt") == F.col("rule_salt"), *(F.col(f"__{c}") == F.col(f"r{c}") for c in TERM[1:])]
+    return terms.join(side, on).select(*ops.columns, "rule.*", "copies")
+
+
+def match_by_index(ops: DataFrame, rules: DataFrame) -> DataFrame:
+    """The same rows as `match` for any number of rules: each is tested only where its rarest term is held."""
+    met = candidates(ops, rules).where(_holds())
+    return met.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("__copy", "copies")
+
+
+def errors(ops: DataFrame) -> DataFrame:
+    """Operations whose tags are not known (null), with the reason: they match nothing and stop nothing; no tags at all is no error."""
+    return ops.where(F.col("object_tags").isNull()).select("bucket", "key", F.lit("indeterminate tags").alias("reason"))
+
+
 def skip_reports(buckets: DataFrame, documents: DataFrame, rules: DataFrame) -> DataFrame:
     """Buckets (bucket) that give no rules, with the reason.
 

@@ -222,18 +222,50 @@ def archived_counts(spark, sf):
 
 # ---------------------------------------------------------------- rules
 
-@query("SELECT rb AS bucket, rule_id, rt || coalesce(',' || rk, '') AS tag_values, prefix AS key_prefix FROM rules")
+KINDS = ["click", "view", "purchase", "signup", "error"]
+#: Rules of the documents that `documents` makes, by formula.
+RULES = f"""cfg AS (SELECT c_custkey AS c, 'lake-' || CAST(c_custkey % 3 AS VARCHAR) AS rb, 'cfg-' || CAST(c_custkey AS VARCHAR) AS config_id, 'r' || CAST(c_custkey AS VARCHAR) AS rule_id,
+ CASE WHEN c_custkey % 4 <> 1 THEN list_extract({KINDS}, c_custkey % 5 + 1) END AS rt, CASE WHEN c_custkey % 4 IN (1, 2) THEN CAST(c_custkey % 100 AS VARCHAR) END AS rk,
+ CASE c_custkey % 4 WHEN 1 THEN NULL WHEN 2 THEN 'u/' || CAST(c_custkey AS VARCHAR) ELSE 'u/' || CAST(c_custkey AS VARCHAR) || '/' END AS prefix FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey % 13 <> 0)"""
+
+
+def documents(spark, sf):
+    """Configuration documents by fixed formulas, one for each customer: filters of all shapes, repeated tags, disabled rules and rules without tags."""
+    c = F.col("c_custkey")
+    user, kind = c.cast("string"), F.element_at(F.array(*map(F.lit, KINDS)), (c % 5 + 1).cast("int"))
+    pair = lambda k, v: F.concat(F.lit(f'{{"Key": "{k}", "Value": "'), v, F.lit('"}'))
+    typed, number = pair("type", kind), pair("k", (c % 100).cast("string"))
+    shape = F.when(c % 4 == 0, F.concat(F.lit('{"And": {"Prefix": "u/'), user, F.lit('/", "Tags": ['), typed, F.lit("]}}")))
+    shape = shape.when(c % 4 == 1, F.concat(F.lit('{"Prefix": "", "Tag": '), number, F.lit("}")))
+    shape = shape.when(c % 4 == 2, F.concat(F.lit('{"And": {"Prefix": "u/'), user, F.lit('", "Tags": [{"Key": "k", "Value": "none"}, '), typed, F.lit(", "), number, F.lit("]}}")))
+    shape = shape.otherwise(F.concat(F.lit('{"And": {"Prefix": "u/'), user, F.lit('/", "Tag": '), typed, F.lit("}}")))
+    rule = F.concat(F.lit('{"ID": "r'), user, F.lit('", "Status": "'), F.when(c % 13 == 0, "Disabled").otherwise("Enabled"), F.lit('", "Destination": {"Bucket": "arn:aws:s3:::copy"}, "Filter": '), shape, F.lit("}, "))
+    text = F.concat(F.lit('{"Rules": ['), F.when(c % 11 == 0, "").otherwise(rule), F.lit('{"ID": "bare", "Status": "Enabled", "Filter": {"Prefix": "u/"}}]}'))
+    read = spark.read.parquet(f"{sf}/customer.parquet").select(c, F.concat(F.lit("lake-"), (c % 3).cast("string")).alias("bucket"), F.concat(F.lit("cfg-"), user).alias("config_id"), F.from_json(text, R.DOCUMENT).alias("d"))
+    return read.select("c_custkey", "bucket", "config_id", "d.Rules")
+
+
+def derived_rules(spark, sf):
+    return R.derive(documents(spark, sf), enabled_only=True)
+
+
+@query(f"WITH {RULES} SELECT rb AS bucket, config_id, rule_id, concat_ws(',', rt, rk) AS tag_values, prefix AS key_prefix FROM cfg")
 def rule_derivation(spark, sf):
-    pair = lambda k, v: {"Key": k, "Value": v}
-    doc = lambda i, f: {"ID": i, "Status": "Enabled", "Filter": f, "Destination": {"Bucket": "arn:aws:s3:::copy"}}
-    docs = [
-        ("lake-0", "c0", [doc("r1", {"And": {"Prefix": "u/1", "Tags": [pair("type", "click")]}}), doc("r4", {"Tag": pair("type", "click"), "Prefix": ""}), doc("none", {"Prefix": "u/"})]),
-        ("lake-1", "c1", [doc("r2", {"And": {"Tag": pair("type", "view")}})]),
-        ("lake-2", "c2", [doc("r3", {"And": {"Tags": [pair("k", "1"), pair("type", "purchase"), pair("k", "7")]}})]),
-    ]
-    derived = R.derive(spark.createDataFrame(docs, f"bucket string, config_id string, {R.DOCUMENT}"))
     tags = F.concat_ws(",", F.col("tag_filter")["type"], F.col("tag_filter")["k"])
-    return derived.select("bucket", "rule_id", tags.alias("tag_values"), "key_prefix")
+    return derived_rules(spark, sf).select("bucket", "config_id", "rule_id", tags.alias("tag_values"), "key_prefix")
+
+
+@query(f", {RULES} SELECT bucket, key, version_id, sequence_number, config_id, rule_id FROM a JOIN cfg ON bucket = rb AND (rt IS NULL OR type = rt) AND (rk IS NULL OR k = rk) AND (prefix IS NULL OR starts_with(key, prefix))")
+def rule_match_index(spark, sf):
+    """The live journal against the rules of every customer's document, each rule met by its rarest term."""
+    return R.match_by_index(live(spark, sf), derived_rules(spark, sf)).select("bucket", "key", "version_id", "sequence_number", "config_id", "rule_id")
+
+
+@query("SELECT bucket, key, count(*) AS n FROM u WHERE CAST(sequence_number AS BIGINT) % 17 = 0 GROUP BY bucket, key")
+def match_errors(spark, sf):
+    """Operations whose tags could not be read (every 17th here) as error rows, counted by object."""
+    unread = F.when(F.col("sequence_number").cast("long") % 17 != 0, F.col("object_tags"))
+    return R.errors(updates(spark, sf).withColumn("object_tags", unread)).groupBy("bucket", "key").agg(F.count("reason").alias("n"))
 
 
 @query("SELECT bucket, key, version_id, sequence_number, config_id, rule_id FROM m")
@@ -655,11 +687,16 @@ def tags_decode(spark, sf):
     return good.select("event_id", "error_reason", F.when(F.col("error_reason").isNull(), F.col("object_tags")["type"]).alias("type"))
 
 
-@query("""WITH b(bucket, reason) AS (VALUES ('lake-3', 'no rule with tags'), ('lake-4', 'no configuration'), ('lake-5', 'no permission to read the configuration'), ('lake-6', 'unreadable configuration'), ('lake-7', 'no configuration')) SELECT * FROM b""")
+@query("""WITH p AS (SELECT 'own-' || CAST(c_custkey AS VARCHAR) AS bucket, CASE WHEN c_custkey % 7 = 3 OR c_custkey % 19 = 0 THEN 'no configuration' WHEN c_custkey % 17 = 0 THEN 'no permission to read the configuration'
+ WHEN c_custkey % 23 = 0 THEN 'unreadable configuration' WHEN c_custkey % 11 = 0 OR c_custkey % 13 = 0 THEN 'no rule with tags' END AS reason FROM customer) SELECT * FROM p WHERE reason IS NOT NULL""")
 def rule_skips(spark, sf):
-    documents = [("lake-0", None), ("lake-1", None), ("lake-2", None), ("lake-3", None), ("lake-5", "denied"), ("lake-6", "timeout"), ("lake-7", "absent")]
-    buckets = spark.createDataFrame([(f"lake-{k}",) for k in range(8)], "bucket string")
-    return R.skip_reports(buckets, spark.createDataFrame(documents, "bucket string, error string"), R.inline_rules(spark))
+    """Every customer as a bucket of its own: some without a document, some whose document could not be read, some without rules."""
+    c = F.col("c_custkey")
+    own = documents(spark, sf).withColumn("bucket", F.concat(F.lit("own-"), c.cast("string")))
+    error = F.when(c % 19 == 0, "absent").when(c % 17 == 0, "denied").when(c % 23 == 0, "timeout")
+    there = own.where(c % 7 != 3)
+    read = there.withColumn("error", error)
+    return R.skip_reports(own, read.select("bucket", "error"), R.derive(read.where("error IS NULL"), enabled_only=True))
 
 
 STORED = """WITH q AS (SELECT o_orderkey AS job_id, 'lake-' || CAST(o_custkey % 3 AS VARCHAR) AS bucket, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000000Z') AS mark FROM orders) """

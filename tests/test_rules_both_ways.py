@@ -24,6 +24,8 @@ CASES = {
     "a rule without tags, and one with a prefix": [("b1", "c", "r", {}, "d", None), ("b1", "c", "s", {}, "d", "u/")],
     "a tag with a null value": [("b1", "c", "r", {"z": None}, "d", None), ("b1", "c", "s", {"q": "2", "z": None}, "d", None)],
     "null and empty destinations": [("b2", "c", "r", {"r": "3"}, None, None), ("b2", "c", "s", {"r": "3", "p": "1"}, "", None)],
+    "more prefix lengths than are indexed, keys shorter than them": [("b1", "c", f"r{n}", {}, "d", "u/1/x"[:n]) for n in range(1, 6)] + [("b1", "c", "long", {"p": "1"}, "d", "u/1/x" * 300)],
+    "an empty prefix": [("b1", "c", "r", {"p": "1"}, "d", ""), ("b1", "c", "s", {}, "d", "")],
     "no rules": [],
 }
 
@@ -33,8 +35,11 @@ def test_same_rows(spark, monkeypatch, name):
     ops, rules = spark.createDataFrame(ops_rows, OPS), spark.createDataFrame(CASES[name], R.SCHEMA)
     columns = ["lid", "config_id", "rule_id", "tag_filter", "destination_arn", "key_prefix"]
     rows = lambda df: Counter(str(tuple(r)) for r in df.select(*columns).collect())
+    monkeypatch.setattr(R, "LENGTHS", 2)
     few = rows(R.match(ops, rules))
     monkeypatch.setattr(R, "BROADCAST_RULES", -1)
+    assert rows(R.match(ops, rules)) == few == rows(R.match_by_tags(ops, rules))
+    monkeypatch.setattr(R, "SALT_ROWS", 1)
     assert rows(R.match(ops, rules)) == few
     want = Counter()
     for lid, bucket, key, tags in ops_rows:
@@ -54,3 +59,20 @@ def test_too_many_rules_for_one_condition_are_an_error(spark, monkeypatch):
     assert ops.where(R.predicate_of(rules.limit(3))).count() == 4
     with pytest.raises(ValueError, match="more than 3 rules"):
         R.predicate_of(rules)
+
+
+def test_the_index_tries_a_tenth_of_the_pairs(spark):
+    ops = spark.range(2000).selectExpr("cast(id as string) lid", "'b' bucket", "concat('u/', id % 500, '/x') key", "map('type', if(id % 2 = 0, 'a', 'b'), 'k', cast(id % 50 as string)) object_tags")
+    made = [("b", "c", f"r{k}", {"type": "a"} | ({"k": str(k % 50)} if k % 2 else {}), "d", None if k % 2 else f"u/{k}/") for k in range(300)]
+    rules = spark.createDataFrame([*made, ("b", "c", "never", {"type": "a", "none": "1"}, "d", None)], R.SCHEMA)
+    by_tags = ops.where("object_tags['type'] = 'a'").count() * len(made)
+    assert R.candidates(ops, rules).count() * 10 <= by_tags
+    rows = lambda df: sorted((r.lid, r.rule_id) for r in df.select("lid", "rule_id").collect())
+    assert rows(R.match_by_index(ops, rules)) == rows(R.match(ops, rules)) != []
+
+
+def test_unknown_tags_are_error_rows(spark):
+    ops = spark.createDataFrame([("a", "b", "k", None), ("c", "b", "l", {}), ("d", None, None, None)], OPS)
+    assert sorted(map(str, R.errors(ops).collect())) == sorted(map(str, spark.createDataFrame([("b", "k", "indeterminate tags"), (None, None, "indeterminate tags")], "bucket string, key string, reason string").collect()))
+    rules = spark.createDataFrame([("b", "c", "r", {}, "d", None)], R.SCHEMA)
+    assert [r.lid for r in R.match_by_index(ops, rules).collect()] == [r.lid for r in R.match(ops, rules).collect()] == ["c"]

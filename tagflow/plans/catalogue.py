@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tagflow.functions import columns as C
 from tagflow.operators import journal as J
 from tagflow.operators import manifest as M
+from tagflow.operators import preflight as B
 from tagflow.operators import reports as P
 from tagflow.operators import rules as R
 from tagflow.operators import state as S
@@ -289,6 +290,17 @@ def rule_predicate_count(spark, sf):
     return updates(spark, sf).where((F.col("bucket") == "lake-0") & condition).agg(F.countDistinct("key").alias("n"))
 
 
+@query("SELECT bucket, CAST(record_timestamp AS DATE) AS day, count(DISTINCT key) > 70 AS over_limit FROM u GROUP BY ALL")
+def preflight_over_limit(spark, sf):
+    """Whether a bucket's day holds more than 70 keys: sketches by hour decide, keys are counted where they cannot."""
+    return B.over_limit(updates(spark, sf), 70).select("bucket", F.to_date("period").alias("day"), "over_limit")
+
+
+@query("SELECT bucket, count(DISTINCT key) AS matches FROM u JOIN rules ON bucket = rb AND type = rt AND (rk IS NULL OR k = rk) AND (prefix IS NULL OR starts_with(key, prefix)) GROUP BY bucket")
+def preflight_matches(spark, sf):
+    return B.matched_keys(updates(spark, sf), R.inline_rules(spark))
+
+
 # ---------------------------------------------------------------- manifest
 
 @query("SELECT bucket, key, rules FROM mf")

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tagflow.operators import journal as J
 from tagflow.operators import manifest as M
+from tagflow.operators import preflight as B
 from tagflow.operators import rules as R
 from tagflow.operators import state as S
 from tagflow.operators.settings import Settings, should_continue
@@ -36,14 +37,19 @@ Submit = Callable[[str, dict, str], str]
 
 @dataclass
 class Outcome:
-    """What a run did, per bucket: manifest rows, answers of the submissions, new marks, and errors of buckets that failed."""
+    """What a run did, per bucket: manifest rows, answers of the submissions, new marks, matched keys counted, and errors of buckets that failed.
+
+    `overshoot` is the number of rows read above the cap, because rows of one time stay together.
+    """
 
     manifests: dict[str, dict] = field(default_factory=dict)
     answers: dict[str, str] = field(default_factory=dict)
     marks: dict[str, datetime | None] = field(default_factory=dict)
     disabled: list[str] = field(default_factory=list)
     errors: dict[str, str] = field(default_factory=dict)
+    scans: dict[str, int] = field(default_factory=dict)
     capped: bool = False
+    overshoot: int = 0
 
     @property
     def progressed(self) -> bool:
@@ -51,10 +57,11 @@ class Outcome:
 
     def add(self, other: Outcome) -> None:
         """Take in what a run of other buckets did."""
-        for name in ("manifests", "answers", "marks", "errors"):
+        for name in ("manifests", "answers", "marks", "errors", "scans"):
             getattr(self, name).update(getattr(other, name))
         self.disabled = sorted({*self.disabled, *other.disabled})
         self.capped |= other.capped
+        self.overshoot += other.overshoot
 
 
 def _time(text: str | None) -> datetime | None:
@@ -96,27 +103,49 @@ def seed(store: StateStore, buckets: list[str], start: datetime) -> None:
         store.write(STATE, document, version)
 
 
+#: Statuses of jobs that have ended.
+ENDED = ("Complete", "Failed", "Cancelled")
+
+
+def outcomes_of(spark: SparkSession, store: StateStore, statuses: DataFrame) -> DataFrame:
+    """Outcomes for the next run: `statuses` (job_id, status, tasks_succeeded, tasks_failed) of the jobs that the state has on record.
+
+    Jobs that are not on record, or have not ended, have no row; of several statuses of one job all count.
+    """
+    document, _ = store.read(STATE)
+    held = [(b, e["submission"]) for b, e in (document or {"buckets": {}})["buckets"].items() if e.get("submission")]
+    rows = [(b, sent["job"], int(sent.get("failures", 0)), sent.get("low") or "") for b, sent in held]  # one row a bucket
+    known = spark.createDataFrame(rows, "bucket string, sent_job string, consecutive_failures int, watermark_low string")
+    ended = statuses.where(F.col("status").isin(*ENDED))
+    return ended.join(F.broadcast(known), F.col("job_id") == F.col("sent_job")).select("bucket", "job_id", "status", "tasks_succeeded", "tasks_failed", "consecutive_failures", "watermark_low")
+
+
 def recovered(entries: dict[str, dict], outcomes: DataFrame | None, threshold: int) -> dict[str, dict]:
-    """Entries with marks set back to the lowest start of failed jobs, and buckets over the threshold disabled."""
+    """Entries with marks set back to the lowest start of failed jobs, and buckets over the threshold disabled.
+
+    A submission on record is dropped where its job ended well; a failed one stays until another takes its place.
+    """
     if outcomes is None:
         return entries
-    plan = S.recovery_plan(outcomes.where(F.col("bucket").isin(list(entries))), threshold)
+    plan = S.recovery_plan(outcomes.where(F.col("bucket").isin(list(entries)) & F.col("status").isin(*ENDED)), threshold)
     out = dict(entries)
-    for r in plan.select("bucket", F.regexp_replace("rollback_to", "Z$", "").alias("low"), "disable").collect():  # one row a bucket
-        entry = out[r.bucket]
+    for r in plan.select("bucket", F.regexp_replace("rollback_to", "Z$", "").alias("low"), "consecutive_failures", "disable").collect():  # one row a bucket
+        entry = {k: v for k, v in out[r.bucket].items() if k != "submission" or r.consecutive_failures}
         if r.low and _time(entry.get("watermark")) and _time(r.low) < _time(entry["watermark"]):
             entry = entry | {"watermark": r.low}
-        out[r.bucket] = entry | ({"disabled": True} if r.disable else {})
+        failures = {"failures": r.consecutive_failures} if r.consecutive_failures else {}
+        out[r.bucket] = entry | failures | ({"disabled": True} if r.disable else {})
     return out
 
 
-def run_interval(spark: SparkSession, journal: DataFrame, rules: DataFrame, store: StateStore, submit: Submit, folder: str, settings: Settings, outcomes: DataFrame | None = None, only: list[str] | None = None) -> Outcome:
+def run_interval(spark: SparkSession, journal: DataFrame, rules: DataFrame, store: StateStore, submit: Submit, folder: str, settings: Settings, outcomes: DataFrame | None = None, only: list[str] | None = None, count_scans: bool = False) -> Outcome:
     """Run one interval for every enabled bucket of the stored state (of those in `only`, if it is given).
 
     `submit(bucket, envelope, token)` hands a bucket's manifest on; an exception counts as
-    TRANSIENT. A bucket's mark and window move only after SUBMITTED. `folder` is shared storage. The cap
-    counts rows past the marks, over all buckets, and rows of one time stay together. The lease is given up on
-    every way out.
+    TRANSIENT. A bucket's mark and window move only after SUBMITTED, and the submission (job, mark it started from, objects,
+    failures before it) is put on record in the same write. `folder` is shared storage. The cap
+    counts rows past the marks, over all buckets, and rows of one time stay together. `count_scans` adds the
+    number of keys that the rules match in the window, before deduplication. The lease is given up on every way out.
     """
     document, version = store.read(STATE)
     document = document or {"buckets": {}, "window": None}
@@ -139,7 +168,11 @@ def run_interval(spark: SparkSession, journal: DataFrame, rules: DataFrame, stor
     boundary = J.row_cap_boundary(fresh, settings.row_cap).first()
     result.capped = boundary is not None
     if result.capped:
-        window = window.where(F.col("record_timestamp") <= F.lit(boundary[0].isoformat(" ")).cast("timestamp_ntz"))
+        until = F.lit(boundary[0].isoformat(" ")).cast("timestamp_ntz")
+        window = window.where(F.col("record_timestamp") <= until)
+        result.overshoot = fresh.where(F.col("record_timestamp") <= until).count() - settings.row_cap
+    if count_scans:
+        result.scans = dict.fromkeys(enabled, 0) | {r.bucket: r.matches for r in B.matched_keys(window, rules).collect()}  # one row a bucket
     stored = spark.read.parquet(document["window"]) if document["window"] else spark.createDataFrame([], "bucket string, lid string, watermark timestamp_ntz")
     done = J.until_marks(stored, marks)
     J.eligible(J.latest(J.validity(window).where("error_reason IS NULL").drop("error_reason")), marks, done, settings.lookback_s).write.parquet(f"{run}/eligible")
@@ -149,7 +182,7 @@ def run_interval(spark: SparkSession, journal: DataFrame, rules: DataFrame, stor
     plain = {b: {k: v for k, v in e.items() if k != "lease" or lease_mark(e)} for b, e in document["buckets"].items()}
     if leased:
         version = store.write(STATE, document | {"buckets": plain | {b: plain[b] | {"lease": lease} for b, lease in leased.items()}}, version)
-    after = plain
+    after, jobs = plain, {}
     try:
         live = J.without_archived(eligible)
         M.without_deleted(M.union(R.match(live, rules)), J.permanent_deletes(journal, lower)).write.parquet(f"{run}/kept")
@@ -157,11 +190,13 @@ def run_interval(spark: SparkSession, journal: DataFrame, rules: DataFrame, stor
         result.manifests = write_manifests(M.rendered(kept), f"{run}/manifest", settings.manifest_file_rows)
         for bucket, envelope in result.manifests.items():
             envelope["checksum"] = write_envelope(spark, f"{run}/envelopes/{bucket}", bucket, folder, int(_now().timestamp() * 1000), envelope["files"])
+            token = _token(bucket, entries[bucket], envelope)
+            jobs[bucket] = {"job": token, "low": entries[bucket].get("watermark"), "objects": envelope["object_count"], "failures": entries[bucket].get("failures", 0), "at": _now().isoformat()}
             try:
-                result.answers[bucket] = submit(bucket, envelope, _token(bucket, entries[bucket], envelope))
+                result.answers[bucket] = submit(bucket, envelope, token)
             except Exception:  # noqa: BLE001 - whatever a sink raises, the bucket is tried again in the next run
                 result.answers[bucket] = TRANSIENT
-        moved = {b: _after(document["buckets"][b], plain[b], entries[b], result.answers.get(b), high.get(b), settings) for b in entries}
+        moved = {b: _after(document["buckets"][b], plain[b], entries[b], result.answers.get(b), high.get(b), settings, jobs.get(b)) for b in entries}
         result.marks = {b: _time(e.get("watermark")) for b, e in moved.items()}
         result.disabled = [b for b, e in moved.items() if e.get("disabled")]
         sent = [b for b, a in result.answers.items() if a == SUBMITTED]
@@ -178,12 +213,12 @@ def run_interval(spark: SparkSession, journal: DataFrame, rules: DataFrame, stor
     return result
 
 
-def _after(stored: dict, plain: dict, entry: dict, answer: str | None, high: datetime | None, settings: Settings) -> dict:
+def _after(stored: dict, plain: dict, entry: dict, answer: str | None, high: datetime | None, settings: Settings, job: dict | None) -> dict:
     """A bucket's entry after a run: its mark moves on with SUBMITTED alone, and one set back holds for that run alone."""
-    kept = {k: v for k, v in entry.items() if k != "lease"} | ({"lease": plain["lease"]} if "lease" in plain else {})
+    kept = {k: v for k, v in entry.items() if k not in ("lease", "failures")} | ({"lease": plain["lease"]} if "lease" in plain else {})
     if answer == SUBMITTED:
         mark = max(filter(None, (_time(entry.get("watermark")), high)))
-        return {k: v for k, v in kept.items() if k != "streak"} | {"watermark": mark.isoformat()}
+        return {k: v for k, v in kept.items() if k != "streak"} | {"watermark": mark.isoformat(), "submission": job}
     kept = kept | {"watermark": stored.get("watermark")}
     if answer == PERMANENT:
         streak = int(kept.get("streak", 0)) + 1

@@ -25,6 +25,7 @@ from tagflow.operators import tracking as T
 from tagflow.operators.retention import doomed
 from tagflow.plans.tracking import ITEMS
 from tagflow.sources import codecs as D
+from tagflow.sources import processed as W
 from tagflow.sources.items import ItemTable
 from tagflow.sources.journal import from_events
 from tagflow.sources.reports import parsed as parsed_report
@@ -359,6 +360,19 @@ def window_prune(spark, sf):
     return kept.groupBy("bucket", parts[1].alias("key"), F.when(parts[2] != "<null>", parts[2]).alias("version_id")).agg(F.max("watermark").alias("watermark"), F.count("*").alias("n"))
 
 
+@query(f"SELECT bucket, lid, record_timestamp AS watermark FROM d WHERE NOT (bucket = 'lake-0' AND CAST(sequence_number AS BIGINT) % 3 = 0 AND record_timestamp > TIMESTAMP '{MARK}')")
+def window_generations(spark, sf):
+    """The processed window after three runs; before the second the mark of one bucket was set back."""
+    tag = lambda k: F.coalesce(F.col("object_tags")[k], F.lit(""))
+    lid = F.concat_ws("|", "bucket", "key", F.coalesce("version_id", F.lit("<null>")), tag("type"), tag("k"))
+    rows = newest(spark, sf).select("bucket", lid.alias("lid"), F.col("record_timestamp").alias("watermark"), (F.col("sequence_number").cast("long") % 3).alias("run"))
+    root, window = f"{shared_folder(spark)}/{uuid.uuid4()}", None
+    for run in range(3):
+        part = rows.where(F.col("run") == run)
+        window = W.append(spark, window, root, part, part.count(), {"lake-0": MARK} if run == 1 else {}, None)
+    return W.read(spark, window)
+
+
 @query("SELECT sb AS bucket, CASE WHEN EXISTS (SELECT 1 FROM kept WHERE kept.bucket = sb) THEN greatest(mark, h) ELSE mark END AS watermark FROM state LEFT JOIN (SELECT bucket, max(record_timestamp) AS h FROM el GROUP BY bucket) ON bucket = sb")
 def checkpoint_advance(spark, sf):
     kept = M.without_deleted(manifest(spark, sf), deletes(spark, sf))

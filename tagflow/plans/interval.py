@@ -3,7 +3,7 @@
 Buckets are a column, so one plan serves them all; where it fails, the buckets are run in halves, until what
 cannot be read stands alone. What passes through the driver is one row for each configured bucket (at
 most `settings.MAX_BUCKETS`); operations, manifests and the window of processed ids stay in tables.
-State is one versioned document that names the current window table, so marks and window change
+State is one versioned document that lists the generations of the processed window, so marks and window change
 together or not at all; a lease in it keeps other runs off what this one is about to submit.
 """
 
@@ -14,7 +14,7 @@ import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import UTC, datetime, timedelta
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +25,7 @@ from tagflow.operators import preflight as B
 from tagflow.operators import rules as R
 from tagflow.operators import state as S
 from tagflow.operators.settings import Settings, should_continue
+from tagflow.sources import processed as W
 from tagflow.sources.sinks import StateConflict, StateStore, write_envelope, write_manifests
 
 #: Answers of a submission: taken, worth another try, or never going to work.
@@ -173,8 +174,7 @@ def run_interval(spark: SparkSession, journal: DataFrame, rules: DataFrame, stor
         result.overshoot = fresh.where(F.col("record_timestamp") <= until).count() - settings.row_cap
     if count_scans:
         result.scans = dict.fromkeys(enabled, 0) | {r.bucket: r.matches for r in B.matched_keys(window, rules).collect()}  # one row a bucket
-    stored = spark.read.parquet(document["window"]) if document["window"] else spark.createDataFrame([], "bucket string, lid string, watermark timestamp_ntz")
-    done = J.until_marks(stored, marks)
+    done = J.until_marks(W.read(spark, document["window"]), marks)
     J.eligible(J.latest(J.validity(window).where("error_reason IS NULL").drop("error_reason")), marks, done, settings.lookback_s).write.parquet(f"{run}/eligible")
     eligible = spark.read.parquet(f"{run}/eligible")
     high = {r.bucket: r.high_water_mark for r in J.high_water_mark(eligible).collect()}  # one row a bucket
@@ -201,11 +201,11 @@ def run_interval(spark: SparkSession, journal: DataFrame, rules: DataFrame, stor
         result.disabled = [b for b, e in moved.items() if e.get("disabled")]
         sent = [b for b, a in result.answers.items() if a == SUBMITTED]
         if sent:
-            refs = M.references(live, kept.where(F.col("bucket").isin(sent))).select("bucket", "lid", "record_timestamp")
-            old = done.where(F.col("bucket").isin(sent)).unionByName(stored.where(~F.col("bucket").isin(sent)))
-            old = old.select("bucket", "lid", F.col("watermark").alias("record_timestamp"))
-            S.prune(old.unionByName(refs), _marks(spark, plain | moved).drop("lease_mark"), settings.lookback_s).write.parquet(f"{run}/window")
-            document = document | {"window": f"{run}/window"}
+            refs = M.references(live, kept.where(F.col("bucket").isin(sent))).select("bucket", "lid", F.col("record_timestamp").alias("watermark"))
+            size = sum(result.manifests[b]["object_count"] for b in sent)
+            before = {b: (_time(document["buckets"][b].get("watermark")), _time(entries[b].get("watermark"))) for b in sent}
+            set_back = {b: now for b, (was, now) in before.items() if was and now and now < was}
+            document = document | {"window": W.append(spark, document["window"], f"{folder}/processed", refs, size, set_back, _kept_after(plain | moved, settings))}
         after = plain | moved
     finally:
         if leased or after != document["buckets"]:
@@ -213,6 +213,12 @@ def run_interval(spark: SparkSession, journal: DataFrame, rules: DataFrame, stor
     return result
 
 
+def _kept_after(entries: dict[str, dict], settings: Settings) -> date | None:
+    """First day of the processed window over all buckets; None where one has no mark, and so needs all."""
+    marks = [_time(e.get("watermark")) for e in entries.values()]
+    return None if None in marks else (min(marks) - timedelta(seconds=settings.lookback_s)).date()
+
+
 def _after(stored: dict, plain: dict, entry: dict, answer: str | None, high: datetime | None, settings: Settings, job: dict | None) -> dict:
     """A bucket's entry after a run: its mark moves on with SUBMITTED alone, and one set back holds for that run alone."""
     kept = {k: v for k, v in entry.items() if k not in ("lease", "failures")} | ({"lease": plain["lease"]} if "lease" in plain else {})

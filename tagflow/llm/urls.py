@@ -39,14 +39,14 @@ ALLOWED_NAMES = """
 wikipedia python-docs library museum university weather city-hall health journal school archive maps
 news newspaper morning-post radio world-news local-times gardeners travel recipes kitchen-notes hiking-trails birdwatch
 linux-forum developer code-review python-tips math-lessons physics bookstore furniture bakery music-school theatre
-football-club tennis chess-club running thonther riverton atherson thering stonebridge hanover tinsley onthea ththere eastern
+football-club tennis chess-club running riverton stonebridge hanover tinsley eastern lighthouse orchestra ceramics astronomy choir-society embroidery
 history-society parliament court hospital clinic-guide railway-timetable airport hotel-lakeside weather-station ocean-science
-other-stories northern-lights brother mother-care theresa thornton weather-map gathering thread tionville southern leather
+short-stories northern-lights beekeeping childcare thornton weather-map volunteers knitting southern leather chemistry-notes geology
 """.split()
 BEFORE = ["", "www.", "m.", "blog."]
 ENDINGS = ["example.com", "com", "example.org", "net", "example.net", "org", "top", "co", "info"]
-BLOCKED_PATHS = "/ /free-spins/win /slots?ref=1 /play/now /odds/live /buy/cheap /watch/free /join?aff=9 /download/crack.exe /claim/prize /redirect?u=9 /apply/now /en/530/ /fr/204 /de/897.html /es/12?page=2".split()
-ALLOWED_PATHS = "/ /wiki/Forest /en/science/2021/04/river /fr/culture/204 /de/897.html /es/soup/12 /library/json.html /articles/ecology /en/530/ /programme/music /catalog/books /council/minutes?page=2 /fr/204 /es/12?page=2".split()
+BLOCKED_PATHS = "/ /free-spins/win /slots?ref=1 /play/now /odds/live /buy/cheap /watch/free /join?aff=9 /download/crack.exe /claim/prize /redirect?u=9 /apply/now /about /index.php?id=3 /contact.html /archive/2019/".split()
+ALLOWED_PATHS = "/ /wiki/Forest /science/2021/04/river /culture/opera /contact.html /soup/lentil /library/json.html /articles/ecology /about /programme/music /catalog/books /council/minutes?page=2 /archive/2019/ /index.php?id=3".split()
 
 
 def labelled(names: list[str], paths: list[str], each: int = 4) -> list[str]:

@@ -53,17 +53,27 @@ def with_ties(ops: DataFrame, cap: int) -> DataFrame:
     return ops.join(F.broadcast(bound)).where(F.col("boundary").isNull() | (F.col("record_timestamp") <= F.col("boundary"))).drop("boundary")
 
 
+def _numbered_times(ops: DataFrame, cap: int) -> DataFrame:
+    """Every time of the rows (_time, _n rows) with `batch`, the number of the capped run that reads it; only counts by time are ordered."""
+    per = ops.where(F.col("record_timestamp").isNotNull()).groupBy(F.col("record_timestamp").alias("_time")).agg(F.count("*").alias("_n"))
+    return linked(per.withColumn("_all", F.lit(0)), ["_all"], ["_time"], "_n", cap, over=True).select("_time", "_n", F.col("link").alias("batch"))
+
+
 def capped_batches(ops: DataFrame, cap: int) -> DataFrame:
     """Rows with `batch`, the number of the capped run that reads them: each takes rows by time until it has `cap` or more.
 
     Rows of one time stay together, so the batches are those of `with_ties` applied in a chain, each after the last
-    one's boundary. Only counts by time are ordered. Rows without a time are in no batch.
+    one's boundary. Rows without a time are in no batch.
     """
-    per = ops.where(F.col("record_timestamp").isNotNull()).groupBy(F.col("record_timestamp").alias("_time")).agg(F.count("*").alias("_n"))
-    numbers = linked(per.withColumn("_all", F.lit(0)), ["_all"], ["_time"], "_n", cap, over=True).select("_time", F.col("link").alias("batch"))
+    numbers = _numbered_times(ops, cap).drop("_n")
     return ops.join(numbers, F.col("record_timestamp") == F.col("_time")).drop("_time")
 
 
+def capped_windows(ops: DataFrame, cap: int) -> DataFrame:
+    """One row for each capped run over the rows: its number, the last time that it reads, and how many rows; all but the last have `cap` or more."""
+    return _numbered_times(ops, cap).groupBy("batch").agg(F.max("_time").alias("until"), F.sum("_n").alias("rows"))
+
+
 def latest(ops: DataFrame) -> DataFrame:
     """One row for each identity: the highest sequence number, with when the identity was first seen.
 

@@ -10,6 +10,7 @@ from tagflow.operators import journal as J
 from tagflow.plans import catalogue as C
 from tagflow.sources.scratch import shared_folder
 from tagflow.sources.sinks import StateStore
+from tagflow.streaming import admission as A
 from tagflow.streaming import ledger as L
 from tagflow.streaming import processed as P
 
@@ -51,3 +52,23 @@ def stream_handed_over(spark, sf):
         stream.writeStream.foreachBatch(run).option("checkpointLocation", f"{folder}/checkpoint-{k}").trigger(availableNow=True).start().awaitTermination()
     paths = [r["path"] for r in sink.submissions()]
     return spark.read.schema(schema).parquet(*paths)
+
+
+@C.query(f""", q AS (SELECT greatest({C.CAP}, count(*) // 6) AS cap FROM w), t AS (SELECT record_timestamp AS ts, sum(count(*)) OVER (ORDER BY record_timestamp) AS upto FROM w GROUP BY record_timestamp),
+c AS (WITH RECURSIVE r AS (SELECT min(upto) AS upto FROM t, q WHERE upto >= cap UNION ALL SELECT * FROM (SELECT min(t.upto) AS upto FROM r, q, t WHERE t.upto >= r.upto + cap HAVING min(t.upto) IS NOT NULL)) SELECT * FROM r)
+SELECT {C.COLS}, (SELECT count(*) FROM c WHERE c.upto < t.upto) AS batch FROM w JOIN t ON ts = record_timestamp""")
+def stream_admitted(spark, sf):
+    """The journal as a stream of capped batches: some are admitted and read, then a new stream goes on from the checkpoint with what was admitted since."""
+    folder = f"{shared_folder(spark)}/admitted-{uuid.uuid4()}"
+    whole = C.ops(spark, sf).select(*C.ROW)
+    cap = max(C.CAP, whole.count() // 6)
+    log = A.AdmissionLog(spark, f"{folder}/log")
+    half = whole.where(F.col("record_timestamp") <= C.ntz(C.MARK))
+
+    def keep(rows, window):
+        rows.write.mode("overwrite").parquet(f"{folder}/rows/batch={window['number']}")
+
+    for settled, last in ((half, False), (whole, True)):
+        log.admit(settled, cap, last)
+        A.drained(log, whole, keep, f"{folder}/checkpoint")
+    return spark.read.schema(whole.schema.add("batch", "long")).parquet(f"{folder}/rows")

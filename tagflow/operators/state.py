@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagflow.functions.columns import subtract
-from tagflow.operators.chains import linked
+from tagflow.operators.chains import linked, placed
 
 
 def prune(references: DataFrame, marks: DataFrame, lookback_s: int) -> DataFrame:
@@ -118,13 +118,8 @@ def ordered_references(references: DataFrame) -> DataFrame:
 
     The order is a sort over ranges; places come from counts of the ranges before, not from one task for each bucket.
     """
-    span = F.date_trunc("day", F.col("record_timestamp").cast("timestamp"))
-    rows = references.withColumn("span", span)
-    inner = F.row_number().over(Window.partitionBy("bucket", "span").orderBy("record_timestamp", "lid"))
-    counts = rows.groupBy(F.col("bucket").alias("cb"), F.col("span").alias("cs")).agg(F.count("*").alias("n"))  # one row for each day
-    before = counts.withColumn("before", F.sum("n").over(Window.partitionBy("cb").orderBy("cs")) - F.col("n"))
-    joined = rows.withColumn("inner", inner).join(before, (F.col("bucket") == F.col("cb")) & F.col("span").eqNullSafe(F.col("cs")))
-    return joined.select("bucket", "lid", "record_timestamp", (F.col("inner") + F.col("before")).cast("long").alias("pos"))
+    rows = placed(references.withColumn("__one", F.lit(1)), ["bucket"], ["record_timestamp", "lid"], "__one")
+    return rows.select("bucket", "lid", "record_timestamp", (F.col("pos") + 1).alias("pos"))
 
 
 def record_submissions(known: DataFrame, fresh: DataFrame) -> DataFrame:

@@ -850,7 +850,8 @@ def doomed_runs(spark, sf):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    import tagflow.plans.streams  # noqa: F401 - registers its queries
+    import tagflow.plans.jobs
+    import tagflow.plans.streams  # noqa: F401 - both register their queries
     from tagflow.streaming.journal import stream_dedup_within_watermark
 
     return QUERIES | {"stream_dedup_within_watermark": stream_dedup_within_watermark}

@@ -264,8 +264,9 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFra
     classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("v")))
     count = max(2, (radius + 2) // 2)
     found = connected_components(links(classes.where("v IS NOT NULL"), radius // count, count, buckets, radius))
-    named = classes.join(found, classes["v"] == found["id"], "left").select(F.col("fp").alias("f"), F.coalesce("component_id", "v").alias("component_id"))
-    return prints.join(named, prints["fp"] == named["f"]).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    named = classes.join(found, classes["v"] == found["id"], "left").select(F.col("fp").alias("k"), F.coalesce("component_id", "v").alias("up"))
+    told = looked_up(prints, "fp", "doc_id", named, parts(prints.count(), SALT_ROWS))  # copies of one text are dealt by salts
+    return told.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("up").alias("component_id"))
 
 
 def similar_bits(similarity: float, lanes: int, errors: float = 5) -> int:
@@ -485,6 +486,7 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFr
     prints = written(codes(named_docs, words, lanes))
     classes = written(prints.groupBy("code", "n").agg(F.min("doc_id").alias("v")))
     found = connected_components(near_links(classes, named_docs, similarity, words, (width, count, lanes), top))
-    named = classes.join(found, classes["v"] == found["id"], "left").select(F.col("code").alias("c"), F.col("n").alias("m"), F.coalesce("component_id", "v").alias("component_id"))
-    gone = prints.join(named, (prints["code"] == named["c"]) & (prints["n"] == named["m"])).where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    named = classes.join(found, classes["v"] == found["id"], "left").select(F.struct("code", "n").alias("k"), F.coalesce("component_id", "v").alias("up"))
+    told = looked_up(prints.select("doc_id", F.struct("code", "n").alias("set")), "set", "doc_id", named, parts(prints.count(), SALT_ROWS))
+    gone = told.where("doc_id <> up").select(F.col("doc_id").alias("gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")

@@ -2,9 +2,11 @@
 
 A row counts as processed when its manifest was submitted, not when it arrives. So the stream has two kinds of rows: operations,
 and acknowledgements that a submission sends back. State holds one time for each acknowledged identity, the mark
-up to which its bucket was submitted; later operations of the identity are new ones. An event-time timer drops it
-once the watermark, which trails the stream by the lookback, has passed that mark: no operation at or before it is let
-in any more.
+up to which its bucket was submitted; later operations of the identity are new ones. It is dropped once the watermark, which
+trails the stream by the lookback, has passed that mark: no operation at or before it is let in any more.
+
+A call into the state for each identity costs more than all else, so identities are dealt to shards by a hash: a shard's
+marks are one value, read and written once a batch, with one event-time timer, that of its earliest mark.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -23,47 +26,81 @@ OPERATION, ACKNOWLEDGED = "operation", "acknowledged"
 #: What both kinds of rows have; `row` is the operation as JSON text; the time of an acknowledgement is the mark that the submission moved its bucket to.
 EVENT = "lid string, kind string, event_time timestamp, sequence_number string, row string"
 TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+#: Shards of a new stream: at 40 million identities one has about 40,000 marks, 3 MB. A checkpoint goes on with the number that it began with.
+SHARDS = 1024
+NEVER = -(2**63)
 
 
 def _micros(times: pd.Series) -> pd.Series:
     return (times - pd.Timestamp(0)) // pd.Timedelta(microseconds=1)
 
 
+def _packed(marks: dict[str, int]) -> bytes:
+    """Marks (microseconds by identity) as Arrow bytes."""
+    table = pa.table({"lid": pa.array(list(marks), pa.string()), "through": pa.array(list(marks.values()), pa.int64())})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> dict[str, int]:
+    table = pa.ipc.open_stream(data).read_all()
+    return dict(zip(table["lid"].to_pylist(), table["through"].to_pylist(), strict=True))
+
+
+def _due(marks: dict[str, int]) -> int:
+    """The first millisecond after the earliest mark."""
+    return min(marks.values()) // 1000 + 1
+
+
 class Unprocessed(StatefulProcessor):
-    """Lets the newest operation of an identity through in every batch that has one, unless it was acknowledged."""
+    """Lets the newest operation of an identity through in every batch that has one, unless it was acknowledged; the key is a shard of identities."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.done = handle.getValueState("done", "through long")
-
-    def _mark(self, through: int) -> None:
-        """Keep the latest mark, and one timer for it."""
-        known = self.done.get()[0] if self.done.exists() else None
-        if known is not None and known >= through:
-            return
-        if known is not None:
-            self.handle.deleteTimer(known // 1000)
-        self.done.update((through,))
-        self.handle.registerTimer(through // 1000)
+        self.done = handle.getValueState("marks", "marks binary")
+
+    def _known(self) -> dict[str, int]:
+        held = self.done.get()
+        return {} if held is None else _unpacked(bytes(held[0]))
+
+    def _keep(self, marks: dict[str, int], due: int | None) -> None:
+        """Keep the marks, and one timer for them; `due` is that which is set."""
+        self.done.update((_packed(marks),))
+        if due != _due(marks):
+            if due is not None:
+                self.handle.deleteTimer(due)
+            self.handle.registerTimer(_due(marks))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        newest, told = None, []
+        newest, told = {}, {}
         for frame in rows:
-            at = _micros(frame["event_time"])
-            acks = frame["kind"] == ACKNOWLEDGED
-            told += at[acks].tolist()
-            ops = frame[~acks]
-            # the highest sequence, of those the earliest time, as in the batch operator
-            for seq, when, row in zip(ops["sequence_number"], at[~acks].tolist(), ops["row"], strict=True):
-                if newest is None or (seq, -when) > newest[:2]:
-                    newest = (seq, -when, row)
-        if told:
-            self._mark(int(max(told)))
-        if newest is not None and not (self.done.exists() and -newest[1] <= self.done.get()[0]):
-            yield pd.DataFrame({"lid": [key[0]], "row": [newest[2]]})
+            at = _micros(frame["event_time"]).tolist()
+            # plain dicts: the hash tables of pandas take an identity for ended at its first NUL
+            for lid, kind, when, seq, row in zip(frame["lid"], frame["kind"], at, frame["sequence_number"], frame["row"], strict=True):
+                if kind == ACKNOWLEDGED:
+                    told[lid] = max(told.get(lid, NEVER), int(when))
+                # the highest sequence, of those the earliest time, as in the batch operator
+                elif lid not in newest or (seq, -when) > newest[lid][:2]:
+                    newest[lid] = (seq, -when, row)
+        marks = self._known()
+        moved = {lid: through for lid, through in told.items() if through > marks.get(lid, NEVER)}
+        if moved:
+            due = _due(marks) if marks else None
+            marks |= moved
+            self._keep(marks, due)
+        out = [(lid, row) for lid, (_, back, row) in newest.items() if not -back <= marks.get(lid, NEVER)]
+        if out:
+            yield pd.DataFrame(out, columns=["lid", "row"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        self.done.clear()
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        marks = {lid: through for lid, through in self._known().items() if through > passed}
+        if marks:
+            self._keep(marks, expiredTimerInfo.getExpiryTimeInMs())
+        else:
+            self.done.clear()
         yield from ()
 
     def close(self) -> None:
@@ -82,13 +119,14 @@ def acknowledgements(references: DataFrame) -> DataFrame:
     return references.select("lid", F.lit(ACKNOWLEDGED).alias("kind"), F.col("mark").cast("timestamp").alias("event_time"), none.alias("sequence_number"), none.alias("row"))
 
 
-def unprocessed(events: DataFrame, schema: str, lookback: str) -> DataFrame:
+def unprocessed(events: DataFrame, schema: str, lookback: str, shards: int = SHARDS) -> DataFrame:
     """The operations of a stream of events (columns EVENT) that no acknowledgement covers; `schema` is that of the journal rows.
 
-    `lookback` is the delay of the watermark; operations at or before the watermark are dropped by the engine.
+    `lookback` is the delay of the watermark; operations at or before the watermark are dropped by the engine. `shards` must stay what it
+    was when the checkpoint was begun.
     """
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
-    keyed = events.withWatermark("event_time", lookback).groupBy("lid")
+    keyed = events.withWatermark("event_time", lookback).withColumn("shard", F.pmod(F.xxhash64("lid"), F.lit(shards)).cast("int")).groupBy("shard")
     out = keyed.transformWithStateInPandas(Unprocessed(), "lid string, row string", "Append", "EventTime")
     return out.select("lid", F.inline(F.array(F.from_json("row", schema, TIMES))))
 

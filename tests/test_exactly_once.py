@@ -87,3 +87,29 @@ def test_identities_come_through_until_they_are_acknowledged(spark, tmp_path):
     assert got() == whole
     stream.append(ops(spark, ("x", "9", 5, 3), ("z", "1", 6, 23)))
     assert got() == whole
+
+
+def test_marks_of_many_identities_are_one_value_of_state(spark, tmp_path, monkeypatch):
+    """Calls into the state grow with shards, not with identities; marks of one shard are kept apart and leave one by one."""
+    monkeypatch.setattr(P.unprocessed, "__defaults__", (1,))
+    stream = P.Journaled(spark, str(tmp_path), JOURNAL, "1 day")
+    got = lambda: sorted((r.key, r.sequence_number) for r in stream.advance().collect())
+    times = {f"k{n}": (5, n) for n in range(20)}
+    stream.append(ops(spark, *((k, "1", d, h) for k, (d, h) in times.items())))
+    first = got()
+    assert first == sorted((k, "1") for k in times)
+    lids = {r.key: r.lid for r in spark.read.schema(stream.advance().schema).parquet(f"{tmp_path}/rows").collect()}
+    marks = [(lids[k], dt.datetime(2024, 1, d, h, 0, 0, 7)) for k, (d, h) in times.items() if k != "k3"]
+    stream.append(P.acknowledgements(spark.createDataFrame(marks, "lid string, mark timestamp_ntz")))
+    # in one batch with their acknowledgements; k3 has none, k4 has a later operation
+    stream.append(ops(spark, *((k, "1", d, h) for k, (d, h) in times.items()), ("k4", "2", 5, 5)))
+    second = sorted([*first, ("k3", "1"), ("k4", "2")])
+    assert got() == second
+    # the watermark passes half of the marks; the others hold
+    stream.append(ops(spark, ("late", "1", 6, 10)))
+    third = sorted([*second, ("late", "1")])
+    assert got() == third
+    stream.append(ops(spark, *((k, "3", d, h) for k, (d, h) in times.items())))
+    assert got() == third
+    state = spark.read.format("statestore").option("path", f"{tmp_path}/state").option("stateVarName", "marks").load()
+    assert [len(P._unpacked(bytes(r.value.marks))) for r in state.select("value").collect()] == [10]

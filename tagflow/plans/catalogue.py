@@ -739,9 +739,12 @@ def checkpoint_decode(spark, sf):
     ids = F.when(F.col("o_orderkey") % 2 == 0, ', "completion_processed_job_ids": ["j"], "unknown": 1').otherwise("")
     document = F.when(k == 0, "[1]").otherwise(F.concat(F.lit('{"source_bucket": "'), F.when(k == 3, "other").otherwise(name), F.lit('", "last_processed_watermark": '), mark, more, ids, F.lit("}")))
     read = D.decoded(spark.read.parquet(f"{sf}/orders.parquet").select(name.alias("bucket"), document.alias("document")), ntz(MARK).cast("timestamp"))
-    again = D.decoded(D.encoded(read), ntz(MARK).cast("timestamp")).select(F.col("bucket").alias("b"), F.col("watermark").alias("w"), F.size("completion_processed_job_ids").cast("long").alias("ids"))
-    both = read.join(again, (read["bucket"] == again["b"]) & (read["watermark"] == again["w"]), "left")
-    return both.select("bucket", "problem", "watermark", F.coalesce("lease_discarded", F.lit(False)).alias("lease_discarded"), F.col("lease.lease_id").alias("lease_id"), "ids")
+    # the row goes along with its document, so what was read again is compared without a join
+    first = F.struct("problem", "watermark", "lease_discarded", "lease.lease_id").alias("first")
+    again = D.decoded(D.encoded(read.select("*", first), "first"), ntz(MARK).cast("timestamp"), "first")
+    same = F.col("watermark") == F.col("first.watermark")
+    ids = F.when(same, F.size("completion_processed_job_ids").cast("long")).alias("ids")
+    return again.select("bucket", "first.problem", "first.watermark", F.coalesce("first.lease_discarded", F.lit(False)).alias("lease_discarded"), "first.lease_id", ids)
 
 
 @query(STORED + """SELECT job_id, CASE job_id % 5 WHEN 0 THEN '{"last_processed_watermark": "' || mark || '" , "n": 1.0, "deep": {"last_processed_watermark": "x", "lease": 1}, "lease": null}'

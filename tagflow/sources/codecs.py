@@ -33,15 +33,15 @@ def _kind(name: str) -> Column:
     return F.schema_of_variant(F.try_variant_get("parsed", f"$.{name}", "variant"))
 
 
-def decoded(documents: DataFrame, now: Column) -> DataFrame:
+def decoded(documents: DataFrame, now: Column, *kept: str) -> DataFrame:
     """bucket, problem, watermark, lease, lease_discarded and the stored lists of `documents` (bucket, document).
 
     A document with a `problem` has nulls elsewhere; absent lists are empty. A lease holds back whatever lies up to
-    its mark, so one that does not have the form that is written, or a mark far ahead, counts as none.
+    its mark, so one that does not have the form that is written, or a mark far ahead, counts as none. Columns named in `kept` stay beside their document.
     """
     # one row each: what is parsed here is not parsed again wherever it is used below
     both = F.struct(F.try_parse_json("document").alias("parsed"), F.from_json("document", DOCUMENT).alias("d"))
-    read = documents.select("bucket", "document", F.inline(F.array(both)))
+    read = documents.select("bucket", "document", *kept, F.inline(F.array(both)))
     mark = F.col("d.last_processed_watermark")
     problem = (
         F.when(F.col("parsed").isNull() | ~F.schema_of_variant("parsed").startswith("OBJECT"), "not an object")
@@ -56,23 +56,24 @@ def decoded(documents: DataFrame, now: Column) -> DataFrame:
     trusted = F.coalesce(trusted, F.lit(False))
     there = F.coalesce(_kind("lease") != "VOID", F.lit(False))
     judged = F.struct(problem.alias("problem"), trusted.alias("trusted"), there.alias("there"))
-    good = read.select("bucket", "d", F.inline(F.array(judged)))
-    kept = F.col("problem").isNull()
-    lists = [F.when(kept, F.coalesce(F.col(f"d.{n}"), F.from_json(F.lit("{}" if n == "completion_items" else "[]"), _type(n)))).alias(n) for n in NAMES if n != "lease"]
-    return good.select("bucket", "problem", F.when(kept, mark).alias("watermark"), F.when(kept & F.col("trusted"), lease).alias("lease"), (kept & F.col("there") & ~F.col("trusted")).alias("lease_discarded"), *lists)
+    good = read.select("bucket", "d", *kept, F.inline(F.array(judged)))
+    sound = F.col("problem").isNull()
+    lists = [F.when(sound, F.coalesce(F.col(f"d.{n}"), F.from_json(F.lit("{}" if n == "completion_items" else "[]"), _type(n)))).alias(n) for n in NAMES if n != "lease"]
+    return good.select("bucket", "problem", F.when(sound, mark).alias("watermark"), F.when(sound & F.col("trusted"), lease).alias("lease"), (sound & F.col("there") & ~F.col("trusted")).alias("lease_discarded"), *lists, *kept)
 
 
 def _type(name: str) -> str:
     return {"processed_window": WINDOW, "submission_records": f"array<{SUBMISSION}>", "completion_items": f"map<string,{ITEM}>", "completion_processed_job_ids": "array<string>", "scan_states": f"array<{SCAN}>", "completion_report_alerted_configs": "array<string>"}[name]
 
 
-def encoded(states: DataFrame) -> DataFrame:
-    """bucket and document (JSON text) of rows as `decoded` gives them; lists of ids are sorted, so equal states are equal texts."""
+def encoded(states: DataFrame, *kept: str) -> DataFrame:
+    """bucket and document (JSON text) of rows as `decoded` gives them; lists of ids are sorted, so equal states are equal texts. Columns named in `kept` stay; with them a row that has a problem stays too, without a document."""
     out = {n: F.col(n) for n in NAMES}
     for n in ("completion_processed_job_ids", "completion_report_alerted_configs", "processed_window"):
         out[n] = F.array_sort(n)
     members = [F.col("bucket").alias("source_bucket"), F.col("watermark").alias("last_processed_watermark"), *(c.alias(n) for n, c in out.items())]
-    return states.where("problem IS NULL").select("bucket", F.to_json(F.struct(*members)).alias("document"))
+    sound = F.col("problem").isNull()
+    return (states if kept else states.where(sound)).select("bucket", F.when(sound, F.to_json(F.struct(*members))).alias("document"), *kept)
 
 
 def _members(text: str) -> list[tuple[str, int, int]]:

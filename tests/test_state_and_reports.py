@@ -194,6 +194,16 @@ def test_stored_documents_keep_what_others_wrote(spark):
     assert [x["logical_operation_id"] for x in again["processed_window"]] == ["a", "z"] and again["submission_records"] == [{"job_id": "j"}]
 
 
+def test_what_is_decoded_again_needs_no_join(spark, sf):
+    df = catalogue.queries()["checkpoint_decode"](spark, sf)
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    rows = spark.createDataFrame([("b", "[1]", 7), ("b", '{"source_bucket": "b", "last_processed_watermark": ""}', 8)], "bucket string, document string, n int")
+    read = D.decoded(rows, F.current_timestamp(), "n")
+    assert sorted((r.n, r.problem) for r in read.collect()) == [(7, "not an object"), (8, None)]
+    assert sorted((r.n, r.document is None) for r in D.encoded(read, "n").collect()) == [(7, True), (8, False)]
+    assert D.encoded(read).count() == 1
+
+
 def test_manifest_rows_are_parsed_back(spark):
     rows = [("b", "a,b\nc d+e%20f/ü", None), ("b", "k", "v,1"[:1]), ("b", "", "x"), ("b", "plain", "")]
     df = spark.createDataFrame(rows, "bucket string, key string, version_id string")

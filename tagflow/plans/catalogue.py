@@ -29,7 +29,7 @@ from tagflow.sources import processed as W
 from tagflow.sources.items import ItemTable
 from tagflow.sources.journal import from_events
 from tagflow.sources.reports import parsed as parsed_report
-from tagflow.sources.scratch import shared_folder
+from tagflow.sources.scratch import shared_folder, written
 from tagflow.sources.sinks import StateStore
 
 SINCE, UNTIL, MARK = datetime(2024, 1, 5), datetime(2024, 1, 25), datetime(2024, 1, 15)
@@ -474,7 +474,7 @@ def tracked_upsert(spark, sf):
 def tracked_merge(spark, sf):
     """Reports merged into stored objects: job a, then job b whose report has two rows for each object, then job b once more."""
     job = lambda j, n: F.create_map(F.lit(j), F.struct(F.lit(n).alias("job_id"), F.col("tagged_at").alias("manifest_at"), F.lit(True).alias("confirmed")))
-    m = manifest(spark, sf).select("bucket", "key", "version_id", "tagged_at", "rules", "destinations")
+    m = written(manifest(spark, sf).select("bucket", "key", "version_id", "tagged_at", "rules", "destinations"))
     a = m.where(F.col("key").startswith("u/1")).select(F.lit("1").alias("job_id"), F.lit(0).alias("position"), "*", job("a", "1").alias("configs"))
     later = m.where(~F.col("key").startswith("u/10")).withColumns({"tagged_at": F.col("tagged_at") + F.expr("INTERVAL 1 HOUR"), "rules": F.array(F.lit("late"))})
     b = later.select(F.lit("b").alias("job_id"), F.lit(1).alias("position"), "*", job("b", "2").alias("configs")).unionByName(later.select(F.lit("b").alias("job_id"), F.lit(2).alias("position"), "*", job("b", "3").alias("configs")))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagflow.operators import state as S
+from tagflow.sources.scratch import written
 from tagflow.sources.sinks import StateStore
 
 NAME = "items"
@@ -51,7 +52,8 @@ class ItemTable:
         """
         document, version = self._document()
         done = self._read(document["jobs"], "job_id string").select(F.col("job_id").alias("__done")).distinct()
-        new = rows.join(done, rows["job_id"].cast("string") == done["__done"], "left_anti").withColumn("__part", self._part(document))
+        # written once: what is touched, merged and noted is the same rows, and what they come from is not made again for each
+        new = written(rows.join(done, rows["job_id"].cast("string") == done["__done"], "left_anti").withColumn("__part", self._part(document)))
         touched = sorted(r[0] for r in new.select("__part").distinct().collect())
         if not touched:
             return []

@@ -1,6 +1,7 @@
 """Report merges into the partitioned table of objects, report documents, and checkpoints laid over stored documents."""
 
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,6 +45,15 @@ def test_merging_a_report_twice_changes_nothing(spark, tmp_path):
     assert sorted(r.job_id for r in table.merged_jobs().collect()) == ["j1", "j2"]
 
 
+def test_a_merge_makes_its_rows_once(spark, tmp_path):
+    table = ItemTable(spark, StateStore(spark, str(tmp_path / "state")), str(tmp_path), SCHEMA, 4)
+    name = F.udf(lambda: str(uuid.uuid4()), "string").asNondeterministic()
+    rows = spark.range(50).select(name().alias("job_id"), F.lit(1).alias("position"), F.lit("b").alias("bucket"), F.col("id").cast("string").alias("key"), F.lit(None).cast("string").alias("version_id"), F.lit(0).alias("tagged_at"))
+    rows = rows.select("job_id", "position", "bucket", "key", "version_id", F.create_map(F.lit("c"), F.col("job_id")).alias("configs"), "tagged_at")
+    table.merge(rows, "position")
+    assert sorted(r.job_id for r in table.merged_jobs().collect()) == sorted(r.configs["c"] for r in table.items().collect())
+
+
 def test_a_merge_beside_another_writer_is_refused(spark, tmp_path, monkeypatch):
     store = StateStore(spark, str(tmp_path / "state"))
     table = ItemTable(spark, store, str(tmp_path), SCHEMA, 4)

@@ -2,7 +2,11 @@
 
 from datetime import date, datetime, timedelta
 from pathlib import Path
+from random import random
 
+from pyspark.sql import functions as F
+
+from tagflow.plans import catalogue
 from tagflow.sources import processed as W
 
 T = datetime(2024, 1, 1)
@@ -50,3 +54,12 @@ def test_a_run_writes_its_own_rows_and_old_windows_are_taken_in(spark, tmp_path)
     assert [g["rows"] for g in window["generations"]] == [21, 1]
     assert len(set(Path(root).rglob("*.parquet")) - first) == 1
     assert held(spark, window) >= {("b", "n", 3), ("a", "n", 3)}
+
+
+def test_the_rows_of_the_runs_are_made_once(spark, sf, monkeypatch):
+    """Rows that come out in another run each time they are made: every id is still in the window, and once."""
+    newest, other = catalogue.newest, F.udf(lambda: int(random() * 3), "long").asNondeterministic()
+    monkeypatch.setattr(catalogue, "newest", lambda spark, sf: newest(spark, sf).withColumn("sequence_number", other()))
+    monkeypatch.setattr(catalogue, "MARK", datetime(2030, 1, 1))
+    rows = catalogue.queries()["window_generations"](spark, sf)
+    assert rows.count() == rows.select("lid").distinct().count() == newest(spark, sf).count()

@@ -71,6 +71,17 @@ def test_the_index_tries_a_tenth_of_the_pairs(spark):
     assert rows(R.match_by_index(ops, rules)) == rows(R.match(ops, rules)) != []
 
 
+def test_rules_with_one_condition_are_tested_once(spark, monkeypatch):
+    ops = spark.range(100).selectExpr("cast(id as string) lid", "'b' bucket", "concat('u/', id) key", "map('k', cast(id % 10 as string)) object_tags")
+    made = [("b", f"c{k}", f"r{k}", {"k": str(k % 5)}, "d", None) for k in range(200)]
+    rules = spark.createDataFrame([*made, made[0], made[0], made[5]], R.SCHEMA)
+    monkeypatch.setattr(R, "MEMBERS", 10)
+    # 200 different rules with 5 conditions, in about 10 rows each
+    assert R.together(rules).count() < 60
+    rows = lambda df: sorted((r.lid, r.config_id, r.rule_id) for r in df.select("lid", "config_id", "rule_id").collect())
+    assert rows(R.match_by_index(ops, rules)) == rows(R.match(ops, rules)) and R.match_by_index(ops, rules).count() == 50 * 40 + 30
+
+
 def test_unknown_tags_are_error_rows(spark):
     ops = spark.createDataFrame([("a", "b", "k", None), ("c", "b", "l", {}), ("d", None, None, None)], OPS)
     assert sorted(map(str, R.errors(ops).collect())) == sorted(map(str, spark.createDataFrame([("b", "k", "indeterminate tags"), (None, None, "indeterminate tags")], "bucket string, key string, reason string").collect()))

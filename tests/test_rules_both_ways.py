@@ -82,6 +82,30 @@ def test_rules_with_one_condition_are_tested_once(spark, monkeypatch):
     assert rows(R.match_by_index(ops, rules)) == rows(R.match(ops, rules)) and R.match_by_index(ops, rules).count() == 50 * 40 + 30
 
 
+def test_conditions_with_the_most_matches_are_crossed(spark, monkeypatch):
+    ops = spark.range(100).selectExpr("cast(id as string) lid", "'b' bucket", "concat('u/', id) key", "map('k', cast(id % 10 as string)) object_tags")
+    made = [("b", f"c{k}", f"r{k}", {"k": str(k % 5)}, "d", None if k % 3 else "u/") for k in range(200)]
+    rules = spark.createDataFrame([*made, made[0], made[0], made[5]], R.SCHEMA)
+    columns = ["lid", "config_id", "rule_id", "tag_filter", "destination_arn", "key_prefix"]
+    rows = lambda df: sorted(str(tuple(r)) for r in df.select(*columns).collect())
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    want = rows(R.match(ops, rules))
+    for name, n in (("PAIRS", 50), ("CROSSED", 3), ("CROSSED_OPS", 4), ("CROSSED_RULES", 5)):
+        monkeypatch.setattr(R, name, n)
+    # ten conditions with 10 operations and 13 or more rules each: three are crossed, all others unfolded by salts
+    got = R.match_by_index(ops, rules)
+    assert plan(got).count("CartesianProduct") == 3 and rows(got) == want and len(want) == 50 * 40 + 30
+    monkeypatch.setattr(R, "CROSSED", 100)
+    assert plan(R.match_by_index(ops, rules)).count("CartesianProduct") == 10 and rows(R.match_by_index(ops, rules)) == want
+
+
+def test_a_full_map_of_terms_loses_none(spark, monkeypatch):
+    ops, rules = spark.createDataFrame(ops_rows, OPS), spark.createDataFrame([("b1", "c", f"r{k}", {"p": str(k)}, "d", "u/1") for k in range(100)], R.SCHEMA)
+    rows = lambda df: sorted((r.lid, r.rule_id) for r in df.select("lid", "rule_id").collect())
+    monkeypatch.setattr(R, "BITS", 64)
+    assert rows(R.match_by_index(ops, rules)) == rows(R.match(ops, rules)) == [("a", "r1"), ("b", "r1")]
+
+
 def test_unknown_tags_are_error_rows(spark):
     ops = spark.createDataFrame([("a", "b", "k", None), ("c", "b", "l", {}), ("d", None, None, None)], OPS)
     assert sorted(map(str, R.errors(ops).collect())) == sorted(map(str, spark.createDataFrame([("b", "k", "indeterminate tags"), (None, None, "indeterminate tags")], "bucket string, key string, reason string").collect()))
